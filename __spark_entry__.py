@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,12 +20,12 @@ from tallywork.plans.storage import new_folder  # noqa: E402
 from tallywork.sources import (  # noqa: E402
     RULES,
     Snapshots,
+    TradeTables,
     read_months,
-    trade_tables,
     write_by_month,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # parameters that the queries and their SQL share
 PARAMETERS = oracles.PARAMETERS
@@ -45,15 +45,15 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _revenue(t: Tables) -> DataFrame:
-    return op.order_revenue(t["orders"], t["order_items"], t["products"])
+    return op.order_revenue(t["placed_orders"], t["order_items"], t["products"])
 
 
 def _now(t: Tables):
-    return op.latest(t["orders"], "order_date")
+    return op.latest(t["placed_orders"], "order_date")
 
 
 def _busy_users(t: Tables) -> list:
-    return hot_keys(t["orders"], "user_id")
+    return hot_keys(t["placed_orders"], "user_id")
 
 
 def _moment(name: str) -> datetime:
@@ -122,7 +122,7 @@ def _cohort_api(t: Tables, wide: bool) -> DataFrame:
 
 def _daily_summary_upsert(t: Tables) -> DataFrame:
     """A first load of all orders up to a day, then completed orders only from an earlier day on."""
-    booked = op.order_revenue(t["orders"], t["order_items"], t["products"], status=None)
+    booked = op.order_revenue(t["placed_orders"], t["order_items"], t["products"], status=None)
     columns = ["period", "unique_customers", "total_orders", "total_revenue", "gross_profit"]
     period = F.col("period")
     first = op.revenue_summary(booked, "day").select(*columns)
@@ -177,8 +177,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "mrr_movements_literal": lambda t: _mrr(t, literal=True),
     "churn_nrr": lambda t: op.churn_nrr(t["subscriptions"]),
     "ltv_by_segment": lambda t: op.ltv_by_segment(t["users"], _revenue(t), as_of=_now(t)),
-    "gap_fill": lambda t: op.gap_fill(t["orders"], _revenue(t)),
-    "gap_fill_literal": lambda t: op.gap_fill(t["orders"], _revenue(t), literal=True),
+    "gap_fill": lambda t: op.gap_fill(t["placed_orders"], _revenue(t)),
+    "gap_fill_literal": lambda t: op.gap_fill(t["placed_orders"], _revenue(t), literal=True),
     "mom_yoy": lambda t: op.period_over_period(_revenue(t)),
     "rolling_activity": lambda t: op.rolling_activity(_revenue(t)),
     "sessionize": lambda t: op.sessionize(t["events"]),
@@ -189,8 +189,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dup_audit": _dup_audit,
     "email_variants": lambda t: op.email_variants(t["users"]),
     "country_revenue": lambda t: op.country_revenue(t["users"], _revenue(t), as_of=_now(t)),
-    "orders_per_user_corr": lambda t: op.orders_per_user_correlated(t["users"], t["orders"]),
-    "orders_per_user": lambda t: op.orders_per_user(t["users"], t["orders"]),
+    "orders_per_user_corr": lambda t: op.orders_per_user_correlated(t["users"], t["placed_orders"]),
+    "orders_per_user": lambda t: op.orders_per_user(t["users"], t["placed_orders"]),
     "orders_on_day": lambda t: op.rows_on_day(t["orders"], _day("order_day")),
     "union_or": lambda t: op.union_or(*_plan_or_country(t)),
     "or_filter": lambda t: op.matching_either(*_plan_or_country(t)),
@@ -224,7 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, folder of the tables)."""
 
     def run(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: _plain(build(trade_tables(spark, folder)))
+        return lambda spark, folder: _plain(build(TradeTables(spark, folder)))
 
     return {name: run(build) for name, build in _QUERIES.items()}
 

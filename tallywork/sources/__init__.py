@@ -3,15 +3,15 @@
 from tallywork.sources.months import read_months, write_by_month
 from tallywork.sources.snapshots import Snapshots
 from tallywork.sources.tables import RULES, SCHEMAS, conform, read_tables
-from tallywork.sources.trade import trade_tables
+from tallywork.sources.trade import TradeTables
 
 __all__ = [
     "RULES",
     "SCHEMAS",
     "Snapshots",
+    "TradeTables",
     "conform",
     "read_months",
     "read_tables",
-    "trade_tables",
     "write_by_month",
 ]

@@ -4,6 +4,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.plans import durable
+
 VERSION = "version"
 
 
@@ -39,6 +41,7 @@ class Snapshots:
         A row replaces all columns, NULLs included. An empty input changes nothing and returns 0.
         Keys must be unique within the input.
         """
+        rows = durable(rows, "incoming")  # computed once, read for the check and for the merge
         counts = rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
         seen = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
         if not seen["rows"]:

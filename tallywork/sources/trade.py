@@ -1,8 +1,12 @@
 """The logical tables derived from a trade schema (customer, orders, lineitem, part, events)."""
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.sources.tables import SCHEMAS
+
 
 def _pick(number: Column, *values: str) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (number + 1).cast("int"))
@@ -19,25 +23,66 @@ def _days(n: Column) -> Column:
     return F.make_dt_interval(n.cast("int"))
 
 
-def trade_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """users, products, orders, order_items, events, subscriptions and employees."""
-
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    customer, nation, part = read("customer"), read("nation"), read("part")
-    orders, lineitem, events = read("orders"), read("lineitem"), read("events")
-    countries = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
-    products = _products(part)
-    return {
-        "users": _users(countries),
-        "products": products,
-        "orders": _orders(orders, countries.select("c_custkey", "n_name")),
-        "order_items": _items(lineitem, products),
-        "events": _events(events),
-        "subscriptions": _subscriptions(orders),
-        "employees": _employees(customer),
-    }
+# columns that the logical tables use; a declared schema also saves a job per table
+_FILES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_discount double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
+
+
+class TradeTables(Mapping):
+    """The logical tables by name, each built when it is first asked for.
+
+    ``orders`` looks up the shipping country of every order; ``placed_orders`` is the same table
+    without that column and without the join.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+        self._built: dict[str, DataFrame] = {}
+
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.schema(_FILES[name]).parquet(f"{self._folder}/{name}.parquet")
+
+    def _customers(self) -> DataFrame:
+        customer, nation = self._read("customer"), self._read("nation")
+        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+
+    def _build(self, name: str) -> DataFrame:
+        match name:
+            case "users":
+                return _users(self._customers())
+            case "products":
+                return _products(self._read("part"))
+            case "orders":
+                return _orders(self["placed_orders"], self._customers())
+            case "placed_orders":
+                return _placed_orders(self._read("orders"))
+            case "order_items":
+                return _items(self._read("lineitem"), self["products"])
+            case "events":
+                return _events(self._read("events"))
+            case "subscriptions":
+                return _subscriptions(self._read("orders"))
+            case "employees":
+                return _employees(self._read("customer"))
+        raise KeyError(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(SCHEMAS)
 
 
 def _users(customers: DataFrame) -> DataFrame:
@@ -84,26 +129,27 @@ def _products(part: DataFrame) -> DataFrame:
     )
 
 
-def _orders(orders: DataFrame, countries: DataFrame) -> DataFrame:
+def _placed_orders(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     status = (
         F.when(F.col("o_orderstatus").isin("F", "O"), "completed")
         .when(key % 2 == 0, "refunded")
         .otherwise("cancelled")
     )
-    placed = orders.select(
+    return orders.select(
         key.alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("order_date"),
         status.alias("status"),
     )
-    return placed.join(
-        countries.select(
-            F.col("c_custkey").alias("user_id"), F.col("n_name").alias("shipping_country")
-        ),
-        "user_id",
-        "left",
-    ).select("order_id", "user_id", "order_date", "status", "shipping_country")
+
+
+def _orders(placed: DataFrame, customers: DataFrame) -> DataFrame:
+    countries = customers.select(
+        F.col("c_custkey").alias("user_id"), F.col("n_name").alias("shipping_country")
+    )
+    joined = placed.join(countries, "user_id", "left")
+    return joined.select("order_id", "user_id", "order_date", "status", "shipping_country")
 
 
 def _items(lineitem: DataFrame, products: DataFrame) -> DataFrame:
