@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.fixed_values import ACTIVE_DAYS, COMPLETED
 from tallywork.functions import average, half_up, month_of, percent, period_of, ratio
-from tallywork.plans import cut_by_value, exact_percentiles
+from tallywork.plans import cut_by_value, exact_percentiles, join_null_safe
 
 
 def latest(df: DataFrame, time: str) -> Column:
@@ -112,15 +112,11 @@ def ltv_by_segment(
         F.sum("inactive").alias("inactive"),
     )
     tops = exact_percentiles(customers, segment, "total_revenue", {"p90": 0.9})
-    same = totals["plan"].eqNullSafe(tops["plan"]) & totals["acquired_channel"].eqNullSafe(
-        tops["acquired_channel"]
-    )
     n = F.col("customer_count")
     monthly_mean = ratio(F.col("monthly"), n)
     top_share = F.lit(100.0) * ratio(F.col("p90"), F.col("revenue")) * n.cast("double") * 0.1
-    return totals.join(tops, same).select(
-        totals["plan"],
-        totals["acquired_channel"],
+    return join_null_safe(totals, tops, segment).select(
+        *segment,
         n,
         average(F.col("revenue"), n, 2).alias("avg_total_revenue"),
         average(F.col("order_values"), n, 2).alias("avg_order_value"),

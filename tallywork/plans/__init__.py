@@ -6,6 +6,7 @@ from tallywork.plans.ordered import (
     cut_by_value,
     exact_percentiles,
     global_ranks,
+    join_null_safe,
     order_rows,
     row_numbers,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "exact_percentiles",
     "global_ranks",
     "hot_keys",
+    "join_null_safe",
     "order_rows",
     "row_numbers",
     "salted_join",

@@ -48,11 +48,13 @@ def _slice_offsets(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
 
 
-def _null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+def join_null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner join on columns where NULL equals NULL; keeps the left copy of the columns."""
     match = F.lit(True)
     for name in columns:
-        match = match & left[name].eqNullSafe(right[name])
-    return match
+        right = right.withColumnRenamed(name, f"_right_{name}")
+        match = match & F.col(name).eqNullSafe(F.col(f"_right_{name}"))
+    return left.join(right, match).drop(*(f"_right_{name}" for name in columns))
 
 
 def row_numbers(
@@ -61,9 +63,8 @@ def row_numbers(
     """``row_number() over (partition by keys order by order)`` for groups of any size."""
     cut = cut_by_order(df, [*(F.col(k).asc_nulls_last() for k in keys), *order])
     offsets = _slice_offsets(cut, keys)
-    joined = cut.join(offsets, _null_safe(cut, offsets, [SLICE, *keys]))
     number = F.col("_offset") + F.col(POS) - F.col("_first") + 1
-    return joined.select(*(cut[c] for c in df.columns), number.alias(out))
+    return join_null_safe(cut, offsets, [SLICE, *keys]).select(*df.columns, number.alias(out))
 
 
 def cut_by_value(df: DataFrame, keys: Sequence[str], value: str, unique: str) -> DataFrame:

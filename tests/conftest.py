@@ -1,0 +1,58 @@
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import SparkSession
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tallywork-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallywork-"))
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def many_slices(spark):
+    """Keep small test data in several slices; by default Spark would merge them into one."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.fixture(scope="session")
+def tables(spark):
+    from tallywork.sources import TradeTables
+
+    return TradeTables(spark, SF_DIR)
+
+
+@pytest.fixture(scope="session")
+def revenue(tables):
+    from tallywork.operators import order_revenue
+    from tallywork.plans import durable
+
+    return durable(
+        order_revenue(tables["placed_orders"], tables["order_items"], tables["products"]), "rev"
+    )
+
+
+@pytest.fixture(scope="session")
+def frame(spark):
+    """Rows of Python values as a DataFrame with a declared schema."""
+    return lambda rows, schema: spark.createDataFrame(rows, schema)
