@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tallywork.functions import month_of
 
@@ -37,7 +37,8 @@ def read_months(
 
     ``schema`` is that of the frame that was written.
     """
-    stored = spark.read.schema(schema.add(MONTH, DateType())).parquet(path)
+    with_month = StructType([*schema, StructField(MONTH, DateType())])
+    stored = spark.read.schema(with_month).parquet(path)
     months = F.col(MONTH).between(F.lit(lo.date().replace(day=1)), F.lit(hi.date()))
     inside = (F.col(time) >= F.lit(lo)) & (F.col(time) < F.lit(hi))
     return stored.filter(months & inside).select(*columns)

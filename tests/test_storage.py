@@ -1,0 +1,114 @@
+"""Snapshots, month folders, chunks and the shared folder."""
+
+from datetime import date, datetime
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tallywork.operators import process_in_chunks
+from tallywork.plans import durable, shared_folder
+from tallywork.plans.storage import new_folder
+from tallywork.sources import SCHEMAS, Snapshots, conform, read_months, read_tables, write_by_month
+
+SUMMARY = "period date, total_revenue double, total_orders bigint"
+
+
+@pytest.fixture
+def table(spark):
+    return Snapshots(spark, new_folder(spark, "summary"))
+
+
+def rows_of(table):
+    return {r["period"].day: (r["total_revenue"], r["total_orders"]) for r in table.read().collect()}
+
+
+def day(n):
+    return date(2024, 1, n)
+
+
+def test_upsert(frame, table):
+    assert table.upsert(frame([], SUMMARY)) == 0 and table.version() == 0
+    assert table.upsert(frame([(day(1), 1.0, 1), (day(2), 2.0, 2)], SUMMARY)) == 2  # all new
+    change = frame([(day(2), None, 9), (day(3), 3.0, 3)], SUMMARY)
+    assert table.upsert(change) == 2
+    expected = {1: (1.0, 1), 2: (None, 9), 3: (3.0, 3)}  # a NULL replaces a value
+    assert rows_of(table) == expected
+    assert table.upsert(change) == 2 and rows_of(table) == expected  # again: no change
+    assert table.upsert(frame([], SUMMARY)) == 0 and table.version() == 3
+
+
+def test_upsert_needs_unique_keys(frame, table):
+    with pytest.raises(ValueError):
+        table.upsert(frame([(day(1), 1.0, 1), (day(1), 2.0, 2)], SUMMARY))
+    assert table.version() == 0
+
+
+def test_upsert_needs_the_same_columns(frame, table):
+    table.upsert(frame([(day(1), 1.0, 1)], SUMMARY))
+    with pytest.raises(ValueError):
+        table.upsert(frame([(day(1), 1.0)], "period date, total_revenue double"))
+
+
+def test_uncommitted_version_is_invisible(frame, table):
+    table.upsert(frame([(day(1), 1.0, 1)], SUMMARY))
+    # what a writer leaves behind that died before its commit
+    frame([(day(9), 9.0, 9)], SUMMARY).write.parquet(f"{table._data}/version=2")
+    assert rows_of(table) == {1: (1.0, 1)}
+    table.upsert(frame([(day(2), 2.0, 2)], SUMMARY))
+    assert rows_of(table) == {1: (1.0, 1), 2: (2.0, 2)}
+
+
+def test_months(spark):
+    events = spark.range(400).select(
+        F.col("id").alias("event_id"),
+        (F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(F.col("id").cast("int"))).alias("event_at"),
+    )
+    path = new_folder(spark, "months")
+    write_by_month(events, path)
+    lo, hi = datetime(2024, 3, 10), datetime(2024, 5, 1)
+    found = read_months(spark, path, lo, hi, schema=events.schema)
+    assert found.count() == 52 and found.agg(F.max("event_at")).first()[0] == datetime(2024, 4, 30)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan
+    assert events.columns == ["event_id", "event_at"]  # the caller's schema is left alone
+    assert len(events.schema) == 2
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 1000])
+def test_chunks(spark, size):
+    df = spark.range(0, 100, 1, 1)
+
+    def sizes(chunk):
+        return pd.DataFrame({"n": [len(chunk)], "total": [chunk["id"].sum()]})
+
+    out = process_in_chunks(df, sizes, "n bigint, total bigint", chunk_size=size).collect()
+    assert sum(r["total"] for r in out) == 4950 and max(r["n"] for r in out) == min(size, 100)
+    assert len(out) == -(-100 // size)
+
+
+def test_chunks_without_results(spark):
+    assert process_in_chunks(spark.range(10), lambda c: None, "n bigint").count() == 0
+    empty = spark.range(0)
+    assert process_in_chunks(empty, lambda c: c, "id bigint").count() == 0
+    with pytest.raises(ValueError):
+        process_in_chunks(empty, lambda c: c, "id bigint", chunk_size=0)
+
+
+def test_durable(spark):
+    df = spark.range(10).withColumn("part", F.spark_partition_id())
+    stored = durable(df, "test")
+    assert stored.dtypes == df.dtypes and stored.count() == 10
+    assert stored.inputFiles()[0].replace("file://", "").startswith(
+        shared_folder(spark).replace("file://", "")
+    )
+
+
+def test_read_tables(spark, frame):
+    folder = new_folder(spark, "tables")
+    for name in SCHEMAS:
+        frame([], SCHEMAS[name]).write.parquet(f"{folder}/{name}")
+    tables = read_tables(spark, folder)
+    assert set(tables) == set(SCHEMAS)
+    wide = frame([("1", "x", "2", 0)], "emp_id string, name string, manager_id string, more int")
+    assert conform(wide, "employees").first()[:] == (1, "x", 2)
