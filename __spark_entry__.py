@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType, IntegerType  # noqa: E402
 
 import oracles  # noqa: E402
 from tallywork import operators as op  # noqa: E402
-from tallywork.plans import hot_keys  # noqa: E402
+from tallywork.plans import adapt_to_skew, hot_keys  # noqa: E402
 from tallywork.plans.storage import new_folder  # noqa: E402
 from tallywork.sources import (  # noqa: E402
     RULES,
@@ -224,7 +224,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, folder of the tables)."""
 
     def run(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: _plain(build(TradeTables(spark, folder)))
+        def query(spark: SparkSession, folder: str) -> DataFrame:
+            adapt_to_skew(spark)
+            return _plain(build(TradeTables(spark, folder)))
+
+        return query
 
     return {name: run(build) for name, build in _QUERIES.items()}
 

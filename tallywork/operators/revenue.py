@@ -23,7 +23,7 @@ def order_revenue(
     Items are summed per order before they meet the orders, so the partial sums absorb an order
     with very many items and the join is one row to one row. The lookup of the cost is left to
     Spark: it broadcasts products below its size threshold, and above it splits the partition of
-    a frequent product (adaptive skew join), as both sides come straight from a shuffle.
+    a frequent product at run time (see ``adapt_to_skew``).
     """
     # exact: the hundredth of the percentage is taken once per order
     hundredfold = F.col("quantity") * F.col("unit_price") * (F.lit(100) - F.col("discount_pct"))

@@ -10,11 +10,12 @@ from tallywork.plans.ordered import (
     order_rows,
     row_numbers,
 )
-from tallywork.plans.skew import hot_keys, salted_join
+from tallywork.plans.skew import adapt_to_skew, hot_keys, salted_join
 from tallywork.plans.storage import durable, shared_folder
 
 __all__ = [
     "OrderedRows",
+    "adapt_to_skew",
     "cut_by_order",
     "cut_by_value",
     "durable",

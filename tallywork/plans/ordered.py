@@ -159,10 +159,11 @@ def global_ranks(
         SLICE, within, F.coalesce(F.sum("_n").over(group_window), F.lit(0)).alias("_group_offset")
     )
 
+    tasks = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_value = Window.partitionBy(SLICE).orderBy(F.col(value).desc())
     in_group = Window.partitionBy(SLICE, within).orderBy(POS)
     local = (
-        cut.repartition(SLICE)  # serves both windows below
+        cut.repartitionById(tasks, F.col(SLICE))  # one slice a task; serves both windows
         .withColumn("_rank", F.rank().over(by_value))
         .withColumn("_dense", F.dense_rank().over(by_value))
         .withColumn("_in_group", F.row_number().over(in_group))

@@ -3,26 +3,44 @@
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001
 HOT_MIN_ROWS = 1_000_000
+_MERGERS = 256
 _SALT = "_salt"
 
 
+def adapt_to_skew(spark: SparkSession) -> None:
+    """Let Spark split skewed join partitions at run time, also where that costs a shuffle."""
+    for name in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"):
+        spark.conf.set(f"spark.sql.adaptive.{name}", "true")
+
+
 def hot_keys(
     df: DataFrame, key: str, *, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
 ) -> list:
     """Values of ``key`` that hold at least ``share`` of the rows and ``min_rows`` rows.
 
     One scan of one column: every task reduces its rows to a fixed-size frequent-items sketch, so
-    nothing is shuffled by key. At most ``1 / share`` values can qualify, which bounds what reaches
-    the driver. The list only steers the layout of later work; results do not depend on it.
+    nothing is shuffled by key, and the sketches are merged in two steps. At most ``1 / share``
+    values can qualify, which bounds what reaches the driver. The list only steers the layout of
+    later work; results do not depend on it.
     """
     most = math.ceil(1 / share)
-    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {max(10 * most, 10_000)})")
-    seen = df.agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()
+    kept = 10 * most
+    merger = F.pmod(F.spark_partition_id(), F.lit(_MERGERS))
+    sketches = df.groupBy(merger.alias("merger")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {kept})").alias("sketch"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {kept}), {most})")
+    # one group rather than a global aggregate, so that no rows give no result
+    one = sketches.groupBy(F.lit("all")).agg(top.alias("top"), F.sum("n").alias("n"))
+    seen = one.first()
+    if seen is None:
+        return []
     floor = max(min_rows, share * seen["n"])
     return [t["item"] for t in seen["top"] if t["item"] is not None and t["count"] >= floor]
 

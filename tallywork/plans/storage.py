@@ -23,7 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path under the application's own folder, which can go when the application has ended."""
+    return f"{shared_folder(spark)}/{spark.conf.get('spark.app.id')}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:

@@ -12,6 +12,7 @@ import compare
 from tallywork import operators as op
 from tallywork.operators import hierarchy
 from tallywork.plans import (
+    adapt_to_skew,
     cut_by_value,
     exact_percentiles,
     global_ranks,
@@ -222,8 +223,8 @@ def test_hierarchy_with_a_hot_parent(frame, monkeypatch):
     same(op.traverse_hierarchy(df).drop("path"), plain.drop("path"))
 
 
-def test_adaptive_split_of_a_frequent_product(spark, tables):
-    """The product lookup of the revenue is split at run time when it cannot be broadcast."""
+@pytest.fixture
+def split_small_partitions(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -235,31 +236,43 @@ def test_adaptive_split_of_a_frequent_product(spark, tables):
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        items = spark.range(0, 60_000, 1, 8).select(
-            F.col("id").alias("order_id"),
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("product_id"),
-            F.lit(1).alias("quantity"),
-            F.lit(2).cast("decimal(10,2)").alias("unit_price"),
-            F.lit(0).cast("decimal(5,2)").alias("discount_pct"),
-        )
-        products = spark.range(500).select(
-            F.col("id").alias("product_id"), F.lit(1).cast("decimal(10,2)").alias("cost")
-        )
-        orders = spark.range(60_000).select(
-            F.col("id").alias("order_id"),
-            F.lit(1).alias("user_id"),
-            F.lit(START).alias("order_date"),
-            F.lit("completed").alias("status"),
-        )
-        result = op.order_revenue(orders, items, products)
-        assert result.agg(F.sum("gross_profit")).first()[0] == 60_000
+    yield
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def skewed_orders(spark):
+    """A third of the items are of product 7."""
+    product = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)
+    items = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("order_id"), product.alias("product_id"), F.lit(1).alias("quantity")
+    )
+    discount = F.lit(0).cast("decimal(5,2)").alias("discount_pct")
+    orders = spark.range(60_000).select(
+        F.col("id").alias("order_id"),
+        F.lit(1).alias("user_id"),
+        F.lit(START).alias("order_date"),
+        F.lit("completed").alias("status"),
+    )
+    lookup = spark.range(500).select(F.col("id").alias("product_id"))
+    return items.withColumn("discount_pct", discount), orders, lookup
+
+
+def test_frequent_product_is_split(spark, split_small_partitions):
+    adapt_to_skew(spark)
+    items, orders, lookup = skewed_orders(spark)
+    two = F.lit(2).cast("decimal(10,2)")
+    products = lookup.withColumn("cost", F.lit(1).cast("decimal(10,2)"))
+    # once with the price in the items, once with a lookup of the price before that of the cost
+    own_price = items.withColumn("unit_price", two)
+    looked_up = items.join(lookup.withColumn("unit_price", two), "product_id")
+    for priced, splits in ((own_price, 1), (looked_up, 2)):
+        result = op.order_revenue(orders, priced, products)
+        assert result.select(F.sum("gross_profit")).first()[0] == 60_000
         result.collect()
         plan = result._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        final = plan.split("Initial Plan")[0]
+        assert final.count("skew=true") == splits
