@@ -12,14 +12,14 @@ def shared_folder(spark: SparkSession) -> str:
     A local master without the setting gets a fresh temporary folder; a cluster without it is an
     error, since a machine's own folder is not visible to the other executors.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tallywork-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallywork-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

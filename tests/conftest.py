@@ -1,5 +1,4 @@
 import os
-import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -19,8 +18,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallywork-"))
     yield session
     session.stop()
 
