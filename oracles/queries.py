@@ -245,8 +245,9 @@ def _recurring() -> dict[str, str]:
                      COUNT(*) FILTER (WHERE kind = 'churn') AS churned_customers,
                      COUNT(*) FILTER (WHERE kind = 'expansion') AS expanded_customers
               FROM k GROUP BY month)
-            SELECT * EXCLUDE (net), {dbl('net', 'net_new_mrr')},
-                   CAST(SUM(net) OVER (ORDER BY month) AS DOUBLE) AS ending_mrr
+            SELECT month, COLUMNS('.*_mrr'), {dbl('net', 'net_new_mrr')},
+                   CAST(SUM(net) OVER (ORDER BY month) AS DOUBLE) AS ending_mrr,
+                   COLUMNS('.*_customers')
             FROM g""",
             "l_subs",
         )

@@ -68,7 +68,20 @@ def mrr_movements(
         count(EXPANSION).alias("expanded_customers"),
     )
     so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return monthly.withColumn("ending_mrr", F.sum("net_new_mrr").over(so_far))
+    ending = F.sum("net_new_mrr").over(so_far)
+    return monthly.select(
+        "month",
+        "new_mrr",
+        "expansion_mrr",
+        "reactivation_mrr",
+        "contraction_mrr",
+        "churn_mrr",
+        "net_new_mrr",
+        ending.alias("ending_mrr"),
+        "new_customers",
+        "churned_customers",
+        "expanded_customers",
+    )
 
 
 def churn_nrr(subscriptions: DataFrame, *, hot: Sequence | None = None) -> DataFrame:

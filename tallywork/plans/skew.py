@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+HOT_SHARE = 0.0005
 HOT_MIN_ROWS = 1_000_000
 _MERGERS = 256
 _SALT = "_salt"
@@ -29,7 +29,7 @@ def hot_keys(
     later work; results do not depend on it.
     """
     most = math.ceil(1 / share)
-    kept = 10 * most
+    kept = 5 * most
     merger = F.pmod(F.spark_partition_id(), F.lit(_MERGERS))
     sketches = df.groupBy(merger.alias("merger")).agg(
         F.expr(f"approx_top_k_accumulate(`{key}`, {kept})").alias("sketch"),

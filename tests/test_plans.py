@@ -93,3 +93,9 @@ def test_order_join_follows_the_partial_sums(spark, tables):
         assert exchanges(df) <= 5
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ranks_shuffle_the_rows_once_more_than_the_sort(revenue):
+    plan = plan_of(op.rank_orders(revenue))
+    assert plan.count("shufflepartitionidpassthrough") == 1
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
