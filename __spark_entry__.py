@@ -180,6 +180,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "gap_fill": lambda t: op.gap_fill(t["placed_orders"], _revenue(t)),
     "gap_fill_literal": lambda t: op.gap_fill(t["placed_orders"], _revenue(t), literal=True),
     "mom_yoy": lambda t: op.period_over_period(_revenue(t)),
+    "mom_yoy_dense": lambda t: op.period_over_period(_revenue(t), dense=True),
     "rolling_activity": lambda t: op.rolling_activity(_revenue(t)),
     "sessionize": lambda t: op.sessionize(t["events"]),
     "daily_spine": lambda t: op.date_spine_fill(_revenue(t), as_of=_now(t)),

@@ -184,7 +184,8 @@ def _funnels() -> dict[str, str]:
         d AS (SELECT datediff('microsecond', a, b) AS us FROM s WHERE b >= a),
         g AS (SELECT COUNT(*) AS n, CAST(SUM(us) AS DOUBLE) AS total,
                      quantile_cont(us, 0.5) AS p50, quantile_cont(us, 0.9) AS p90 FROM d)
-        SELECT n AS converting_sessions, {half_up('(total / 6e7 / nullif(n, 0))', 1)} AS avg_minutes_to_convert,
+        SELECT n AS converting_sessions,
+               {half_up('(total / 6e7 / nullif(n, 0))', 1)} AS avg_minutes_to_convert,
                {half_up('(p50 / 6e7)', 1)} AS median_minutes, {half_up('(p90 / 6e7)', 1)} AS p90_minutes
         FROM g"""
     dropoff = f"""
@@ -354,20 +355,31 @@ def _timeseries() -> dict[str, str]:
     ago = "lag(rev, 12) OVER (ORDER BY month)"
     prev = "lag(rev) OVER (ORDER BY month)"
     three = "OVER (ORDER BY month ROWS 2 PRECEDING)"
-    return {
-        "gap_fill": gap("coalesce(rev, last_value(rev IGNORE NULLS) OVER (ORDER BY spine.day))"),
-        "gap_fill_literal": gap("rev"),
-        "mom_yoy": with_tables(
+
+    def compare(months: str) -> str:
+        return with_tables(
             f"""
-            WITH m AS (
+            WITH t AS (
               SELECT CAST(date_trunc('month', day) AS DATE) AS month, SUM(rev) AS rev
-              FROM l_daily GROUP BY ALL)
+              FROM l_daily GROUP BY ALL),
+            m AS ({months})
             SELECT month, {dbl('rev', 'revenue')}, {dbl(prev, 'prev_month')},
                    {pct(f'(rev - {prev})', prev)} AS mom_pct, {dbl(ago, 'same_month_last_year')},
                    {pct(f'(rev - {ago})', ago)} AS yoy_pct,
                    {avg(f'SUM(rev) {three}', f'COUNT(*) {three}', 0)} AS ma_3mo
             FROM m""",
             "l_daily",
+        )
+
+    return {
+        "gap_fill": gap("coalesce(rev, last_value(rev IGNORE NULLS) OVER (ORDER BY spine.day))"),
+        "gap_fill_literal": gap("rev"),
+        "mom_yoy": compare("SELECT * FROM t"),
+        "mom_yoy_dense": compare(
+            """
+            SELECT CAST(month AS DATE) AS month, coalesce(rev, 0) AS rev
+            FROM (SELECT unnest(generate_series(MIN(month), MAX(month), INTERVAL 1 MONTH)) AS month
+                  FROM t) LEFT JOIN t USING (month)"""
         ),
         "rolling_activity": with_tables(
             f"""

@@ -9,6 +9,8 @@ from tallywork.fixed_values import SESSION_GAP_MINUTES
 from tallywork.functions import average, day_of, half_up, minutes, percent, period_of, ratio
 from tallywork.plans import hot_keys, order_rows
 
+_STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
+
 
 def _days(first: Column, last: Column) -> Column:
     return F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("day")
@@ -57,11 +59,24 @@ def date_spine_fill(revenue: DataFrame, *, as_of: Column) -> DataFrame:
 
 
 def period_over_period(
-    revenue: DataFrame, *, granularity: str = "month", back: int = 12
+    revenue: DataFrame, *, granularity: str = "month", back: int = 12, dense: bool = False
 ) -> DataFrame:
-    """Revenue per period against the previous row and the row ``back`` rows before."""
+    """Revenue per period against the previous row and the row ``back`` rows before.
+
+    Periods without orders have no row, so ``back`` counts active periods; ``dense`` adds them
+    with revenue 0.
+    """
     period = period_of(F.col("order_date"), granularity)
     totals = revenue.groupBy(period.alias("month")).agg(F.sum("net_revenue").alias("revenue"))
+    if dense:
+        step = F.expr(f"interval {_STEPS[granularity]}")
+        ends = totals.agg(F.min("month").alias("a"), F.max("month").alias("b"))
+        spine = ends.filter(F.col("a").isNotNull()).select(
+            F.explode(F.sequence("a", "b", step)).alias("month")
+        )
+        totals = spine.join(totals, "month", "left").select(
+            "month", F.coalesce("revenue", F.lit(0)).alias("revenue")
+        )
     by_period = Window.orderBy("month")  # one row per period
     three = by_period.rowsBetween(-2, 0)
     now = F.col("revenue")

@@ -334,6 +334,10 @@ def test_period_over_period_counts_rows(frame):
     last = out[date(2024, 2, 1)]
     assert last["same_month_last_year"] == 100  # twelve rows back
     assert last["yoy_pct"] == 12.0 and last["ma_3mo"] == 111.0
+    dense = by(op.period_over_period(frame(rows, REVENUE), dense=True), "month")
+    assert dense[date(2024, 1, 1)]["revenue"] == 0 and dense[date(2024, 2, 1)]["mom_pct"] is None
+    assert dense[date(2024, 2, 1)]["same_month_last_year"] == 101  # twelve calendar months back
+    assert dense[date(2024, 2, 1)]["ma_3mo"] == 74.0
 
 
 def test_rolling_activity(frame):

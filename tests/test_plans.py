@@ -2,11 +2,8 @@
 
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
-from conftest import SF_DIR
 from tallywork import operators as op
 
 
@@ -18,13 +15,6 @@ def exchanges(df) -> int:
     return plan_of(df).count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
-def test_no_cross_joins(spark, name):
-    plan = plan_of(entry_module.queries()[name](spark, SF_DIR))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-
-
 def test_top_n_is_limited_before_the_shuffle(revenue):
     order = [F.col("net_revenue").desc(), F.col("order_id").asc()]
     plan = plan_of(op.top_n_per_group(revenue, ["user_id"], order, 3))
