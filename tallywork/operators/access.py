@@ -10,7 +10,7 @@ from tallywork.functions import day_of
 from tallywork.operators.windows import top_n_per_group
 from tallywork.plans import row_numbers
 
-# an offset page up to this end is cut from a top-k; beyond it the rows are numbered in place
+# an offset page up to this end is cut from a top-k; beyond it the keys are numbered
 TOP_ROWS = 100_000
 
 
@@ -91,11 +91,14 @@ def keyset_page(df: DataFrame, key: str, after, *, size: int = PAGE_SIZE) -> Dat
 def offset_page(df: DataFrame, key: str, offset: int, *, size: int = PAGE_SIZE) -> DataFrame:
     """Rows ``offset + 1`` to ``offset + size`` by a unique key.
 
-    A far page would carry all rows before it to one place; there the rows are numbered instead.
+    A far page would carry all rows before it to one place; there only the keys are numbered, and
+    the rows are fetched by the keys of the page.
     """
     if offset + size <= TOP_ROWS:
         return df.orderBy(F.col(key).asc()).offset(offset).limit(size)
     number = F.col("_number")
-    numbered = row_numbers(df, [], [F.col(key).asc()], "_number")
-    page = numbered.filter((number > offset) & (number <= offset + size))
-    return page.orderBy(F.col(key).asc()).drop("_number")
+    numbered = row_numbers(df.select(key), [], [F.col(key).asc()], "_number")
+    keys = numbered.filter((number > offset) & (number <= offset + size)).select(key)
+    if size <= TOP_ROWS:
+        keys = F.broadcast(keys)  # at most `size` keys
+    return df.join(keys, key, "left_semi").select(*df.columns).orderBy(F.col(key).asc())
