@@ -154,8 +154,8 @@ def _constraint_report(t: Tables) -> DataFrame:
 
 
 def _table_counts(t: Tables) -> DataFrame:
-    names = ("users", "products", "orders", "order_items", "events", "subscriptions")
-    return op.table_counts({name: t[name] for name in names})
+    names = ("users", "products", "order_items", "events", "subscriptions")
+    return op.table_counts({"orders": t["placed_orders"], **{name: t[name] for name in names}})
 
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {

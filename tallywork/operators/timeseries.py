@@ -45,12 +45,13 @@ def date_spine_fill(revenue: DataFrame, *, as_of: Column) -> DataFrame:
 
     A first day after ``as_of`` still gives that one day.
     """
-    spine = revenue.agg(F.min(day_of(F.col("order_date"))).alias("a")).withColumn(
-        "b", F.greatest(F.col("a"), day_of(as_of))
-    )
-    filled = spine.filter(F.col("a").isNotNull()).select(_days(F.col("a"), F.col("b")))
-    filled = filled.join(_daily(revenue), "day", "left")
-    return filled.select(
+    by_day = Window.orderBy("day")  # one row per day
+    now = day_of(as_of)
+    before_next = F.date_sub(F.lead("day").over(by_day), 1)
+    until = F.coalesce(before_next, F.greatest(F.col("day"), now))
+    daily = _daily(revenue).withColumn("start", F.first("day").over(by_day))
+    dense = _spread(daily, "day", until, "interval 1 day", ["revenue", "orders"])
+    return dense.filter((F.col("day") <= now) | (F.col("day") == F.col("start"))).select(
         "day",
         F.coalesce("revenue", F.lit(0)).alias("daily_revenue"),
         F.coalesce("orders", F.lit(0)).alias("order_count"),
@@ -58,6 +59,22 @@ def date_spine_fill(revenue: DataFrame, *, as_of: Column) -> DataFrame:
     )
 
 
+def _spread(
+    rows: DataFrame, column: str, until: Column, step: str, values: Sequence[str]
+) -> DataFrame:
+    """Follow every row by rows for the steps of ``column`` up to ``until``, with NULL ``values``.
+
+    Fills a series from the series itself, without computing it a second time for a spine.
+    """
+    kept = [c for c in rows.columns if c != column and c not in values]
+    steps = F.explode(F.sequence(F.col(column), F.col("_until"), F.expr(step))).alias("_step")
+    spread = rows.withColumn("_until", until).select("*", steps)
+    own = F.col("_step") == F.col(column)
+    return spread.select(
+        F.col("_step").alias(column), *kept, *(F.when(own, F.col(v)).alias(v) for v in values)
+    )
+
+
 def period_over_period(
     revenue: DataFrame, *, granularity: str = "month", back: int = 12, dense: bool = False
 ) -> DataFrame:
@@ -68,16 +85,13 @@ def period_over_period(
     """
     period = period_of(F.col("order_date"), granularity)
     totals = revenue.groupBy(period.alias("month")).agg(F.sum("net_revenue").alias("revenue"))
-    if dense:
-        step = F.expr(f"interval {_STEPS[granularity]}")
-        ends = totals.agg(F.min("month").alias("a"), F.max("month").alias("b"))
-        spine = ends.filter(F.col("a").isNotNull()).select(
-            F.explode(F.sequence("a", "b", step)).alias("month")
-        )
-        totals = spine.join(totals, "month", "left").select(
-            "month", F.coalesce("revenue", F.lit(0)).alias("revenue")
-        )
     by_period = Window.orderBy("month")  # one row per period
+    if dense:
+        step = f"interval {_STEPS[granularity]}"
+        before_next = (F.lead("month").over(by_period) - F.expr(step)).cast("date")
+        until = F.coalesce(before_next, F.col("month"))
+        totals = _spread(totals, "month", until, step, ["revenue"])
+        totals = totals.select("month", F.coalesce("revenue", F.lit(0)).alias("revenue"))
     three = by_period.rowsBetween(-2, 0)
     now = F.col("revenue")
     previous, year_ago = F.lag(now, 1).over(by_period), F.lag(now, back).over(by_period)

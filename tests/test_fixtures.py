@@ -340,6 +340,16 @@ def test_period_over_period_counts_rows(frame):
     assert dense[date(2024, 2, 1)]["ma_3mo"] == 74.0
 
 
+@pytest.mark.parametrize(
+    "granularity, rows", [("day", 397), ("week", 58), ("month", 14), ("quarter", 5), ("year", 2)]
+)
+def test_dense_periods(frame, granularity, rows):
+    ends = [(1, 1, at("2023-01-05"), d(1)), (2, 1, at("2023-07-20"), d(1)), (3, 1, at("2024-02-05"), d(1))]
+    out = op.period_over_period(frame(ends, REVENUE), granularity=granularity, dense=True)
+    assert out.count() == rows
+    assert out.agg(F.sum("revenue")).first()[0] == 3
+
+
 def test_rolling_activity(frame):
     rows = [
         (1, 1, at("2024-01-01"), d(1)),
