@@ -1,4 +1,4 @@
-"""Names, labels and limits that results depend on."""
+"""Names, labels, patterns and limits that results depend on."""
 
 from decimal import Decimal
 
@@ -22,6 +22,11 @@ GROWTH_REST = "significant_decline"
 NEW, EXPANSION, REACTIVATION = "new", "expansion", "reactivation"
 CONTRACTION, CHURN, UNCHANGED = "contraction", "churn", "unchanged"
 
+# Text patterns: the tag of an address, the path of a hierarchy
+EMAIL_TAG = r"\+.*$"
+PATH_SEPARATOR = " > "
+INDENT = "    "
+
 # Defaults
 GRANULARITIES = ("day", "week", "month", "quarter", "year")
 RETENTION_PERIODS = (0, 1, 2, 3, 6, 12)

@@ -5,11 +5,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.fixed_values import MAX_DEPTH
+from tallywork.fixed_values import INDENT, MAX_DEPTH, PATH_SEPARATOR
 from tallywork.plans import durable, hot_keys, salted_join
 
-INDENT = "    "
-
 
 def traverse_hierarchy(
     df: DataFrame,
@@ -37,11 +35,13 @@ def traverse_hierarchy(
     path = F.reverse("_chain")
     depth = F.size("_chain")
     own_name = F.element_at("_chain", 1)["name"]
+    names = F.transform(path, lambda s: s["name"])
+    named = ~F.exists(names, lambda n: n.isNull())  # a missing name leaves no path
     return found.select(
         F.col("_id").alias(id),
         F.concat(F.repeat(F.lit(INDENT), depth - 1), own_name).alias("indented_name"),
         depth.alias("depth"),
-        F.concat_ws(" > ", F.transform(path, lambda s: s["name"])).alias("full_path"),
+        F.when(named, F.concat_ws(PATH_SEPARATOR, names)).alias("full_path"),
         F.transform(path, lambda s: s["id"]).alias("path"),
     )
 

@@ -383,16 +383,18 @@ def test_sessionize_edges(frame):
 def test_hierarchy(frame):
     rows = [(1, "a", None), (2, "b", 1), (3, "c", 2), (10, "r", None)]
     rows += [(20, "x", 21), (21, "y", 20)]  # a cycle
+    rows += [(40, None, 1), (41, "q", 40)]  # a missing name
     rows += [(30, "self", 30), (31, "lost", 99)]  # its own parent; a missing parent
     rows += [(100, "d", 10)] + [(100 + i, f"d{i}", 99 + i) for i in range(1, 12)]
     df = frame(rows, "emp_id bigint, name string, manager_id bigint")
     out = by(op.traverse_hierarchy(df), "emp_id")
-    assert set(out) == {1, 2, 3, 10} | set(range(100, 109))  # down to depth 10
+    assert set(out) == {1, 2, 3, 10, 40, 41} | set(range(100, 109))  # down to depth 10
+    assert out[41]["full_path"] is None and out[41]["depth"] == 3
     assert out[3]["depth"] == 3 and out[3]["full_path"] == "a > b > c"
     assert out[3]["indented_name"] == "        c" and out[3]["path"] == [1, 2, 3]
     assert out[108]["depth"] == 10
     assert set(by(op.traverse_hierarchy(df, max_depth=1), "emp_id")) == {1, 10}
-    assert set(by(op.traverse_hierarchy(df, max_depth=2), "emp_id")) == {1, 2, 10, 100}
+    assert set(by(op.traverse_hierarchy(df, max_depth=2), "emp_id")) == {1, 2, 10, 40, 100}
 
 
 def test_duplicates(frame):
