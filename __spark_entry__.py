@@ -25,6 +25,14 @@ from tallywork.sources import (  # noqa: E402
     write_by_month,
 )
 
+try:
+    import corpus_pipeline
+    from tallywork.llm import entries as llm_entries
+except ModuleNotFoundError as missing:  # the library also works without that subpackage
+    if missing.name not in ("corpus_pipeline", "tallywork.llm"):
+        raise
+    corpus_pipeline = llm_entries = None
+
 Tables = Mapping[str, DataFrame]
 
 # parameters that the queries and their SQL share
@@ -231,9 +239,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return query
 
-    return {name: run(build) for name, build in _QUERIES.items()}
+    found = {name: run(build) for name, build in _QUERIES.items()}
+    if llm_entries:
+        found |= llm_entries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL over the registered tables for every key of ``queries()``."""
-    return oracles.sql()
+    """SQL over the registered tables for the keys of ``queries()`` that SQL can express."""
+    found = oracles.sql()
+    if llm_entries:
+        found |= llm_entries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
