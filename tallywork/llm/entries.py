@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import bpe, mixing, quality, rules, simhash, topk
+from tallywork.llm import (
+    bpe,
+    chat,
+    html_text,
+    licences,
+    mixing,
+    quality,
+    rules,
+    simhash,
+    sql,
+    topk,
+    warc,
+)
+
+CRAWL_DATE = "2024-01-01T00:00:00Z"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,12 +41,40 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_read(spark, folder, "embeddings"), k=10, every=100)
 
 
+def op3_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and texts in every document."""
+    found = licences.scan_licences(_read(spark, folder, "documents"), keep=["doc_id"])
+    return found.drop("places", "spans")
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the token ids of every document and of the text that they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digests(bpe.encode_decode(_read(spark, folder, "documents"), path))
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every formatted conversation, and of one whose texts hold control strings."""
+    turns = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = F.inline(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(-7).cast("bigint").alias("conv_id"),
+                    F.lit(n).cast("bigint").alias("turn"),
+                    F.lit(role).alias("role"),
+                    F.lit(said).alias("text"),
+                )
+                for n, role in enumerate(("user", "assistant"))
+            )
+        )
+    )
+    template = chat.ChatTemplate()
+    chats = chat.format_chats(turns.union(spark.range(1).select(more)), template)
+    return chat.digests(chats, template)
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
     docs = _read(spark, folder, "documents")
@@ -54,6 +96,27 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract_text(_read(spark, folder, "pages"), keep=["page_id", "url"])
+    n = F.char_length("text").cast("bigint")
+    return found.select("page_id", "url", "text", n.alias("n_chars"))
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion records of every page, taken as a response of a crawl."""
+    responses = warc.page_responses(_read(spark, folder, "pages"), date=CRAWL_DATE)
+    found = warc.derive_records(responses, keep=["page_id"])
+    headers = F.array_join(
+        F.transform(
+            F.array_sort(F.map_entries("source_headers")),
+            lambda e: F.concat(e["key"], F.lit(": "), e["value"]),
+        ),
+        "\n",
+    )
+    return found.withColumn("source_headers", headers).drop("error")
+
+
 def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict for every document."""
     docs = _read(spark, folder, "documents")
@@ -61,14 +124,23 @@ def op10_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.apply_rules(docs, model, keep=["doc_id"]).drop("rule_score")
 
 
+_QUERIES = (
+    op1_mix_sources,
+    op2_top_k,
+    op3_licences,
+    op4_bpe,
+    op5_chat,
+    op6_quality,
+    op7_simhash,
+    op8_html,
+    op9_warc,
+    op10_rules,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {
-        f.__name__: f
-        for f in (op1_mix_sources, op2_top_k, op4_bpe, op6_quality, op7_simhash, op10_rules)
-    }
+    return {query.__name__: query for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    from tallywork.llm import sql
-
-    return {"op1_mix_sources": sql.MIX, "op2_top_k": sql.TOP_K}
+    return {"op1_mix_sources": sql.MIX, "op2_top_k": sql.TOP_K, "op5_chat": sql.CHAT}

@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from tallywork.llm import mixing
+from tallywork.llm import chat, mixing
 
 MIX = f"""
 WITH docs AS (
@@ -71,3 +71,38 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+_CONTROL = ("<|", "<s>", "</s>", "[INST]", "[/INST]")
+
+
+def _escaped_length(text: str) -> str:
+    """Length of an escaped text: one more character for each backslash and each control string."""
+    more = [f"(len({text}) - len(replace({text}, '{c}', ''))) / {len(c)}" for c in ("\\", *_CONTROL)]
+    return f"len({text}) + " + " + ".join(more)
+
+
+_MARKS = sum(map(len, (chat.ChatTemplate.opening, chat.ChatTemplate.before_text, chat.ChatTemplate.closing)))
+
+CHAT = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+moves AS (
+    SELECT *, coalesce(lag(role) OVER in_order, 'start') AS before
+    FROM turns
+    WINDOW in_order AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+           AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+           FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({_MARKS} + {_escaped_length('role')} + {_escaped_length('text')})::BIGINT AS formatted_chars,
+       bool_and((before, role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'),
+                                   ('user', 'assistant'), ('assistant', 'user'))) AS valid
+FROM moves
+GROUP BY conv_id
+"""

@@ -1,0 +1,34 @@
+"""Rows that every operator on documents must stand."""
+
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+    "size bigint, target double, fp bigint, ids string, score string, _text string, kept string"
+)
+LONG = "lorem ipsum dolor sit amet " * 20_000
+
+_EXTRA = (7, 0.5, 9, "x", "y", "z", "w")
+ROWS = [
+    (1, "One two three, four five six seven. Eight nine ten eleven twelve!", "en", "a", 1),
+    (2, None, "en", "a", None),
+    (3, "", None, "b", 0),
+    (4, " \t\n\x0b ", "en", None, 5),
+    (None, "No id here, but words all the same and more of them.", "en", "b", 3),
+    (5, LONG, "la", "a", len(LONG)),
+    (6, "Grüße, ΟΔΥΣΣΕΥΣ 你好 \U0001f600 naïve space", None, None, 2),
+    (6, "Grüße, ΟΔΥΣΣΕΥΣ 你好 \U0001f600 naïve space", None, None, 2),
+    (7, "one", "en", "c", 3),
+    (8, "one two", "en", "c", 7),
+]
+
+
+def documents(spark):
+    return spark.createDataFrame([(*row, *_EXTRA) for row in ROWS], SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def pairs(df, *names):
+    """The rows of some columns, sorted so that NULLs compare."""
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)

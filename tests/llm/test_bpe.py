@@ -1,0 +1,69 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm import edge
+from tokenizers import Tokenizer
+
+from tallywork.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def _texts():
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    odd = "abé'st reΣς́\x1c\x85\xa0　 12٣²_-<|>&#你\U0001f600İǅ\x07​﻿"
+    for _ in range(3000):
+        yield "".join(rng.choice(odd) for _ in range(rng.randint(0, 50)))
+    for _ in range(3000):
+        yield "".join(rng.choice("aab") for _ in range(rng.randint(1, 30)))
+    for _ in range(3000):
+        yield "".join(rng.choice(letters) for _ in range(rng.randint(1, 40)))
+    yield "<|startoftext|>a <|endoftext|><|endoftext|> <|endoftext"
+    yield "x" * 5000
+
+
+def test_ids_and_text_equal_the_library(library):
+    own = bpe.load(PATH)
+    for text in _texts():
+        ids = own.encode(text)
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == expected, text
+        assert own.decode(ids).decode() == library.decode(expected, skip_special_tokens=False)
+
+
+def test_rows_with_nulls_and_long_texts(spark, library):
+    docs = edge.documents(spark)
+    found = bpe.encode_decode(docs, PATH).collect()
+    assert len(found) == len(edge.ROWS)
+    texts = {row[0]: row[1] or "" for row in edge.ROWS}
+    for row in found:
+        expected = library.encode(texts[row.doc_id], add_special_tokens=False).ids
+        assert row.ids == expected
+        assert row.decoded == library.decode(expected, skip_special_tokens=False)
+    digests = bpe.digests(bpe.encode_decode(docs, PATH)).filter("doc_id = 8").first()
+    ids = library.encode("one two", add_special_tokens=False).ids
+    assert digests.n_tokens == len(ids)
+    assert digests.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+    blank = bpe.digests(bpe.encode_decode(docs, PATH)).filter("doc_id = 2").first()
+    assert blank.n_tokens == 0
+    assert blank.ids_sha256 == blank.decoded_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_empty_table(spark):
+    assert bpe.encode_decode(edge.empty(spark), PATH).collect() == []
+
+
+def test_decoding_nothing():
+    assert bpe.load(PATH).decode(np.empty(0, dtype=np.int32)) == b""

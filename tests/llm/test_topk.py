@@ -1,0 +1,67 @@
+import math
+import random
+
+import pytest
+
+from tallywork.llm import topk
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, v string, score string"
+
+
+def _vector(rng, n):
+    return [rng.randint(-4096, 4096) / 4096 for _ in range(n)]  # the same as float and as double
+
+
+def _brute(rows, k, every):
+    def fine(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and fine(v)]
+    queries = {}
+    for i, v in whole:
+        if i % every == 0:
+            queries[i] = min(queries.get(i, v), v)
+    out = []
+    for i, q in queries.items():
+        scored = sorted(
+            (-sum(a * b for a, b in zip(q, v, strict=True)), j)
+            for j, v in whole
+            if j != i and len(v) == len(q)
+        )
+        out += [(i, rank, j, -s) for rank, (s, j) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+def _found(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA)
+    got = topk.top_k(df.repartition(4), **options).collect()
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got)
+
+
+@pytest.mark.parametrize("listed", [0, 64])
+def test_against_brute_force_with_ties_and_odd_vectors(spark, listed):
+    rng = random.Random(6)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25, 0.5]) for _ in range(3)]) for i in range(300)]
+    rows += [(i, _vector(rng, 8)) for i in range(300, 420)]
+    rows += [(420, None), (421, [1.0, None, 0.0]), (430, [float("nan"), 1.0, 0.0])]
+    rows += [(440, [float("inf"), 0.0, 1.0]), (450, []), (460, []), (None, [1.0, 1.0, 1.0])]
+    rows += [(30, [0.5, 0.5, 0.5]), (31, [0.25, 0.25, 0.25]), (31, [0.25, 0.25, 0.25])]
+    rows += [(470, [1e4, -1e4])]
+    assert _found(spark, rows, k=7, every=10, listed=listed) == _brute(rows, 7, 10)
+
+
+def test_blocks_of_queries(spark):
+    rng = random.Random(7)
+    rows = [(i, _vector(rng, 4)) for i in range(90)]
+    assert _found(spark, rows, k=3, every=9, block=4) == _brute(rows, 3, 9)
+
+
+def test_one_vector_many_times(spark):
+    rows = [(i, [0.5, 0.5]) for i in range(400)]
+    assert _found(spark, rows, k=5, every=100) == _brute(rows, 5, 100)
+
+
+def test_empty_and_no_candidates(spark):
+    assert _found(spark, [], k=5, every=100) == []
+    assert _found(spark, [(0, [1.0])], k=5, every=100) == []
+    assert _found(spark, [(1, [1.0])], k=5, every=100) == []
