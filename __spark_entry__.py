@@ -15,7 +15,8 @@ from pyspark.sql.types import DecimalType, IntegerType  # noqa: E402
 
 import oracles  # noqa: E402
 from tallywork import operators as op  # noqa: E402
-from tallywork.plans import adapt_to_skew, hot_keys  # noqa: E402
+from tallywork.fixed_values import COMPLETED, FUNNEL_STEPS  # noqa: E402
+from tallywork.plans import adapt_to_skew, durable, hot_keys  # noqa: E402
 from tallywork.plans.storage import new_folder  # noqa: E402
 from tallywork.sources import (  # noqa: E402
     RULES,
@@ -118,6 +119,23 @@ def _events_month_pruned(t: Tables) -> DataFrame:
     return read_months(spark, path, lo, hi, schema=events.schema)
 
 
+def _orders_month_pruned(t: Tables) -> DataFrame:
+    orders = t["placed_orders"]
+    spark = orders.sparkSession
+    path = new_folder(spark, "orders-by-month")
+    write_by_month(orders, path, time="order_date", unique="order_id")
+    lo, hi = _moment("order_month_from"), _moment("order_month_to")
+    return read_months(spark, path, lo, hi, schema=orders.schema, time="order_date")
+
+
+def _with_country(page: DataFrame, t: Tables) -> DataFrame:
+    """Look up the shipping country for the rows of a page only."""
+    countries = t["users"].select("user_id", F.col("country").alias("shipping_country"))
+    return page.join(countries, "user_id", "left").select(
+        "order_id", "user_id", "order_date", "status", "shipping_country"
+    )
+
+
 def _funnel_metrics(t: Tables, segment: str | None) -> DataFrame:
     start, end = _moment("funnel_from"), _moment("funnel_to")
     return op.funnel_metrics(t["events"], start, end, segment_by=segment)
@@ -130,15 +148,44 @@ def _cohort_api(t: Tables, wide: bool) -> DataFrame:
 
 def _daily_summary_upsert(t: Tables) -> DataFrame:
     """A first load of all orders up to a day, then completed orders only from an earlier day on."""
+    return _upserted(t, "unique_customers", "total_orders", "total_revenue", "gross_profit")
+
+
+def _daily_summary_columns(t: Tables) -> DataFrame:
+    """The same, but the second load brings two of the four columns."""
+    return _upserted(t, "total_orders", "total_revenue")
+
+
+def _upserted(t: Tables, *second_columns: str) -> DataFrame:
     booked = op.order_revenue(t["placed_orders"], t["order_items"], t["products"], status=None)
-    columns = ["period", "unique_customers", "total_orders", "total_revenue", "gross_profit"]
-    period = F.col("period")
-    first = op.revenue_summary(booked, "day").select(*columns)
-    second = op.revenue_summary(_revenue(t), "day").select(*columns)
     spark = booked.sparkSession
-    table = Snapshots(spark, new_folder(spark, "daily-summary"))
-    table.upsert(first.filter(period <= _day("first_load_to")))
-    table.upsert(second.filter(period >= _day("second_load_from")))
+    # a user's day once, for all orders and for completed ones; both loads come from it
+    done = F.col("status") == COMPLETED
+    sums = {"orders": F.lit(1), "revenue": F.col("net_revenue"), "profit": F.col("gross_profit")}
+    days = durable(
+        booked.groupBy(F.to_date("order_date").alias("period"), "user_id").agg(
+            *(F.sum(c).alias(n) for n, c in sums.items()),
+            *(F.sum(F.when(done, c)).alias(f"done_{n}") for n, c in sums.items()),
+        ),
+        "user-days",
+    )
+
+    def load(prefix: str) -> DataFrame:
+        held = days.filter(F.col(f"{prefix}orders").isNotNull())
+        return held.groupBy("period").agg(
+            F.count("user_id").alias("unique_customers"),
+            F.sum(f"{prefix}orders").alias("total_orders"),
+            F.round(F.sum(f"{prefix}revenue"), 2).alias("total_revenue"),
+            F.round(F.sum(f"{prefix}profit"), 2).alias("gross_profit"),
+        )
+
+    period = F.col("period")
+    table = Snapshots(
+        spark, new_folder(spark, "daily-summary"), part=lambda day: F.date_format(day, "yyyy-MM")
+    )
+    table.upsert(load("").filter(period <= _day("first_load_to")))
+    second = load("done_").filter(period >= _day("second_load_from"))
+    table.upsert(second.select("period", *second_columns))
     return table.read()
 
 
@@ -154,7 +201,8 @@ def _chunk_event_counts(t: Tables) -> DataFrame:
 
 
 def _org_tree(t: Tables) -> DataFrame:
-    return op.traverse_hierarchy(t["employees"]).drop("path")
+    tree = op.traverse_hierarchy(t["employees"])
+    return tree.withColumn("path", F.array_join(F.col("path").cast("array<string>"), "/"))
 
 
 def _constraint_report(t: Tables) -> DataFrame:
@@ -178,6 +226,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "cohort_pivot": lambda t: op.cohort_retention_wide(_revenue(t)),
     "cohort_revenue": lambda t: op.cohort_revenue(_revenue(t)),
     "funnel_basic": lambda t: op.funnel(t["events"]),
+    "funnel_five_steps": lambda t: op.funnel(t["events"], steps=(*FUNNEL_STEPS, "error")),
     "funnel_by_device": lambda t: op.funnel_by_segment(t["events"]),
     "time_to_convert": lambda t: op.time_to_convert(t["events"]),
     "funnel_dropoff": lambda t: op.funnel_dropoff(t["events"]),
@@ -204,9 +253,17 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "union_or": lambda t: op.union_or(*_plan_or_country(t)),
     "or_filter": lambda t: op.matching_either(*_plan_or_country(t)),
     "has_events": _has_events,
-    "keyset_page": lambda t: op.keyset_page(t["orders"], "order_id", PARAMETERS["page_after"]),
-    "offset_page": lambda t: op.offset_page(t["orders"], "order_id", PARAMETERS["page_offset"]),
+    "keyset_page": lambda t: _with_country(
+        op.keyset_page(t["placed_orders"], "order_id", PARAMETERS["page_after"]), t
+    ),
+    "offset_page": lambda t: _with_country(
+        op.offset_page(t["placed_orders"], "order_id", PARAMETERS["page_offset"]), t
+    ),
+    "offset_page_far": lambda t: _with_country(
+        op.offset_page(t["placed_orders"], "order_id", PARAMETERS["far_offset"]), t
+    ),
     "events_month_pruned": _events_month_pruned,
+    "orders_month_pruned": _orders_month_pruned,
     "cohort_api": lambda t: _cohort_api(t, wide=False),
     "cohort_api_wide": lambda t: _cohort_api(t, wide=True),
     "revenue_summary_day": lambda t: op.revenue_summary(_revenue(t), "day"),
@@ -218,11 +275,20 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "funnel_metrics_device": lambda t: _funnel_metrics(t, "device_type"),
     "funnel_metrics_referrer": lambda t: _funnel_metrics(t, "referrer"),
     "daily_summary_upsert": _daily_summary_upsert,
+    "daily_summary_columns": _daily_summary_columns,
     "chunk_event_counts": _chunk_event_counts,
     "table_counts": _table_counts,
     "constraint_report": _constraint_report,
 }
 
+ANALYTICS = tuple(_QUERIES)
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Session settings that the queries rely on."""
+    adapt_to_skew(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Cohort retention at the smallest scale."""
@@ -234,7 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def run(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def query(spark: SparkSession, folder: str) -> DataFrame:
-            adapt_to_skew(spark)
+            _prepare(spark)
             return _plain(build(TradeTables(spark, folder)))
 
         return query

@@ -2,9 +2,15 @@
 
 from oracles.tables import PARAMETERS as P
 from oracles.tables import avg, dbl, half_up, pct, ratio, with_tables
+from tallywork.fixed_values import GROWTH_ABOVE, GROWTH_AT_LEAST, GROWTH_FIRST, GROWTH_REST
 
 
 def _windows() -> dict[str, str]:
+    classes = " ".join(
+        f"WHEN rev {sign} prev * CAST({factor} AS DECIMAL(3,2)) THEN '{label}'"
+        for sign, table in ((">", GROWTH_ABOVE), (">=", GROWTH_AT_LEAST))
+        for label, factor in table
+    )
     growth = with_tables(
         f"""
         WITH m AS (
@@ -18,12 +24,9 @@ def _windows() -> dict[str, str]:
         SELECT user_id, month, {dbl('rev', 'monthly_revenue')}, {dbl('prev', 'prev_month_revenue')},
                {dbl('nxt', 'next_month_revenue')}, CAST(nth AS BIGINT) AS months_since_first_order,
                {pct('(rev - prev)', 'prev')} AS mom_growth_pct,
-               CASE WHEN prev IS NULL THEN 'first_order'
-                    WHEN rev > prev * CAST(1.20 AS DECIMAL(3,2)) THEN 'strong_growth'
-                    WHEN rev > prev * CAST(1.05 AS DECIMAL(3,2)) THEN 'moderate_growth'
-                    WHEN rev < prev * CAST(0.80 AS DECIMAL(3,2)) THEN 'significant_decline'
-                    WHEN rev < prev * CAST(0.95 AS DECIMAL(3,2)) THEN 'declining'
-                    ELSE 'stable' END AS growth_category
+               CASE WHEN prev IS NULL THEN '{GROWTH_FIRST}'
+                    {classes}
+                    ELSE '{GROWTH_REST}' END AS growth_category
         FROM n""",
         "l_rev",
     )
@@ -199,7 +202,29 @@ def _funnels() -> dict[str, str]:
                CASE WHEN step = '4. Purchased' THEN 0.0::DOUBLE
                     ELSE {pct('(a - z)', 'a')} END AS drop_off_pct
         FROM u"""
+    five = """COUNT(*) FILTER (WHERE viewed) AS step1_page_view,
+              COUNT(*) FILTER (WHERE carted) AS step2_add_to_cart,
+              COUNT(*) FILTER (WHERE checked) AS step3_checkout_start,
+              COUNT(*) FILTER (WHERE bought) AS step4_purchase,
+              COUNT(*) FILTER (WHERE bounced) AS step5_error"""
+    five_rates = f"""{pct('step2_add_to_cart', 'step1_page_view')} AS page_view_to_add_to_cart_pct,
+                {pct('step3_checkout_start', 'step2_add_to_cart')} AS add_to_cart_to_checkout_start_pct,
+                {pct('step4_purchase', 'step3_checkout_start')} AS checkout_start_to_purchase_pct,
+                {pct('step5_error', 'step4_purchase')} AS purchase_to_error_pct,
+                {pct('step5_error', 'step1_page_view', 2)} AS overall_conversion_pct"""
     return {
+        "funnel_five_steps": with_tables(
+            f"""WITH s AS (
+                  SELECT session_id, bool_or(event_type = 'page_view') AS viewed,
+                         bool_or(event_type = 'add_to_cart') AS carted,
+                         bool_or(event_type = 'checkout_start') AS checked,
+                         bool_or(event_type = 'purchase') AS bought,
+                         bool_or(event_type = 'error') AS bounced
+                  FROM l_events GROUP BY session_id),
+                t AS (SELECT {five} FROM s)
+                SELECT *, {five_rates} FROM t""",
+            "l_events",
+        ),
         "funnel_basic": with_tables(
             f"""WITH t AS (SELECT {steps} FROM l_sessions)
                 SELECT v AS step1_page_views, c AS step2_add_to_cart, k AS step3_checkout,
@@ -428,7 +453,7 @@ def _access() -> dict[str, str]:
               FROM t JOIN l_emp e ON e.manager_id = t.emp_id
               WHERE t.depth < 10 AND NOT list_contains(t.path, e.emp_id))
             SELECT emp_id, repeat(' ', 4 * (depth - 1)) || name AS indented_name,
-                   CAST(depth AS BIGINT) AS depth, full_path
+                   CAST(depth AS BIGINT) AS depth, full_path, array_to_string(path, '/') AS path
             FROM t""",
             "l_emp",
             recursive=True,
@@ -495,10 +520,12 @@ def _access() -> dict[str, str]:
                 ORDER BY order_id LIMIT 20""",
             "l_orders",
         ),
-        "offset_page": with_tables(
-            f"SELECT * FROM l_orders ORDER BY order_id LIMIT 20 OFFSET {P['page_offset']}",
-            "l_orders",
-        ),
+        **{
+            name: with_tables(
+                f"SELECT * FROM l_orders ORDER BY order_id LIMIT 20 OFFSET {P[offset]}", "l_orders"
+            )
+            for name, offset in (("offset_page", "page_offset"), ("offset_page_far", "far_offset"))
+        },
         "events_month_pruned": with_tables(
             f"""
             SELECT *, CAST(date_trunc('month', event_at) AS DATE) AS event_month FROM l_events
@@ -506,13 +533,22 @@ def _access() -> dict[str, str]:
               AND event_at < TIMESTAMP '{P['month_to']}'""",
             "l_events",
         ),
+        "orders_month_pruned": with_tables(
+            f"""
+            SELECT order_id, user_id, order_date, status,
+                   CAST(date_trunc('month', order_date) AS DATE) AS event_month
+            FROM l_orders
+            WHERE order_date >= TIMESTAMP '{P['order_month_from']}'
+              AND order_date < TIMESTAMP '{P['order_month_to']}'""",
+            "l_orders",
+        ),
         "chunk_event_counts": with_tables(
             "SELECT event_type, COUNT(*) AS n FROM l_events GROUP BY event_type", "l_events"
         ),
     }
 
 
-def _daily_upsert() -> str:
+def _daily_upsert(columns: str = "") -> str:
     def load(source: str) -> str:
         return f"""
           SELECT CAST(order_date AS DATE) AS period, COUNT(DISTINCT user_id) AS unique_customers,
@@ -524,7 +560,7 @@ def _daily_upsert() -> str:
         f"""
         WITH a AS (SELECT * FROM ({load('l_all_rev')}) WHERE period <= DATE '{P['first_load_to']}'),
         b AS (SELECT * FROM ({load('l_rev')}) WHERE period >= DATE '{P['second_load_from']}')
-        SELECT * FROM b UNION ALL SELECT a.* FROM a WHERE period NOT IN (SELECT period FROM b)""",
+        {columns or "SELECT * FROM b UNION ALL SELECT a.* FROM a WHERE period NOT IN (SELECT period FROM b)"}""",
         "l_all_rev",
         "l_rev",
     )
@@ -600,9 +636,12 @@ def _constraints() -> str:
     )
     unique("subscriptions", "l_subs", "sub_id")
     inside("subscriptions", "l_subs", "user_id", "users", "l_users", "user_id")
+    checks("employees", "l_emp", "emp_id name")
+    unique("employees", "l_emp", "emp_id")
+    inside("employees", "l_emp", "manager_id", "employees", "l_emp", "emp_id")
     return with_tables(
         " UNION ALL ".join(parts),
-        "l_users", "l_products", "l_orders", "l_items", "l_events", "l_subs",
+        "l_users", "l_products", "l_orders", "l_items", "l_events", "l_subs", "l_emp",
     )
 
 
@@ -615,6 +654,14 @@ def sql() -> dict[str, str]:
         **_timeseries(),
         **_access(),
         "daily_summary_upsert": _daily_upsert(),
+        "daily_summary_columns": _daily_upsert(
+            """SELECT coalesce(b.period, a.period) AS period, a.unique_customers,
+                      CASE WHEN b.period IS NULL THEN a.total_orders ELSE b.total_orders END AS total_orders,
+                      CASE WHEN b.period IS NULL THEN a.total_revenue ELSE b.total_revenue END
+                        AS total_revenue,
+                      a.gross_profit
+               FROM a FULL JOIN b ON a.period = b.period"""
+        ),
         "table_counts": _counts(),
         "constraint_report": _constraints(),
     }

@@ -6,6 +6,9 @@ PARAMETERS = {
     "plan": "pro",
     "page_after": 1000,
     "page_offset": 100,
+    "far_offset": 10_000,
+    "order_month_from": "1997-02-10",
+    "order_month_to": "1997-04-20",
     "order_day": "1998-10-03",
     "month_from": "2024-01-05",
     "month_to": "2024-01-25",
@@ -38,7 +41,7 @@ CTES = {
                TIMESTAMP '1999-01-01' + to_days(CAST(c_custkey * 37 % 900 AS INTEGER)) AS created_at,
                CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '1999-01-01'
                     + to_days(CAST(c_custkey * 37 % 900 + 100 AS INTEGER)) END AS churned_at
-        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     ),
     "l_products": (
         (),
@@ -61,9 +64,9 @@ CTES = {
     "l_items": (
         ("l_products",),
         """
-        SELECT l_orderkey AS order_id, product_id, CAST(l_quantity AS INTEGER) AS quantity,
+        SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
                price AS unit_price, CAST(l_discount * 100 AS DECIMAL(5,2)) AS discount_pct
-        FROM lineitem JOIN l_products ON product_id = l_partkey""",
+        FROM lineitem LEFT JOIN l_products ON product_id = l_partkey""",
     ),
     "l_events": (
         (),

@@ -1,8 +1,10 @@
 """One object that holds the logical tables and offers the most used reports."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywork import operators
@@ -53,7 +55,30 @@ class Analytics:
         *,
         chunk_size: int = CHUNK_SIZE,
         params: Mapping | None = None,
+        counter: Accumulator | None = None,
     ) -> DataFrame:
-        """Run ``fn`` on chunks of a query's result; the query may name its parameters."""
-        rows = self.spark.sql(query, args=dict(params or {}))
-        return operators.process_in_chunks(rows, fn, schema, chunk_size=chunk_size)
+        """Run ``fn`` on chunks of a query's result; the query may name its parameters.
+
+        The query sees the object's tables by their names.
+        """
+        with self._named_tables():
+            rows = self.spark.sql(query, args=dict(params or {}))
+        return operators.process_in_chunks(
+            rows, fn, schema, chunk_size=chunk_size, counter=counter
+        )
+
+    @contextmanager
+    def _named_tables(self) -> Iterator[None]:
+        """The tables as temporary views, while a query is resolved; hidden views come back."""
+        catalog = self.spark.catalog
+        own = {t.name for t in catalog.listTables() if t.isTemporary}
+        hidden = {name: self.spark.table(name) for name in own & set(self.tables)}
+        try:
+            for name, df in self.tables.items():
+                df.createOrReplaceTempView(name)
+            yield
+        finally:
+            for name in self.tables:
+                catalog.dropTempView(name)
+            for name, df in hidden.items():
+                df.createOrReplaceTempView(name)

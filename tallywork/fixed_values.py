@@ -9,6 +9,9 @@ COMPLETED = "completed"
 
 # Conversion funnel, first step to last
 FUNNEL_STEPS = ("page_view", "add_to_cart", "checkout_start", "purchase")
+FUNNEL_COLUMNS = ("page_views", "add_to_cart", "checkout", "purchase")
+FUNNEL_SHORT_NAMES = ("view", "cart", "checkout", "purchase")
+FUNNEL_ENDS = ("views", "purchases")
 DROPOFF_LABELS = ("1. Viewed", "2. Added to cart", "3. Started checkout", "4. Purchased")
 FUNNEL_SEGMENTS = ("device_type", "referrer")
 

@@ -2,13 +2,14 @@
 
 from tallywork.functions.numeric import average, half_up, percent, ratio
 from tallywork.functions.text import normalise_email
-from tallywork.functions.times import day_of, minutes, month_of, months_apart, period_of
+from tallywork.functions.times import day_of, minutes, moment, month_of, months_apart, period_of
 
 __all__ = [
     "average",
     "day_of",
     "half_up",
     "minutes",
+    "moment",
     "month_of",
     "months_apart",
     "normalise_email",

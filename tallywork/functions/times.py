@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tallywork.fixed_values import GRANULARITIES
 
@@ -31,3 +32,13 @@ def months_apart(later: Column, earlier: Column) -> Column:
 
 def minutes(micros: Column) -> Column:
     return micros.cast("double") / F.lit(6e7)
+
+
+def moment(value, kind: DataType) -> Column:
+    """A day, time or text as a literal of a column's own type.
+
+    A plain datetime literal would be an instant, which Spark moves by the session zone when it is
+    compared with a column without a zone.
+    """
+    text = value if isinstance(value, str) else value.isoformat()
+    return F.lit(text).cast(kind)

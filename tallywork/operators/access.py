@@ -10,9 +10,6 @@ from tallywork.functions import day_of
 from tallywork.operators.windows import top_n_per_group
 from tallywork.plans import row_numbers
 
-# an offset page up to this end is cut from a top-k; beyond it the keys are numbered
-TOP_ROWS = 100_000
-
 
 def lateral_top_n(users: DataFrame, revenue: DataFrame, *, n: int = 2) -> DataFrame:
     """The ``n`` orders with the most revenue of each user; users without orders drop out.
@@ -36,14 +33,17 @@ def lateral_top_n(users: DataFrame, revenue: DataFrame, *, n: int = 2) -> DataFr
 def country_revenue(
     users: DataFrame, revenue: DataFrame, *, as_of: Column, days: int = RECENT_DAYS
 ) -> DataFrame:
-    """Orders and revenue per country of the users created in the last ``days`` days."""
+    """Orders and revenue per country of the users created in the last ``days`` days.
+
+    The orders meet the recent users first, so only theirs are summed; Spark broadcasts the users
+    below its size threshold and otherwise splits the partition of a user with very many orders.
+    """
     recent = users.filter(F.col("created_at") > as_of - F.make_dt_interval(F.lit(days)))
-    per_user = revenue.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("net_revenue").alias("revenue")
+    theirs = revenue.select("user_id", "net_revenue").join(
+        recent.select("user_id", "country"), "user_id"
     )
-    joined = recent.select("user_id", "country").join(per_user, "user_id")
-    return joined.groupBy("country").agg(
-        F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
+    return theirs.groupBy("country").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("net_revenue").alias("revenue")
     )
 
 
@@ -78,13 +78,8 @@ def union_or(df: DataFrame, a: Column, b: Column) -> DataFrame:
 
 
 def has_rows(df: DataFrame, condition: Column, *, out: str = "has_events") -> DataFrame:
-    """One row: does any row meet the condition?
-
-    Looks at once: Spark reads a few partitions first and stops at a match, so a frequent match
-    never costs a full scan. One boolean comes back.
-    """
-    found = not df.filter(condition).isEmpty()
-    return df.sparkSession.range(1).select(F.lit(found).alias(out))
+    """One row: does any row meet the condition? Each task stops at its first match."""
+    return df.filter(condition).limit(1).agg((F.count(F.lit(1)) > 0).alias(out))
 
 
 def keyset_page(df: DataFrame, key: str, after, *, size: int = PAGE_SIZE) -> DataFrame:
@@ -93,16 +88,12 @@ def keyset_page(df: DataFrame, key: str, after, *, size: int = PAGE_SIZE) -> Dat
 
 
 def offset_page(df: DataFrame, key: str, offset: int, *, size: int = PAGE_SIZE) -> DataFrame:
-    """Rows ``offset + 1`` to ``offset + size`` by a unique key.
+    """Rows ``offset + 1`` to ``offset + size`` by ``key``, NULLs first.
 
-    A far page would carry all rows before it to one place; there only the keys are numbered, and
-    the rows are fetched by the keys of the page.
+    Rows with equal keys go by the other columns. The rows are numbered across the cluster, so that
+    no task holds the rows before a far page; the page is cut from the numbered rows.
     """
-    if offset + size <= TOP_ROWS:
-        return df.orderBy(F.col(key).asc()).offset(offset).limit(size)
-    number = F.col("_number")
-    numbered = row_numbers(df.select(key), [], [F.col(key).asc()], "_number")
-    keys = numbered.filter((number > offset) & (number <= offset + size)).select(key)
-    if size <= TOP_ROWS:
-        keys = F.broadcast(keys)  # at most `size` keys
-    return df.join(keys, key, "left_semi").select(*df.columns).orderBy(F.col(key).asc())
+    order = [key, *(c for c in df.columns if c != key)]
+    numbered = row_numbers(df, [], [F.col(c).asc_nulls_first() for c in order], "_number")
+    page = numbered.filter(F.col("_number").between(offset + 1, offset + size))
+    return page.orderBy("_number").drop("_number")

@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame
 
 from tallywork.fixed_values import CHUNK_SIZE
@@ -14,11 +15,13 @@ def process_in_chunks(
     schema: str,
     *,
     chunk_size: int = CHUNK_SIZE,
+    counter: Accumulator | None = None,
 ) -> DataFrame:
     """Call ``fn`` on chunks of at most ``chunk_size`` rows and return the rows it yields.
 
     Partitions run in parallel, so chunk borders and the order of results are not fixed; a chunk
-    never spans partitions. ``fn`` may return None for no result.
+    never spans partitions. ``fn`` may return None for no result. ``counter`` adds up the rows that
+    have been processed; tasks that run again count again.
     """
 
     # nested so that workers get both functions by value, without this package installed
@@ -40,6 +43,8 @@ def process_in_chunks(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in chunks(batches):
             result = fn(chunk)
+            if counter is not None:
+                counter.add(len(chunk))
             if result is not None:
                 yield result
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import RETENTION_PERIODS
-from tallywork.functions import average, month_of, months_apart, percent
+from tallywork.functions import average, moment, month_of, months_apart, percent
 
 
 def _first_per_user(column: str) -> Column:
@@ -110,9 +110,17 @@ def cohort_retention_range(
     Orders before the window do not count towards the cohort; orders after ``end`` count as
     activity. ``wide`` gives one column per period, ``M0`` to ``M<max_period>``.
     """
-    inside = F.col("order_date") >= F.lit(start)
+    kind = revenue.schema["order_date"].dataType
+    start = moment(start, kind)
+    # orders before the first cohort or after the last period cannot change the result
+    wanted = F.col("order_date") >= F.date_trunc("month", start).cast(kind)
+    inside = F.col("order_date") >= start
     if end is not None:
-        inside = inside & (F.col("order_date") <= F.lit(end))
+        end = moment(end, kind)
+        inside = inside & (F.col("order_date") <= end)
+        beyond = F.add_months(F.trunc(F.to_date(end), "month"), max_period + 1)
+        wanted = wanted & (F.col("order_date") < beyond.cast(kind))
+    revenue = revenue.filter(wanted)
     joined = F.min(F.when(inside, F.col("order_date"))).alias("first_inside")
     cohort = month_of(_first_per_user("first_inside"))
     tagged = (

@@ -1,12 +1,20 @@
 """Conversion funnels. A step counts once per session; the order of events is not checked."""
 
 from collections.abc import Sequence
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.fixed_values import DROPOFF_LABELS, FUNNEL_SEGMENTS, FUNNEL_STEPS
-from tallywork.functions import half_up, minutes, percent, ratio
+from tallywork.fixed_values import (
+    DROPOFF_LABELS,
+    FUNNEL_COLUMNS,
+    FUNNEL_ENDS,
+    FUNNEL_SEGMENTS,
+    FUNNEL_SHORT_NAMES,
+    FUNNEL_STEPS,
+)
+from tallywork.functions import half_up, minutes, moment, percent, ratio
 from tallywork.plans import cut_by_value, exact_percentiles
 
 
@@ -25,19 +33,31 @@ def _totals(sessions: DataFrame, steps: Sequence[str], *keys: str) -> DataFrame:
     )
 
 
+def _rates(steps: Sequence[str]) -> list[Column]:
+    """Conversion from each step to the next, and from the first to the last."""
+    names = FUNNEL_SHORT_NAMES if tuple(steps) == FUNNEL_STEPS else steps
+    reached = [F.col(f"s{i}") for i, _ in enumerate(steps, 1)]
+    return [
+        *(
+            percent(after, before).alias(f"{name}_to_{following}_pct")
+            for (before, after), (name, following) in zip(
+                pairwise(reached), pairwise(names), strict=True
+            )
+        ),
+        percent(reached[-1], reached[0], 2).alias("overall_conversion_pct"),
+    ]
+
+
 def funnel(events: DataFrame, *, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
-    """One row: sessions that reached each of four steps and the conversion between them."""
+    """One row: sessions that reached each step, and the conversion from step to step.
+
+    Columns are named after the steps; the default steps have names of their own.
+    """
     totals = _totals(events.groupBy("session_id").agg(*_reached(steps)), steps)
-    s1, s2, s3, s4 = (F.col(f"s{i}") for i in range(1, 5))
+    names = FUNNEL_COLUMNS if tuple(steps) == FUNNEL_STEPS else steps
     return totals.select(
-        s1.alias("step1_page_views"),
-        s2.alias("step2_add_to_cart"),
-        s3.alias("step3_checkout"),
-        s4.alias("step4_purchase"),
-        percent(s2, s1).alias("view_to_cart_pct"),
-        percent(s3, s2).alias("cart_to_checkout_pct"),
-        percent(s4, s3).alias("checkout_to_purchase_pct"),
-        percent(s4, s1, 2).alias("overall_conversion_pct"),
+        *(F.col(f"s{i}").alias(f"step{i}_{name}") for i, name in enumerate(names, 1)),
+        *_rates(steps),
     )
 
 
@@ -57,16 +77,13 @@ def funnel_by_segment(
         F.min(seen)[segment].alias("device"),
         *(F.max(f"s{i}").alias(f"s{i}") for i, _ in enumerate(steps, 1)),
     )
-    s1, s2, s3, s4 = (F.col(f"s{i}") for i in range(1, 5))
+    first, last = FUNNEL_ENDS if tuple(steps) == FUNNEL_STEPS else (steps[0], steps[-1])
     return _totals(sessions, steps, "device").select(
         "device",
         "sessions",
-        s1.alias("views"),
-        s4.alias("purchases"),
-        percent(s2, s1).alias("view_to_cart_pct"),
-        percent(s3, s2).alias("cart_to_checkout_pct"),
-        percent(s4, s3).alias("checkout_to_purchase_pct"),
-        percent(s4, s1, 2).alias("overall_conversion_pct"),
+        F.col("s1").alias(first),
+        F.col(f"s{len(steps)}").alias(last),
+        *_rates(steps),
     )
 
 
@@ -95,13 +112,24 @@ def time_to_convert(
     )
 
 
-def funnel_dropoff(events: DataFrame, *, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
-    """One row per step: sessions that reached it and those lost before the next step."""
+def funnel_dropoff(
+    events: DataFrame,
+    *,
+    steps: Sequence[str] = FUNNEL_STEPS,
+    labels: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per step: sessions that reached it and those lost before the next step.
+
+    ``labels`` name the rows; other steps than the default ones are numbered by default.
+    """
+    if labels is None:
+        numbered = [f"{i}. {step}" for i, step in enumerate(steps, 1)]
+        labels = DROPOFF_LABELS if tuple(steps) == FUNNEL_STEPS else numbered
     totals = _totals(events.groupBy("session_id").agg(*_reached(steps)), steps)
     rows = []
-    for i, label in enumerate(DROPOFF_LABELS, 1):
+    for i, (_, label) in enumerate(zip(steps, labels, strict=True), 1):
         here = F.col(f"s{i}")
-        last = i == len(DROPOFF_LABELS)
+        last = i == len(steps)
         lost = F.lit(0).cast("bigint") if last else here - F.col(f"s{i + 1}")
         rows.append(
             F.struct(
@@ -121,8 +149,9 @@ def funnel_metrics(events: DataFrame, start, end, *, segment_by: str | None = No
     """
     named = segment_by in FUNNEL_SEGMENTS
     segment = F.col(segment_by) if named else F.lit(None).cast("string")
+    kind = events.schema["event_at"].dataType
     sessions = (
-        events.filter(F.col("event_at").between(F.lit(start), F.lit(end)))
+        events.filter(F.col("event_at").between(moment(start, kind), moment(end, kind)))
         .filter(F.col("session_id").isNotNull())
         .groupBy(segment.alias("segment"), "session_id")
         .agg(*_reached(FUNNEL_STEPS))

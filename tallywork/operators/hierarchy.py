@@ -1,12 +1,13 @@
 """Hierarchies given as rows that name their parent."""
 
 import math
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import INDENT, MAX_DEPTH, PATH_SEPARATOR
-from tallywork.plans import durable, hot_keys, salted_join
+from tallywork.plans import hot_keys, remove, salted_join, stored
 
 
 def traverse_hierarchy(
@@ -15,23 +16,33 @@ def traverse_hierarchy(
     id: str = "emp_id",
     parent: str = "manager_id",
     name: str = "name",
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = MAX_DEPTH,
 ) -> DataFrame:
     """Depth and path from the root for every row reachable from a root.
 
-    Roots have no parent. Rows on a cycle, below a missing parent or deeper than ``max_depth`` have
-    no result. Instead of walking down level by level, every row follows its chain of parents
+    Roots have no parent. Rows on a cycle, below a missing parent or deeper than ``max_depth`` (None:
+    any depth) have no result. Instead of walking down level by level, every row follows its chain of parents
     upwards and each round doubles the length of all chains: four joins reach sixteen levels.
     """
     step = F.struct(F.col(id).alias("id"), F.col(name).alias("name"))
     chains = df.select(
         F.col(id).alias("_id"), F.array(step).alias("_chain"), F.col(parent).alias("_next")
     )
-    for _ in range(math.ceil(math.log2(max_depth))):
-        chains = durable(_doubled(chains), "chains")
+    before = None
+    rounds = count() if max_depth is None else range(math.ceil(math.log2(max_depth)))
+    for _ in rounds:
+        chains = _doubled(chains)
+        if max_depth is None:  # a chain that comes back to itself never ends
+            again = F.exists("_chain", lambda s: s["id"] == F.col("_next"))
+            chains = chains.filter(F.col("_next").isNull() | ~again)
+        chains, folder = stored(chains, "chains")
+        if before:
+            remove(df.sparkSession, before)
+        before = folder
         if chains.filter(F.col("_next").isNotNull()).isEmpty():
             break
-    found = chains.filter(F.col("_next").isNull() & (F.size("_chain") <= max_depth))
+    deep_enough = F.lit(True) if max_depth is None else F.size("_chain") <= max_depth
+    found = chains.filter(F.col("_next").isNull() & deep_enough)
     path = F.reverse("_chain")
     depth = F.size("_chain")
     own_name = F.element_at("_chain", 1)["name"]

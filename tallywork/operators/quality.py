@@ -1,14 +1,14 @@
 """Duplicates, constraint checks and table counts."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions import normalise_email
 from tallywork.operators.windows import top_n_per_group
-from tallywork.plans import hot_keys, salted_join
+from tallywork.plans import durable, hot_keys, salted_join
 from tallywork.sources.tables import Check, ForeignKey, Unique
 
 EVENT_KEY = ("user_id", "session_id", "event_type")
@@ -72,45 +72,80 @@ def check_constraints(
 ) -> DataFrame:
     """Rows that break each rule: (table_name, rule, violations).
 
-    All row checks of a table share one pass. A key held n times counts n - 1 violations. Foreign
-    keys are counted per value before they meet the parent table, so a frequent value is one row.
+    Every table is read once: each row yields the names of the checks that it breaks and the values
+    of its keys, counted per value before and after one shuffle. These counts are stored; unique and
+    foreign keys are judged from them. A key held n times counts n - 1 violations.
     """
-    parts = []
-    for table, df in tables.items():
-        checks = [r for r in rules if isinstance(r, Check) and r.table == table]
-        if checks:
-            parts.append(_row_checks(table, df, checks))
-    for rule in rules:
-        if isinstance(rule, Unique):
-            held = tables[rule.table].filter(F.col(rule.column).isNotNull())
-            held = held.groupBy(rule.column).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(_result(held, rule.table, rule.name, F.sum(F.col("n") - 1)))
-        elif isinstance(rule, ForeignKey):
-            parent = tables[rule.parent].select(F.col(rule.key).alias("value"))
-            held = tables[rule.table].select(F.col(rule.column).alias("value"))
-            held = held.filter(F.col("value").isNotNull()).groupBy("value")
-            orphans = held.agg(F.count(F.lit(1)).alias("n")).join(parent, "value", "left_anti")
-            parts.append(_result(orphans, rule.table, rule.name, F.sum("n")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _row_checks(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    # a condition that is NULL holds, as in a SQL CHECK
-    broken = df.agg(
-        *(F.count(F.when(~F.expr(c.condition), F.lit(1))).alias(f"c{i}") for i, c in enumerate(checks))
+    found = durable(reduce(DataFrame.unionByName, _findings(tables, rules)), "findings")
+    checks = found.filter("kind = 'check'").select(
+        "table_name", F.col("name").alias("rule"), "n"
+    )
+    keys = found.filter("kind = 'key'")
+    wanted = [r for r in rules if isinstance(r, Unique)]
+    unique = _listed(keys, wanted, lambda r: (r.table, r.column)).select(
+        "table_name", "rule", (F.col("n") - 1).alias("n")
+    )
+    wanted = [r for r in rules if isinstance(r, ForeignKey)]
+    held = _listed(keys, wanted, lambda r: (r.table, r.column, r.parent, r.key))
+    parents = keys.select(
+        F.col("table_name").alias("parent"), F.col("name").alias("key"), "value"
+    )
+    orphans = held.join(parents, ["parent", "key", "value"], "left_anti")
+    counted = (
+        checks.unionByName(unique)
+        .unionByName(orphans.select("table_name", "rule", "n"))
+        .groupBy("table_name", "rule")
+        .agg(F.sum("n").alias("violations"))
+    )
+    all_rules = _rows_of(found.sparkSession, [(r.table, r.name) for r in rules], "table_name", "rule")
+    return all_rules.join(counted, ["table_name", "rule"], "left").select(
+        "table_name", "rule", F.coalesce("violations", F.lit(0)).alias("violations")
     )
-    rows = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(c.name).alias("rule"),
-            F.col(f"c{i}").alias("violations"),
-        )
-        for i, c in enumerate(checks)
-    ]
-    return broken.select(F.inline(F.array(*rows)))
 
 
-def _result(df: DataFrame, table: str, rule: str, violations: Column) -> DataFrame:
-    return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
+def _findings(
+    tables: Mapping[str, DataFrame], rules: Sequence[Check | Unique | ForeignKey]
+) -> Iterator[DataFrame]:
+    """Per table: broken checks and held key values, (kind, table_name, name, value, n)."""
+    needed = dict.fromkeys(
+        [(r.table, r.column) for r in rules if isinstance(r, Unique | ForeignKey)]
+        + [(r.parent, r.key) for r in rules if isinstance(r, ForeignKey)]
     )
+    for table, df in tables.items():
+        found = [
+            # a condition that is NULL holds, as in a SQL CHECK
+            F.when(~F.expr(r.condition), _finding("check", r.name, F.lit(None)))
+            for r in rules
+            if isinstance(r, Check) and r.table == table
+        ]
+        found += [
+            F.when(F.col(column).isNotNull(), _finding("key", column, F.col(column)))
+            for owner, column in needed
+            if owner == table
+        ]
+        if found:
+            rows = df.select(F.explode(F.array_compact(F.array(*found))).alias("found"))
+            rows = rows.select(F.lit(table).alias("table_name"), "found.*")
+            keys = ("kind", "table_name", "name", "value")
+            yield rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _finding(kind: str, name: str, value: Column) -> Column:
+    return F.struct(
+        F.lit(kind).alias("kind"), F.lit(name).alias("name"), value.cast("string").alias("value")
+    )
+
+
+def _rows_of(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFrame:
+    listed = [F.struct(*(F.lit(x).alias(n) for n, x in zip(names, r, strict=True))) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*listed)))
+
+
+def _listed(keys: DataFrame, rules: Sequence[Unique | ForeignKey], named: Callable) -> DataFrame:
+    """The held values that some rules are about, with the rule's name; as many rows as rules."""
+    if not rules:
+        rules = [ForeignKey("", "", "", "")]  # matches nothing
+        named = lambda r: (r.table, r.column, r.parent, r.key)
+    names = ("table_name", "name", "parent", "key")[: len(named(rules[0]))]
+    listed = _rows_of(keys.sparkSession, [(*named(r), r.name) for r in rules], *names, "rule")
+    return keys.join(F.broadcast(listed), ["table_name", "name"])

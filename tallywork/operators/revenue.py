@@ -115,7 +115,8 @@ def ltv_by_segment(
     n = F.col("customer_count")
     monthly_mean = ratio(F.col("monthly"), n)
     top_share = F.lit(100.0) * ratio(F.col("p90"), F.col("revenue")) * n.cast("double") * 0.1
-    return join_null_safe(totals, tops, segment).select(
+    # a segment without a single total has no percentile
+    return join_null_safe(totals, tops, segment, how="left").select(
         *segment,
         n,
         average(F.col("revenue"), n, 2).alias("avg_total_revenue"),

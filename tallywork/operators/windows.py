@@ -1,6 +1,7 @@
 """Ranking, growth, running and first/last comparisons."""
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ def _bucket(number: Column, total: Column, buckets: int) -> Column:
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, *, rank: str = "rank"
 ) -> DataFrame:
-    """The first ``n`` rows of every group with their number.
+    """The first ``n`` rows of every group with their number, a bigint.
 
     Each task keeps only its own first ``n`` rows of a group before the shuffle, so a group of any
     size sends few rows. Larger ``n`` takes the distributed row number.
@@ -63,13 +64,22 @@ def top_n_per_group(
     if n > GROUP_LIMIT:
         return row_numbers(df, keys, order, rank).filter(F.col(rank) <= n)
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    first = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+    return first.withColumn(rank, F.col(rank).cast("bigint"))
 
 
-def period_growth(revenue: DataFrame, *, granularity: str = "month") -> DataFrame:
+def period_growth(
+    revenue: DataFrame,
+    *,
+    granularity: str = "month",
+    above: Sequence[tuple[str, Decimal]] = GROWTH_ABOVE,
+    at_least: Sequence[tuple[str, Decimal]] = GROWTH_AT_LEAST,
+) -> DataFrame:
     """Revenue per user and month with the neighbouring active months and a growth class.
 
-    ``months_since_first_order`` counts the user's active months, not calendar months.
+    ``months_since_first_order`` counts the user's active months, not calendar months. ``above`` and
+    ``at_least`` are the classes in turn, with the factor of the previous month's revenue that the
+    month must be above or at; what meets none is in the last class.
     """
     period = period_of(F.col("order_date"), granularity)
     monthly = revenue.groupBy("user_id", period.alias("month")).agg(
@@ -78,9 +88,9 @@ def period_growth(revenue: DataFrame, *, granularity: str = "month") -> DataFram
     active = Window.partitionBy("user_id").orderBy("month")  # at most one row per calendar month
     now, previous = F.col("monthly_revenue"), F.col("prev_month_revenue")
     growth = F.when(previous.isNull(), GROWTH_FIRST)
-    for label, factor in GROWTH_ABOVE:
+    for label, factor in above:
         growth = growth.when(now > previous * F.lit(factor), label)
-    for label, factor in GROWTH_AT_LEAST:
+    for label, factor in at_least:
         growth = growth.when(now >= previous * F.lit(factor), label)
     return (
         monthly.withColumn("prev_month_revenue", F.lag("monthly_revenue").over(active))

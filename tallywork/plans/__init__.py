@@ -11,7 +11,7 @@ from tallywork.plans.ordered import (
     row_numbers,
 )
 from tallywork.plans.skew import adapt_to_skew, hot_keys, salted_join
-from tallywork.plans.storage import durable, shared_folder
+from tallywork.plans.storage import durable, remove, scratch, shared_folder, stored
 
 __all__ = [
     "OrderedRows",
@@ -24,7 +24,10 @@ __all__ = [
     "hot_keys",
     "join_null_safe",
     "order_rows",
+    "remove",
     "row_numbers",
     "salted_join",
+    "scratch",
     "shared_folder",
+    "stored",
 ]

@@ -48,13 +48,15 @@ def _slice_offsets(cut: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Inner join on columns where NULL equals NULL; keeps the left copy of the columns."""
+def join_null_safe(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], *, how: str = "inner"
+) -> DataFrame:
+    """Join on columns where NULL equals NULL; keeps the left copy of the columns."""
     match = F.lit(True)
     for name in columns:
         right = right.withColumnRenamed(name, f"_right_{name}")
         match = match & F.col(name).eqNullSafe(F.col(f"_right_{name}"))
-    return left.join(right, match).drop(*(f"_right_{name}" for name in columns))
+    return left.join(right, match, how).drop(*(f"_right_{name}" for name in columns))
 
 
 def row_numbers(
@@ -68,9 +70,9 @@ def row_numbers(
 
 
 def cut_by_value(df: DataFrame, keys: Sequence[str], value: str, unique: str) -> DataFrame:
-    """Cut the rows with a ``value`` by key and value, ready for ``exact_percentiles``."""
-    order = [*(F.col(k).asc_nulls_last() for k in keys), F.col(value), F.col(unique)]
-    return cut_by_order(df.filter(F.col(value).isNotNull()), order)
+    """Cut all rows by key and value, those without a value last, ready for ``exact_percentiles``."""
+    order = [*(F.col(k).asc_nulls_last() for k in keys), F.col(value).asc_nulls_last(), F.col(unique)]
+    return cut_by_order(df, order)
 
 
 def exact_percentiles(
@@ -79,8 +81,10 @@ def exact_percentiles(
     """Interpolated percentiles per key for groups of any size; one column per entry of ``shares``.
 
     Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here the
-    values are sorted across the cluster and only the two neighbours of each rank are read.
+    values are sorted across the cluster and only the two neighbours of each rank are read. Rows
+    without a value do not count; a key that has no others is left out.
     """
+    cut = cut.filter(F.col(value).isNotNull())
     offsets = _slice_offsets(cut, keys)
     total = F.sum("_n").over(Window.partitionBy(*keys))
     wanted = F.explode(

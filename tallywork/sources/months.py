@@ -7,20 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from tallywork.functions import month_of
+from tallywork.functions import moment, month_of
 
 MONTH = "event_month"
 
 
-def write_by_month(df: DataFrame, path: str, *, time: str = "event_at", unique: str = "event_id") -> None:
-    """Write ``df`` in one folder per month.
+def write_by_month(
+    df: DataFrame,
+    path: str,
+    *,
+    time: str = "event_at",
+    unique: str = "event_id",
+    mode: str = "error",
+) -> None:
+    """Write ``df`` in one folder per month; ``mode="append"`` adds rows to the table.
 
     Rows are range-partitioned by time, so a month of any size is written by as many tasks as it
     needs, each task touches few months, and files hold narrow time ranges.
     """
     rows = df.withColumn(MONTH, month_of(F.col(time)))
     rows = rows.repartitionByRange(MONTH, time, unique).sortWithinPartitions(MONTH, time, unique)
-    rows.write.partitionBy(MONTH).parquet(path)
+    rows.write.partitionBy(MONTH).mode(mode).parquet(path)
 
 
 def read_months(
@@ -39,6 +46,7 @@ def read_months(
     """
     with_month = StructType([*schema, StructField(MONTH, DateType())])
     stored = spark.read.schema(with_month).parquet(path)
+    kind = with_month[time].dataType
     months = F.col(MONTH).between(F.lit(lo.date().replace(day=1)), F.lit(hi.date()))
-    inside = (F.col(time) >= F.lit(lo)) & (F.col(time) < F.lit(hi))
+    inside = (F.col(time) >= moment(lo, kind)) & (F.col(time) < moment(hi, kind))
     return stored.filter(months & inside).select(*columns)

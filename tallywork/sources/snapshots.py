@@ -1,66 +1,137 @@
-"""A keyed table that is replaced as a whole by each upsert."""
+"""A keyed table in parts; an upsert rewrites the parts that it touches."""
+
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.plans import durable
+from tallywork.plans import remove, stored
 
 VERSION = "version"
+PART = "_part"
+PARTS = 64
+KEPT = 3
+_COMMIT = "version int, affected bigint, parts map<string,int>"
+
+
+def hashed_part(key: Column) -> Column:
+    """One of a fixed number of parts, by a hash of the key."""
+    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("string")
 
 
 class Snapshots:
     """Versions of a table under ``path``; the newest committed version is the table.
 
-    An upsert writes the merged rows as a new version and only then adds a small commit record, so
-    a failed write stays invisible and readers never see a folder that is being written. One
-    writer at a time is assumed; old versions are kept.
+    ``part`` maps the key to the part that holds it, a short text: a hash by default, or a calendar
+    month for a table whose upserts bring recent days. An upsert writes the merged rows of the parts
+    that it touches and only then adds a small commit record that names the version of every part,
+    so a failed write stays invisible and readers never see a folder that is being written. One
+    writer at a time is assumed. The last ``keep`` versions can be read; what only older ones need is
+    deleted.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "period"):
-        self.spark, self.key = spark, key
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str = "period",
+        *,
+        part: Callable[[Column], Column] = hashed_part,
+        keep: int = KEPT,
+    ):
+        self.spark, self.key, self._part, self._keep = spark, key, part, keep
         self._data, self._commits = f"{path}/data", f"{path}/commits"
 
-    def version(self) -> int:
-        """The newest committed version, 0 before the first."""
+    def _committed(self) -> dict[int, dict[str, int]]:
+        """The last commits: version to (part to the version that wrote it)."""
         try:
-            commits = self.spark.read.schema("version int, affected bigint").json(self._commits)
-            return commits.agg(F.max(VERSION)).first()[0] or 0
+            commits = self.spark.read.schema(_COMMIT).json(self._commits)
+            last = commits.orderBy(F.col(VERSION).desc()).limit(self._keep + 1).collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return 0
+                return {}
             raise
+        return {r[VERSION]: dict(r["parts"]) for r in last}
+
+    def version(self) -> int:
+        """The newest committed version, 0 before the first."""
+        return max(self._committed(), default=0)
+
+    def _folder(self, part: str, version: int) -> str:
+        return f"{self._data}/{VERSION}={version}/{PART}={part}"
 
-    def read(self) -> DataFrame:
-        """The current rows."""
-        return self.spark.read.parquet(f"{self._data}/{VERSION}={self.version()}")
+    def read(self, version: int | None = None) -> DataFrame:
+        """The current rows, or those of one of the versions that are kept."""
+        commits = self._committed()
+        kept = sorted(commits)[-self._keep :]
+        if version is not None and version not in kept:
+            raise KeyError(f"version {version} is not kept")
+        parts = commits[kept[-1] if version is None else version]
+        return self.spark.read.parquet(*(self._folder(p, v) for p, v in parts.items()))
 
     def upsert(self, rows: DataFrame) -> int:
         """Insert ``rows``, replacing every row with the same key, and return how many came in.
 
-        A row replaces all columns, NULLs included. An empty input changes nothing and returns 0.
-        Keys must be unique within the input.
+        ``rows`` may bring some of the columns only: the others stay as they are in known rows and are
+        NULL in new ones. Columns that come in replace the old values, NULLs included. An empty input
+        changes nothing and returns 0. Keys must be unique within the input. The names of the touched
+        parts reach the driver.
         """
-        rows = durable(rows, "incoming")  # computed once, read for the check and for the merge
-        counts = rows.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
-        seen = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-        if not seen["rows"]:
-            return 0
-        if seen["most"] > 1:
+        part = F.coalesce(self._part(F.col(self.key)).cast("string"), F.lit("none"))
+        # computed once, read for the check and for the merge
+        rows, folder = stored(rows.withColumn(PART, part), "incoming")
+        counts = rows.groupBy(PART, self.key).agg(F.count(F.lit(1)).alias("n"))
+        seen = counts.groupBy(PART).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).collect()
+        if any(r["most"] > 1 for r in seen):
             raise ValueError(f"{self.key} is not unique in the input")
-        last = self.version()
-        merged = merge(self.read(), rows, self.key) if last else rows
-        merged.write.mode("overwrite").parquet(f"{self._data}/{VERSION}={last + 1}")
+        affected, touched = sum(r["rows"] for r in seen), {r[PART] for r in seen}
+        if not affected:
+            return 0
+        commits = self._committed()
+        last = max(commits, default=0)
+        parts = commits.get(last, {})
+        merged = rows
+        if parts:
+            known = [self._folder(p, v) for p, v in parts.items() if p in touched]
+            table = self.spark.read.parquet(*known) if known else self.read().limit(0)
+            merged = merge(table.withColumn(PART, part), rows, self.key)
+        merged.write.partitionBy(PART).mode("overwrite").parquet(f"{self._data}/{VERSION}={last + 1}")
+        parts = parts | dict.fromkeys(touched, last + 1)
+        entries = F.map_from_arrays(
+            F.array(*map(F.lit, parts)), F.array(*map(F.lit, parts.values()))
+        )
         commit = self.spark.range(1).select(
-            F.lit(last + 1).alias(VERSION), F.lit(seen["rows"]).alias("affected")
+            F.lit(last + 1).alias(VERSION), F.lit(affected).alias("affected"), entries.alias("parts")
         )
         commit.coalesce(1).write.mode("append").json(self._commits)
-        return seen["rows"]
+        self._forget({**commits, last + 1: parts})
+        remove(self.spark, folder)
+        return affected
+
+    def _forget(self, commits: dict[int, dict[str, int]]) -> None:
+        """Delete the folders that fell out of use with the version before the kept ones."""
+        kept = sorted(commits)[-self._keep :]
+        needed = {item for v in kept for item in commits[v].items()}
+        for old in set(commits) - set(kept):
+            for part, version in set(commits[old].items()) - needed:
+                remove(self.spark, self._folder(part, version))
 
 
 def merge(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Rows of ``target`` with the rows of the same key replaced and the new ones added."""
-    if set(target.columns) != set(rows.columns):
-        raise ValueError("both sides need the same columns")
-    kept = target.join(rows.select(key), key, "left_anti")
-    return kept.unionByName(rows)
+    """Rows of ``target`` with the columns of ``rows`` put in by key, and the new rows added."""
+    extra = set(rows.columns) - set(target.columns)
+    if extra or key not in rows.columns:
+        raise ValueError("the input needs the key and no other columns than the table's")
+    new = rows.select(F.struct(*rows.columns).alias("_new"), F.col(key).alias("_key"))
+    old = target.select(F.struct(*target.columns).alias("_old"), F.col(key).alias("_old_key"))
+    joined = old.join(new, F.col("_old_key").eqNullSafe(F.col("_key")), "full_outer")
+    came = F.col("_new").isNotNull()
+    return joined.select(
+        *(
+            F.when(came, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
+            if c in rows.columns
+            else F.col(f"_old.{c}").alias(c)
+            for c in target.columns
+        )
+    )

@@ -104,6 +104,9 @@ RULES = (
     Check("subscriptions", "mrr not negative", "mrr >= 0"),
     Unique("subscriptions", "sub_id"),
     ForeignKey("subscriptions", "user_id", "users", "user_id"),
+    *_not_null("employees", "emp_id", "name"),
+    Unique("employees", "emp_id"),
+    ForeignKey("employees", "manager_id", "employees", "emp_id"),
 )
 # a key of order_items for tables that carry one
 ITEM_RULES = (*_not_null("order_items", "item_id"), Unique("order_items", "item_id"))

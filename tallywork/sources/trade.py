@@ -51,7 +51,7 @@ class TradeTables(Mapping):
 
     def _customers(self) -> DataFrame:
         customer, nation = self._read("customer"), self._read("nation")
-        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+        return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
 
     def _build(self, name: str) -> DataFrame:
         match name:
@@ -160,7 +160,7 @@ def _items(lineitem: DataFrame, products: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct"),
     )
-    return items.join(prices, "product_id").select(
+    return items.join(prices, "product_id", "left").select(
         "order_id", "product_id", "quantity", "unit_price", "discount_pct"
     )
 

@@ -471,14 +471,90 @@ def test_lookups(frame):
     assert op.has_rows(users, F.col("user_id") == 9).first()["has_events"] is False
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark, frame):
     df = spark.range(100).select((F.col("id") * 2).alias("v"), "id")
     assert [r["id"] for r in op.keyset_page(df, "id", 40, size=3).collect()] == [41, 42, 43]
-    near = [r["id"] for r in op.offset_page(df, "id", 90, size=20).collect()]
-    monkeypatch.setattr("tallywork.operators.access.TOP_ROWS", 10)
     far = op.offset_page(df, "id", 90, size=20)
     assert far.columns == ["v", "id"]
-    assert [r["id"] for r in far.collect()] == near == list(range(90, 100))
+    assert [r["id"] for r in far.collect()] == list(range(90, 100))
+    keys = frame([(None, "a"), (1, "c"), (1, "b"), (2, "d"), (3, None)], "id int, v string")
+    pages = [op.offset_page(keys, "id", n, size=3).collect() for n in (0, 1, 3, 5)]
+    assert [tuple(r) for r in pages[0]] == [(None, "a"), (1, "b"), (1, "c")]
+    assert [tuple(r) for r in pages[1]] == [(1, "b"), (1, "c"), (2, "d")]
+    assert [tuple(r) for r in pages[2]] == [(2, "d"), (3, None)] and pages[3] == []
+
+
+@pytest.mark.parametrize("n", [3, 5])
+def test_funnels_of_any_length(frame, n):
+    steps = ["a", "b", "c", "d", "e"][:n]
+    rows = [(f"s{i}", steps[k], "x") for i in range(n) for k in range(i + 1)]
+    events = frame(rows, "session_id string, event_type string, device_type string")
+    whole = op.funnel(events, steps=steps).first()
+    assert whole[:n] == tuple(range(n, 0, -1))
+    assert whole["a_to_b_pct"] == round(100 * (n - 1) / n, 1)
+    assert whole["overall_conversion_pct"] == round(100 / n, 2)
+    drop = op.funnel_dropoff(events, steps=steps).collect()
+    assert [r["step"] for r in drop] == [f"{i}. {s}" for i, s in enumerate(steps, 1)]
+    assert [r["dropped_off"] for r in drop] == [1] * (n - 1) + [0]
+    named = op.funnel_dropoff(events, steps=steps, labels=[s.upper() for s in steps]).collect()
+    assert [r["step"] for r in named] == [s.upper() for s in steps]
+    split = op.funnel_by_segment(events, steps=steps).first()
+    assert (split["device"], split["sessions"], split["a"], split[steps[-1]]) == ("x", n, n, 1)
+
+
+def test_rank_has_one_type(frame):
+    rows = frame([(i % 2, i) for i in range(20)], "k int, v int")
+    few, many = (
+        op.top_n_per_group(rows, ["k"], [F.col("v").asc()], n, rank="r") for n in (1000, 1001)
+    )
+    assert few.schema["r"].dataType == many.schema["r"].dataType
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
+def test_ltv_counts_customers_without_a_total(frame):
+    users = frame([(1, "pro", "x"), (2, "pro", "x"), (3, "free", None)], "user_id int, plan string, acquired_channel string")
+    revenue = frame(
+        [(1, 1, at("2024-01-01"), d(10)), (2, 2, at("2024-01-01"), None), (3, 3, at("2024-01-01"), None)],
+        REVENUE,
+    )
+    out = by(op.ltv_by_segment(users, revenue, as_of=F.lit("2024-02-01").cast("timestamp_ntz")), "plan")
+    assert out["pro"]["customer_count"] == 2 and out["pro"]["avg_total_revenue"] == 5.0
+    assert out["free"]["customer_count"] == 1 and out["free"]["top10pct_revenue_share_pct"] is None
+
+
+def test_growth_classes_are_parameters(frame):
+    rows = [(1, 1, at("2024-01-01"), d(100)), (2, 1, at("2024-02-01"), d(150)), (3, 1, at("2024-03-01"), None)]
+    revenue = frame(rows, REVENUE)
+    by_month = by(op.period_growth(revenue), "month")
+    assert by_month[date(2024, 2, 1)]["growth_category"] == "strong_growth"
+    assert by_month[date(2024, 3, 1)]["growth_category"] == "significant_decline"
+    own = by(op.period_growth(revenue, above=[("doubled", d(2))], at_least=[("kept", d(1))]), "month")
+    assert own[date(2024, 2, 1)]["growth_category"] == "kept"
+
+
+def test_hierarchy_of_any_depth(frame):
+    rows = [(i, f"n{i}", i - 1 if i else None) for i in range(30)] + [(50, "a", 51), (51, "b", 50), (60, "c", 50)]
+    staff = frame(rows, "emp_id int, name string, manager_id int")
+    deep = op.traverse_hierarchy(staff, max_depth=None)
+    assert sorted((r["emp_id"], r["depth"]) for r in deep.collect()) == [(i, i + 1) for i in range(30)]
+    assert op.traverse_hierarchy(staff).count() == 10
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark, tables):
+    def both():
+        revenue = op.order_revenue(tables["placed_orders"], tables["order_items"], tables["products"])
+        start, end = datetime(1996, 1, 1), datetime(1998, 6, 30)
+        cohorts = op.cohort_retention_range(revenue, start, end, max_period=3, wide=False)
+        funnel = op.funnel_metrics(tables["events"], datetime(2024, 1, 3), datetime(2024, 1, 20))
+        return sorted(map(tuple, cohorts.collect())), funnel.collect()
+
+    here = both()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert both() == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_revenue_summary(frame):
@@ -512,13 +588,17 @@ def test_analytics_facade(spark, tables):
     total = facade.revenue_summary("year").agg(F.sum("total_orders")).first()[0]
     assert total == facade.revenue.count()
     assert facade.funnel_metrics("2024-01-01", "2024-02-01", "referrer").count() == 5
-    tables["events"].createOrReplaceTempView("some_events")
+    spark.range(3).createOrReplaceTempView("events")  # a view of the caller's own
+    counter = spark.sparkContext.accumulator(0)
     counted = facade.process_in_chunks(
-        "SELECT event_id FROM some_events WHERE event_type = :kind",
+        "SELECT event_id FROM events WHERE event_type = :kind",
         lambda chunk: chunk.agg(["count"]).rename(columns={"event_id": "n"}),
         "n bigint",
         params={"kind": "purchase"},
         chunk_size=100,
+        counter=counter,
     )
+    assert spark.table("events").count() == 3
+    spark.catalog.dropTempView("events")
     expected = tables["events"].filter("event_type = 'purchase'").count()
-    assert counted.agg(F.sum("n")).first()[0] == expected
+    assert counted.agg(F.sum("n")).first()[0] == expected == counter.value

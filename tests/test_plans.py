@@ -1,7 +1,10 @@
 """Physical plans keep the properties that matter at scale."""
 
+import re
 from datetime import date
 
+import __spark_entry__ as entry_module
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from tallywork import operators as op
@@ -41,7 +44,44 @@ def test_pages_take_the_top_rows(tables):
     orders = tables["placed_orders"]
     plan = plan_of(op.keyset_page(orders, "order_id", 1000))
     assert "TakeOrderedAndProject" in plan and "GreaterThan(o_orderkey,1000)" in plan
-    assert "TakeOrderedAndProject" in plan_of(op.offset_page(orders, "order_id", 100))
+
+def test_registered_pages_look_up_the_rows_of_the_page_only(spark):
+    for name in ("keyset_page", "offset_page", "offset_page_far"):
+        plan = plan_of(entry_module.queries()[name](spark, SF_DIR))
+        lookup = plan[plan.index("Join") :]  # the first join is the lookup of the country
+        before = lookup[: lookup.index("c_custkey")]
+        cut = "TakeOrderedAndProject(limit=20" if name == "keyset_page" else "- _first"
+        assert "LeftOuter" in lookup.splitlines()[0] and cut in before
+        assert plan.count("orders.parquet") <= 1  # the numbered pages read stored slices
+
+
+def test_existence_reads_the_table_and_stops_early(spark):
+    plan = plan_of(entry_module.queries()["has_events"](spark, SF_DIR))
+    assert "events.parquet" in plan and "LocalLimit 1" in plan
+
+
+def test_cohort_window_reaches_the_scan(spark):
+    for name in ("cohort_api", "cohort_api_wide"):
+        plan = plan_of(entry_module.queries()[name](spark, SF_DIR))
+        scan = next(x for x in plan.splitlines() if "Filter" in x and "o_orderdate" in x)
+        assert re.search(r"o_orderdate#\d+ >= 1996-01-01", scan)
+        assert re.search(r"o_orderdate#\d+ < 1999-01-01", scan)
+        assert "cast(o_orderdate" not in scan
+
+
+def test_month_folders_are_pruned(spark):
+    found = entry_module.queries()["orders_month_pruned"](spark, SF_DIR)
+    read = found.select(F.input_file_name()).distinct().collect()
+    assert {r[0].split("event_month=")[1][:7] for r in read} == {"1997-02", "1997-03", "1997-04"}
+
+
+def test_constraint_report_reads_each_table_once(spark, tables):
+    from tallywork.operators import quality
+    from tallywork.sources import RULES
+
+    plans = [plan_of(df) for df in quality._findings(tables, RULES)]
+    assert sum(p.count("FileScan parquet") for p in plans) <= 12
+    assert all(p.count("Exchange hashpartitioning(kind") == 1 for p in plans)
 
 
 def test_either_is_one_scan(tables):

@@ -1,14 +1,16 @@
 """Snapshots, month folders, chunks and the shared folder."""
 
+import os
 from datetime import date, datetime
 
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallywork.operators import process_in_chunks
-from tallywork.plans import durable, shared_folder
-from tallywork.plans.storage import new_folder
+from tallywork.plans import durable, scratch, shared_folder
+from tallywork.plans.storage import application_folder, new_folder
 from tallywork.sources import SCHEMAS, Snapshots, conform, read_months, read_tables, write_by_month
 
 SUMMARY = "period date, total_revenue double, total_orders bigint"
@@ -44,10 +46,77 @@ def test_upsert_needs_unique_keys(frame, table):
     assert table.version() == 0
 
 
-def test_upsert_needs_the_same_columns(frame, table):
-    table.upsert(frame([(day(1), 1.0, 1)], SUMMARY))
-    with pytest.raises(ValueError):
-        table.upsert(frame([(day(1), 1.0)], "period date, total_revenue double"))
+def test_upsert_of_some_columns(frame, table):
+    table.upsert(frame([(day(1), 1.0, 1), (day(2), 2.0, 2)], SUMMARY))
+    assert table.upsert(frame([(day(2), 9.0), (day(3), 3.0)], "period date, total_revenue double")) == 2
+    assert rows_of(table) == {1: (1.0, 1), 2: (9.0, 2), 3: (3.0, None)}
+    for wrong in ("period date, other double", "day date, total_revenue double"):
+        with pytest.raises((ValueError, AnalysisException)):
+            table.upsert(frame([(day(2), 9.0)], wrong))
+
+
+def test_upsert_rewrites_touched_parts_only(spark, frame):
+    months = Snapshots(
+        spark, new_folder(spark, "summary"), part=lambda d: F.date_format(d, "yyyy-MM"), keep=2
+    )
+    rows = [(date(2024, m, 1), float(m), m) for m in range(1, 7)]
+    months.upsert(frame(rows, SUMMARY))
+    before = set(months.read().inputFiles())
+    months.upsert(frame([(date(2024, 6, 2), 0.0, 0)], SUMMARY))
+    after = set(months.read().inputFiles())
+    changed = {f.split("_part=")[1].split("/")[0] for f in before ^ after}
+    assert changed == {"2024-06"} and len(before & after) >= 5
+    assert months.read(version=1).count() == 6 and months.read().count() == 7
+    months.upsert(frame([(date(2024, 6, 3), 0.0, 0)], SUMMARY))
+    assert months.read(version=2).count() == 7
+    assert not any("version=1/_part=2024-06" in f for f in _files(spark, months._data))
+    with pytest.raises(KeyError):
+        months.read(version=1)
+
+
+def _files(spark, folder):
+    return spark.read.option("recursiveFileLookup", "true").parquet(folder).inputFiles()
+
+
+def test_scratch_folders_are_removed(spark):
+    from tallywork import operators as op
+
+    def left():
+        place = application_folder(spark).replace("file:", "")
+        return set(os.listdir(place))
+
+    orders = spark.range(50).select(
+        F.col("id").alias("order_id"),
+        (F.col("id") % 7).alias("user_id"),
+        F.lit(datetime(2024, 1, 1)).alias("order_date"),
+        F.col("id").cast("decimal(10,2)").alias("net_revenue"),
+    )
+    before = left()
+    with scratch(spark):
+        assert op.rank_orders(orders).count() == 50
+        assert left() > before
+    assert left() == before
+
+
+def test_months_grow(spark):
+    def events(first, n):
+        return spark.range(first, first + n).select(
+            F.col("id").alias("event_id"),
+            (F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(F.col("id").cast("int"))).alias("event_at"),
+        )
+
+    path = new_folder(spark, "months")
+    write_by_month(events(0, 200), path)
+    write_by_month(events(200, 200), path, mode="append")
+    lo, hi = datetime(2024, 7, 10), datetime(2024, 8, 2)
+    found = read_months(spark, path, lo, hi, schema=events(0, 1).schema)
+    assert found.count() == 23
+    read = {f.split("event_month=")[1].split("/")[0] for f in _read_files(found)}
+    assert read == {"2024-07-01", "2024-08-01"}
+
+
+def _read_files(df):
+    return [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
 
 
 def test_uncommitted_version_is_invisible(frame, table):
