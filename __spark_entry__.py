@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType, IntegerType  # noqa: E402
 import oracles  # noqa: E402
 from tallywork import operators as op  # noqa: E402
 from tallywork.fixed_values import COMPLETED, FUNNEL_STEPS  # noqa: E402
-from tallywork.plans import adapt_to_skew, durable, hot_keys  # noqa: E402
+from tallywork.plans import adapt_to_skew, durable  # noqa: E402
 from tallywork.plans.storage import new_folder  # noqa: E402
 from tallywork.sources import (  # noqa: E402
     RULES,
@@ -61,10 +61,6 @@ def _now(t: Tables):
     return op.latest(t["placed_orders"], "order_date")
 
 
-def _busy_users(t: Tables) -> list:
-    return hot_keys(t["placed_orders"], "user_id")
-
-
 def _moment(name: str) -> datetime:
     return datetime.fromisoformat(PARAMETERS[name])
 
@@ -84,7 +80,7 @@ def _top_n_per_user(t: Tables) -> DataFrame:
 def _nth_value(t: Tables) -> DataFrame:
     rows = _revenue(t).select("user_id", "order_id", "order_date", "net_revenue")
     order = ["order_date", "order_id"]
-    return op.nth_per_group(rows, "user_id", order, 2, "net_revenue", hot=_busy_users(t))
+    return op.nth_per_group(rows, "user_id", order, 2, "net_revenue")
 
 
 def _mrr(t: Tables, literal: bool) -> DataFrame:
@@ -220,7 +216,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_n_per_user": _top_n_per_user,
     "mom_growth": lambda t: op.period_growth(_revenue(t)),
     "running_totals": lambda t: op.running_metrics(_revenue(t)),
-    "first_last_value": lambda t: op.first_last_compare(_revenue(t), hot=_busy_users(t)),
+    "first_last_value": lambda t: op.first_last_compare(_revenue(t)),
     "nth_value": _nth_value,
     "cohort_retention": lambda t: op.cohort_retention(_revenue(t)),
     "cohort_pivot": lambda t: op.cohort_retention_wide(_revenue(t)),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import INDENT, MAX_DEPTH, PATH_SEPARATOR
-from tallywork.plans import hot_keys, remove, salted_join, stored
+from tallywork.plans import remove, stored
 
 
 def traverse_hierarchy(
@@ -64,10 +64,8 @@ def _doubled(chains: DataFrame) -> DataFrame:
     above = chains.select(
         F.col("_id").alias("_next"), F.col("_chain").alias("_rest"), F.col("_next").alias("_top")
     )
-    joined = salted_join(
-        open_chains, above, "_next", hot=hot_keys(open_chains, "_next"), spread_by=["_id"]
-    )
-    longer = joined.select(
+    # one row above for each chain; Spark splits the partition of a parent with very many children
+    longer = open_chains.join(above, "_next").select(
         "_id", F.concat("_chain", "_rest").alias("_chain"), F.col("_top").alias("_next")
     )
     return chains.filter(~unfinished).unionByName(longer)

@@ -3,12 +3,12 @@
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions import normalise_email
 from tallywork.operators.windows import top_n_per_group
-from tallywork.plans import durable, hot_keys, salted_join
+from tallywork.plans import durable, join_null_safe
 from tallywork.sources.tables import Check, ForeignKey, Unique
 
 EVENT_KEY = ("user_id", "session_id", "event_type")
@@ -40,21 +40,17 @@ def duplicate_audit(
     return groups.filter(F.col("duplicate_count") > 1)
 
 
-def email_variants(users: DataFrame, *, hot: Sequence | None = None) -> DataFrame:
+def email_variants(users: DataFrame) -> DataFrame:
     """Each user's normalised email and how many users share it.
 
-    The counts are summed before the shuffle and joined back, so an address that a large share of
-    the users normalise to (``hot``) is never gathered.
+    The counts are summed before the shuffle and joined back; Spark splits the partition of an
+    address that a large share of the users normalise to, so it is never gathered.
     """
     rows = users.select(
         "user_id", "email", normalise_email(F.col("email")).alias("normalised_email")
     )
-    hot = hot_keys(rows, "normalised_email") if hot is None else hot
-    if not hot:
-        same = Window.partitionBy("normalised_email")
-        return rows.withColumn("variants_count", F.count(F.lit(1)).over(same))
     counts = rows.groupBy("normalised_email").agg(F.count(F.lit(1)).alias("variants_count"))
-    joined = salted_join(rows, counts, "normalised_email", hot=hot, spread_by=["user_id"])
+    joined = join_null_safe(rows, counts, ["normalised_email"])
     return joined.select("user_id", "email", "normalised_email", "variants_count")
 
 

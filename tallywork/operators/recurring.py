@@ -1,13 +1,11 @@
 """Recurring revenue: movements, churn and retention."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import CHURN, CONTRACTION, EXPANSION, NEW, REACTIVATION, UNCHANGED
 from tallywork.functions import half_up, month_of, percent, ratio
-from tallywork.plans import hot_keys, order_rows
+from tallywork.plans import order_rows
 
 
 def _movement(literal: bool) -> Column:
@@ -32,16 +30,15 @@ def _movement(literal: bool) -> Column:
 
 
 def mrr_movements(
-    subscriptions: DataFrame, *, literal: bool = False, hot: Sequence | None = None
+    subscriptions: DataFrame, *, literal: bool = False, slices: int | None = None
 ) -> DataFrame:
     """New, expansion, reactivation, contraction and churn revenue per month.
 
     Each subscription record is compared with the user's previous one. A sum is NULL in a month
-    without such a movement. ``hot`` lists users with very many records.
+    without such a movement. ``slices``: see ``order_rows``.
     """
     rows = subscriptions.select("user_id", "sub_id", "started_at", "mrr")
-    hot = hot_keys(rows, "user_id") if hot is None else hot
-    compared = order_rows(rows, "user_id", ("started_at", "sub_id"), hot=hot)
+    compared = order_rows(rows, "user_id", ("started_at", "sub_id"), slices=slices)
     compared = compared.with_previous("mrr", "prev_mrr").rows()
     before = F.coalesce(F.col("prev_mrr"), F.lit(0))
     changes = compared.filter(F.col("mrr") != before).select(
@@ -84,7 +81,7 @@ def mrr_movements(
     )
 
 
-def churn_nrr(subscriptions: DataFrame, *, hot: Sequence | None = None) -> DataFrame:
+def churn_nrr(subscriptions: DataFrame, *, slices: int | None = None) -> DataFrame:
     """Beginning, ending, churned and expansion revenue per month with churn and retention rates.
 
     "Beginning" is the user's previous record. Records that ended on or before their start are
@@ -93,8 +90,7 @@ def churn_nrr(subscriptions: DataFrame, *, hot: Sequence | None = None) -> DataF
     rows = subscriptions.filter(
         F.col("ended_at").isNull() | (F.col("ended_at") > F.col("started_at"))
     ).select("user_id", "sub_id", month_of(F.col("started_at")).alias("month"), "mrr")
-    hot = hot_keys(rows, "user_id") if hot is None else hot
-    compared = order_rows(rows, "user_id", ("month", "sub_id"), hot=hot)
+    compared = order_rows(rows, "user_id", ("month", "sub_id"), slices=slices)
     compared = compared.with_previous("mrr", "prev_mrr").rows()
     now, before, none = F.col("mrr"), F.col("prev_mrr"), F.lit(0)
     churned = F.when((now == 0) & (before > 0), before).otherwise(none)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.fixed_values import SESSION_GAP_MINUTES
 from tallywork.functions import average, day_of, half_up, minutes, percent, period_of, ratio
-from tallywork.plans import hot_keys, order_rows
+from tallywork.plans import order_rows
 
 _STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
 
@@ -129,19 +129,18 @@ def sessionize(
     *,
     gap_minutes: int = SESSION_GAP_MINUTES,
     goal: str = "purchase",
-    hot: Sequence | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Number the sessions of every known user; a gap longer than ``gap_minutes`` starts a new one.
 
-    ``hot`` lists users with very many events.
+    ``slices``: see ``order_rows``.
     """
     rows = events.filter(F.col("user_id").isNotNull()).select(
         "user_id", "event_id", "event_at", "event_type"
     )
-    hot = hot_keys(rows, "user_id") if hot is None else hot
     gap = F.make_dt_interval(mins=F.lit(gap_minutes))
     starts = F.coalesce(F.col("event_at") > F.col("previous_at") + gap, F.lit(True))
-    ordered = order_rows(rows, "user_id", ("event_at", "event_id"), hot=hot)
+    ordered = order_rows(rows, "user_id", ("event_at", "event_id"), slices=slices)
     ordered = ordered.with_previous("event_at", "previous_at")
     ordered = ordered.with_column("starts", starts.cast("int"))
     numbered = ordered.with_running_sum("starts", "session_num").rows()

@@ -14,7 +14,7 @@ from tallywork.fixed_values import (
     RANK_BUCKETS,
 )
 from tallywork.functions import average, day_of, month_of, percent, period_of
-from tallywork.plans import global_ranks, hot_keys, order_rows, row_numbers, salted_join
+from tallywork.plans import global_ranks, join_null_safe, order_rows, row_numbers
 
 # Spark limits each group before the shuffle for ranks up to this (its default threshold)
 GROUP_LIMIT = 1000
@@ -130,30 +130,20 @@ def running_metrics(revenue: DataFrame) -> DataFrame:
     )
 
 
-def first_last_compare(revenue: DataFrame, *, hot: Sequence | None = None) -> DataFrame:
+def first_last_compare(revenue: DataFrame, *, slices: int | None = None) -> DataFrame:
     """Every order next to the first and the latest order of its user.
 
-    ``hot`` lists users with very many orders (see ``hot_keys``); by default it is looked up.
+    Both ends of a user come from partial aggregates and are joined back; ``slices``: see
+    ``order_rows``.
     """
     rows = revenue.select("user_id", "order_id", "order_date", "net_revenue")
-    hot = hot_keys(rows, "user_id") if hot is None else hot
     order = ("order_date", "order_id")
-    numbered = order_rows(rows, "user_id", order, hot=hot).with_row_number("order_number").rows()
-    if hot:
-        ends = rows.groupBy("user_id").agg(
-            F.min_by(F.struct("net_revenue", "order_date"), F.struct(*order)).alias("_first"),
-            F.max_by("net_revenue", F.struct(*order)).alias("latest_order_revenue"),
-        )
-        compared = salted_join(numbered, ends, "user_id", hot=hot, spread_by=["order_id"])
-    else:
-        whole = (
-            Window.partitionBy("user_id")
-            .orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        )
-        compared = numbered.withColumn(
-            "_first", F.first(F.struct("net_revenue", "order_date")).over(whole)
-        ).withColumn("latest_order_revenue", F.last("net_revenue").over(whole))
+    numbered = order_rows(rows, "user_id", order, slices=slices).with_row_number("order_number")
+    ends = rows.groupBy("user_id").agg(
+        F.min_by(F.struct("net_revenue", "order_date"), F.struct(*order)).alias("_first"),
+        F.max_by("net_revenue", F.struct(*order)).alias("latest_order_revenue"),
+    )
+    compared = join_null_safe(numbered.rows(), ends, ["user_id"])
     first = F.col("_first.net_revenue")
     return compared.select(
         "user_id",
@@ -169,28 +159,16 @@ def first_last_compare(revenue: DataFrame, *, hot: Sequence | None = None) -> Da
 
 
 def nth_per_group(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    n: int,
-    value: str,
-    *,
-    hot: Sequence | None = None,
-    out: str = "nth_value",
+    df: DataFrame, key: str, order: Sequence[str], n: int, value: str, *, out: str = "nth_value"
 ) -> DataFrame:
     """Add the ``value`` of the ``n``-th row of each group to all its rows; NULL in smaller groups.
 
-    ``order`` ends with a unique column.
+    ``order`` ends with a unique column. Each task sends the first ``n`` rows of a group only; the
+    n-th ones are joined back.
     """
-    hot = hot_keys(df, key) if hot is None else hot
-    if not hot:
-        whole = (
-            Window.partitionBy(key)
-            .orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        )
-        return df.withColumn(out, F.nth_value(value, n).over(whole))
     columns = [F.col(c).asc() for c in order]
-    numbered = top_n_per_group(df.select(key, *order, value), [key], columns, n, rank="_rank")
-    nth = numbered.filter(F.col("_rank") == n).select(key, F.col(value).alias(out))
-    return salted_join(df, nth, key, hot=hot, spread_by=[order[-1]], how="left")
+    numbered = top_n_per_group(
+        df.select(key, *order, F.col(value).alias("_value")), [key], columns, n, rank="_rank"
+    )
+    nth = numbered.filter(F.col("_rank") == n).select(key, F.col("_value").alias(out))
+    return join_null_safe(df, nth, [key], how="left")

@@ -1,4 +1,4 @@
-"""How work is laid out over the cluster: shared tables, hot keys, ordered slices."""
+"""How work is laid out over the cluster: shared tables, skewed joins, ordered slices."""
 
 from tallywork.plans.ordered import (
     OrderedRows,
@@ -10,7 +10,7 @@ from tallywork.plans.ordered import (
     order_rows,
     row_numbers,
 )
-from tallywork.plans.skew import adapt_to_skew, hot_keys, salted_join
+from tallywork.plans.skew import adapt_to_skew
 from tallywork.plans.storage import durable, remove, scratch, shared_folder, stored
 
 __all__ = [
@@ -21,12 +21,10 @@ __all__ = [
     "durable",
     "exact_percentiles",
     "global_ranks",
-    "hot_keys",
     "join_null_safe",
     "order_rows",
     "remove",
     "row_numbers",
-    "salted_join",
     "scratch",
     "shared_folder",
     "stored",

@@ -5,17 +5,21 @@ into slices that are consecutive in the wanted order: work inside a slice is loc
 of one row per slice (and key) carries the running state from slice to slice.
 """
 
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tallywork.plans.storage import durable
 
 SLICE = "_slice"
 POS = "_pos"
-_COLD = -1
+_SPANS = "_spans"
+_SAMPLED = 20  # rows of the sample per slice
+_BLOCK = 64  # borders are searched in two steps
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -198,30 +202,31 @@ def global_ranks(
 
 @dataclass(frozen=True)
 class OrderedRows:
-    """Rows grouped by ``key`` in ``order``; the rows of hot keys are cut into slices.
+    """Rows grouped by ``key`` in ``order``, cut into slices of bounded size.
 
-    Cold rows of a key sit together in slice -1, so one window per (key, slice) serves all rows.
-    Only hot keys need state carried between slices; that state has at most one row per slice and
-    hot key.
+    One window per (key, slice) serves all rows. Keys that span slices carry state between them; that
+    state has at most one row per slice and is broadcast.
     """
 
     df: DataFrame
     key: str
     order: tuple[str, ...]
-    sliced: bool
+    spans: bool
 
     def _window(self):
-        parts = (self.key, SLICE) if self.sliced else (self.key,)
-        return Window.partitionBy(*parts).orderBy(*self.order)
+        return Window.partitionBy(self.key, SLICE).orderBy(*self.order)
 
-    def _carry(self, summary: Column, carried) -> DataFrame:
+    def _with_carried(self, rows: DataFrame, summary: Column, carried) -> DataFrame:
+        """Add ``_carried``: the state before the row's slice; NULL in the first one."""
+        if not self.spans:
+            return rows.withColumn("_carried", F.lit(None))
         per_slice = (
-            self.df.filter(F.col(SLICE) != _COLD)
-            .groupBy(self.key, SLICE)
-            .agg(summary.alias("_summary"))
+            self.df.filter(_SPANS).groupBy(self.key, SLICE).agg(summary.alias("_summary"))
         )
         by_slice = Window.partitionBy(self.key).orderBy(SLICE)
-        return per_slice.select(self.key, SLICE, carried(by_slice).alias("_carried"))
+        carry = per_slice.select(self.key, SLICE, carried(by_slice).alias("_carried"))
+        # a row per slice of the keys that span slices
+        return join_null_safe(rows, F.broadcast(carry), [self.key, SLICE], how="left")
 
     def with_column(self, name: str, value: Column) -> "OrderedRows":
         return replace(self, df=self.df.withColumn(name, value))
@@ -229,48 +234,79 @@ class OrderedRows:
     def with_previous(self, value: str, out: str) -> "OrderedRows":
         """``lag(value)`` in the key's order."""
         boxed = F.struct(F.col(value).alias("v"))  # tells a NULL value from no earlier row
-        previous = F.lag(boxed).over(self._window())
-        if not self.sliced:
-            return replace(self, df=self.df.withColumn(out, previous["v"]))
-        carry = self._carry(
-            F.max_by(boxed, F.struct(*self.order)), lambda w: F.lag("_summary").over(w)
+        rows = self.df.withColumn("_previous", F.lag(boxed).over(self._window()))
+        rows = self._with_carried(
+            rows, F.max_by(boxed, F.struct(*self.order)), lambda w: F.lag("_summary").over(w)
         )
-        rows = self.df.withColumn("_previous", previous).join(carry, [self.key, SLICE], "left")
         rows = rows.withColumn(out, F.coalesce("_previous", "_carried")["v"])
         return replace(self, df=rows.drop("_previous", "_carried"))
 
     def with_running_sum(self, value: str, out: str) -> "OrderedRows":
         """Running total of ``value`` up to and including the row."""
         running = F.sum(value).over(self._window().rowsBetween(*_UP_TO_HERE))
-        if not self.sliced:
-            return replace(self, df=self.df.withColumn(out, running))
-        carry = self._carry(
-            F.sum(value), lambda w: F.sum("_summary").over(w.rowsBetween(*_BEFORE))
+        rows = self.df.withColumn("_running", running)
+        rows = self._with_carried(
+            rows, F.sum(value), lambda w: F.sum("_summary").over(w.rowsBetween(*_BEFORE))
         )
-        rows = self.df.withColumn("_running", running).join(carry, [self.key, SLICE], "left")
         rows = rows.withColumn(out, F.col("_running") + F.coalesce("_carried", F.lit(0)))
         return replace(self, df=rows.drop("_running", "_carried"))
 
     def with_row_number(self, out: str) -> "OrderedRows":
         """1, 2, 3, ... in the key's order."""
-        if not self.sliced:
-            return replace(self, df=self.df.withColumn(out, F.row_number().over(self._window())))
-        ones = replace(self, df=self.df.withColumn("_one", F.lit(1)))
-        counted = ones.with_running_sum("_one", out)
+        counted = self.with_column("_one", F.lit(1)).with_running_sum("_one", out)
         return replace(counted, df=counted.df.drop("_one"))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(SLICE)
+        return self.df.drop(SLICE, _SPANS)
 
 
 def order_rows(
-    df: DataFrame, key: str, order: Sequence[str], *, hot: Sequence, slices: int | None = None
+    df: DataFrame, key: str, order: Sequence[str], *, slices: int | None = None
 ) -> OrderedRows:
-    """Prepare ``df`` for order-dependent work per ``key``; ``order`` must be total within a key."""
-    if not hot:
-        return OrderedRows(df, key, tuple(order), sliced=False)
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    cold = df.filter(~is_hot).withColumn(SLICE, F.lit(_COLD))
-    cut = _range_partitioned(df.filter(is_hot), [F.col(key), *map(F.col, order)], slices)
-    cut = durable(cut.withColumn(SLICE, F.spark_partition_id()), "hot-slices")
-    return OrderedRows(cold.unionByName(cut), key, tuple(order), sliced=True)
+    """Prepare ``df`` for order-dependent work per ``key``; ``order`` must be total within a key.
+
+    The rows are cut into about ``slices`` slices by (key, order), as many as there are shuffle
+    partitions by default. A row's slice is the number of borders at or before it inside its key, an
+    expression of the row alone, so a recomputed task gives the same slices.
+    """
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    borders = _borders(df, key, order, slices)
+    if not borders:
+        cut = df.withColumn(SLICE, F.lit(0)).withColumn(_SPANS, F.lit(False))
+        return OrderedRows(cut, key, tuple(order), spans=False)
+    place = StructType([df.schema[c] for c in order])
+    schema = StructType([df.schema[key]]).add("_borders", ArrayType(ArrayType(place)))
+    listed = df.sparkSession.createDataFrame(borders, schema)
+    # at most one border per slice
+    rows = join_null_safe(df, F.broadcast(listed), [key], how="left")
+    here = F.struct(*order)
+    block = F.size(F.filter("_borders", lambda b: b[0] <= here))
+    inside = F.size(F.filter(F.get("_borders", block - 1), lambda b: b <= here))
+    number = F.when(block > 0, (block - 1) * _BLOCK + inside).otherwise(0)
+    cut = rows.withColumn(_SPANS, F.col("_borders").isNotNull()).withColumn(
+        SLICE, F.coalesce(number, F.lit(0))
+    )
+    return OrderedRows(cut.drop("_borders"), key, tuple(order), spans=True)
+
+
+def _borders(df: DataFrame, key: str, order: Sequence[str], slices: int) -> list[tuple]:
+    """Where slices begin inside the keys that span them: (key, borders in blocks).
+
+    From a sample of some rows per slice, which is all that reaches the driver. The sample only
+    steers the layout; results do not depend on it.
+    """
+    rows = df.select(key, *order)
+    n = rows.count()
+    share = min(1.0, _SAMPLED * slices / max(n, 1))
+    step = max(1, round(n * share / slices))
+    by_key: dict[object, list[tuple]] = defaultdict(list)
+    for value, *place in (rows.sample(share, seed=1) if share < 1 else rows).collect():
+        by_key[value].append(tuple(place))
+    found = []
+    for value, places in by_key.items():
+        places.sort(key=lambda p: [(x is not None, x) for x in p])
+        starts = places[step::step]
+        if starts:
+            blocks = [starts[i : i + _BLOCK] for i in range(0, len(starts), _BLOCK)]
+            found.append((value, blocks))
+    return found

@@ -1,74 +1,12 @@
-"""Keys that hold a large share of all rows, and joins that spread them."""
+"""Session settings that let Spark split skewed joins."""
 
-import math
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-HOT_SHARE = 0.0005
-HOT_MIN_ROWS = 1_000_000
-_MERGERS = 256
-_SALT = "_salt"
+from pyspark.sql import SparkSession
 
 
 def adapt_to_skew(spark: SparkSession) -> None:
-    """Let Spark split skewed join partitions at run time, also where that costs a shuffle."""
-    for name in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"):
-        spark.conf.set(f"spark.sql.adaptive.{name}", "true")
-
-
-def hot_keys(
-    df: DataFrame, key: str, *, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> list:
-    """Values of ``key`` that hold at least ``share`` of the rows and ``min_rows`` rows.
+    """Let Spark split skewed join partitions at run time, also where that costs a shuffle.
 
-    One scan of one column: every task reduces its rows to a fixed-size frequent-items sketch, so
-    nothing is shuffled by key, and the sketches are merged in two steps. At most ``1 / share``
-    values can qualify, which bounds what reaches the driver. The list only steers the layout of
-    later work; results do not depend on it.
+    Meant for the set-up of a session; operators do not change settings.
     """
-    most = math.ceil(1 / share)
-    kept = 5 * most
-    merger = F.pmod(F.spark_partition_id(), F.lit(_MERGERS))
-    sketches = df.groupBy(merger.alias("merger")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {kept})").alias("sketch"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {kept}), {most})")
-    # one group rather than a global aggregate, so that no rows give no result
-    one = sketches.groupBy(F.lit("all")).agg(top.alias("top"), F.sum("n").alias("n"))
-    seen = one.first()
-    if seen is None:
-        return []
-    floor = max(min_rows, share * seen["n"])
-    return [t["item"] for t in seen["top"] if t["item"] is not None and t["count"] >= floor]
-
-
-def salted_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    *,
-    hot: Sequence,
-    spread_by: Sequence[str],
-    how: str = "inner",
-    salts: int | None = None,
-) -> DataFrame:
-    """Join facts to a lookup with one row per key, spreading the facts of hot keys.
-
-    Facts of a hot key get a salt from ``spread_by`` (columns that differ within the key); the few
-    lookup rows of hot keys are repeated once per salt. All other rows join as usual. ``how`` is
-    "inner" or "left". Without hot keys this is a plain join and Spark picks the strategy.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
-    if not hot:
-        return facts.join(lookup, key, how)
-    n = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(list(hot))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(n)).cast("int")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(-1)))
-    left = facts.withColumn(_SALT, F.when(is_hot, salt).otherwise(F.lit(-1)))
-    right = lookup.withColumn(_SALT, F.explode(copies))
-    return left.join(right, [key, _SALT], how).drop(_SALT)
+    for name in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"):
+        spark.conf.set(f"spark.sql.adaptive.{name}", "true")

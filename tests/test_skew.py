@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 
 import compare
 from tallywork import operators as op
-from tallywork.operators import hierarchy
 from tallywork.plans import (
     adapt_to_skew,
     cut_by_value,
     exact_percentiles,
     global_ranks,
-    hot_keys,
     order_rows,
     row_numbers,
-    salted_join,
 )
 from tallywork.plans.ordered import SLICE
 
@@ -74,62 +71,102 @@ def skewed_revenue(spark):
     )
 
 
-def test_hot_keys(skewed_events):
-    assert hot_keys(skewed_events, "user_id", share=0.2, min_rows=10) == [1]
-    assert hot_keys(skewed_events, "user_id") == []  # too few rows to matter
-    assert hot_keys(skewed_events.filter("user_id < 0"), "user_id", min_rows=1) == []
+@pytest.mark.parametrize("slices", [6, 30, 300])
+def test_keys_are_cut_into_even_slices(skewed_events, slices):
+    ordered = order_rows(skewed_events, "user_id", ("event_at", "event_id"), slices=slices)
+    sizes = ordered.df.groupBy("user_id", SLICE).count().collect()
+    n = skewed_events.count()
+    assert max(r["count"] for r in sizes) < 2.5 * n / slices + 40  # the sample has 20 rows a slice
+    first = [r for r in sizes if r["user_id"] == 1]
+    assert len(first) >= slices / 3 * 0.6
 
 
-def test_hot_rows_are_split(skewed_events, many_slices):
-    ordered = order_rows(skewed_events, "user_id", ("event_at", "event_id"), hot=[1])
-    sizes = ordered.df.groupBy("user_id", SLICE).count().filter("user_id = 1").collect()
-    assert len(sizes) > 3
-    assert max(r["count"] for r in sizes) < 250
+def test_a_small_share_is_cut_at_a_small_slice_size(spark):
+    """One key with 0.04 % of the rows and slices of half of that."""
+    key = F.when(F.col("id") < 40, 0).otherwise(F.col("id"))
+    rows = spark.range(100_000).select(key.alias("k"), F.col("id").alias("t"))
+    cut = order_rows(rows, "k", ("t",), slices=5000).df
+    sizes = cut.filter("k = 0").groupBy(SLICE).count().collect()
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 40
 
 
-@pytest.mark.parametrize("hot", [[1], [1, 5, 7], list(range(1, 60))])
-def test_sessionize(skewed_events, many_slices, hot):
-    same(op.sessionize(skewed_events, hot=hot), op.sessionize(skewed_events, hot=[]))
+def test_slices_follow_the_order_and_do_not_change(skewed_events, many_slices):
+    cut = order_rows(skewed_events, "user_id", ("event_at", "event_id"), slices=40).df
+    one, two = ({r["event_id"]: r[SLICE] for r in df.collect()} for df in (cut, cut.repartition(3)))
+    assert one == two
+    rows = cut.filter("user_id = 1").orderBy("event_at", "event_id").collect()
+    numbers = [r[SLICE] for r in rows]
+    assert numbers == sorted(numbers) and numbers[-1] > 5
+
+
+@pytest.mark.parametrize("slices", [1, 9, 200])
+def test_sessionize(skewed_events, many_slices, slices):
+    order = Window.partitionBy("user_id").orderBy("event_at", "event_id")
+    gap = F.col("event_at") > F.lag("event_at").over(order) + F.expr("interval 30 minutes")
+    starts = skewed_events.withColumn("s", F.coalesce(gap, F.lit(True)).cast("int"))
+    plain = starts.withColumn("session_num", F.sum("s").over(order))
+    plain = plain.groupBy("user_id", "session_num").agg(F.count(F.lit(1)).alias("n"))
+    found = op.sessionize(skewed_events, slices=slices)
+    same(found.select("user_id", "session_num", F.col("events_in_session").alias("n")), plain)
 
 
 @pytest.mark.parametrize("literal", [False, True])
 def test_mrr_movements(skewed_subscriptions, many_slices, literal):
-    plain = op.mrr_movements(skewed_subscriptions, literal=literal, hot=[])
-    same(op.mrr_movements(skewed_subscriptions, literal=literal, hot=[1, 2]), plain)
+    whole, cut = (
+        op.mrr_movements(skewed_subscriptions, literal=literal, slices=n) for n in (1, 100)
+    )
+    same(cut, whole)
 
 
 def test_churn_nrr(skewed_subscriptions, many_slices):
-    plain = op.churn_nrr(skewed_subscriptions, hot=[])
-    same(op.churn_nrr(skewed_subscriptions, hot=[1]), plain)
+    whole, cut = (op.churn_nrr(skewed_subscriptions, slices=n) for n in (1, 100))
+    same(cut, whole)
 
 
-def test_previous_keeps_null_values(frame, many_slices):
-    rows = [(1, i, None if i % 4 == 0 else i) for i in range(40)]
+@pytest.mark.parametrize("slices", [1, 7, 40])
+def test_previous_and_sums_against_plain_windows(frame, many_slices, slices):
+    rows = [(key, i, None if i % 4 == 0 else i) for key in (1, None) for i in range(40)]
     df = frame(rows, "k int, t int, v int")
-    hot = order_rows(df, "k", ("t",), hot=[1]).with_previous("v", "p").rows()
-    plain = order_rows(df, "k", ("t",), hot=[]).with_previous("v", "p").rows()
-    same(hot, plain)
-
-
-def test_first_last_compare(skewed_revenue, many_slices):
-    plain = op.first_last_compare(skewed_revenue, hot=[])
-    same(op.first_last_compare(skewed_revenue, hot=[1, 3]), plain)
+    window = Window.partitionBy("k").orderBy("t")
+    plain = df.select(
+        "k", "t", "v",
+        F.lag("v").over(window).alias("p"),
+        F.sum("t").over(window).alias("total"),
+        F.row_number().over(window).cast("bigint").alias("n"),
+    )
+    ordered = order_rows(df, "k", ("t",), slices=slices)
+    found = ordered.with_previous("v", "p").with_running_sum("t", "total").with_row_number("n")
+    same(found.rows(), plain)
+
+
+@pytest.mark.parametrize("slices", [1, 100])
+def test_first_last_compare(skewed_revenue, many_slices, slices):
+    window = Window.partitionBy("user_id").orderBy("order_date", "order_id")
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    plain = skewed_revenue.select(
+        "order_id",
+        F.first("net_revenue").over(whole).alias("first_order_revenue"),
+        F.last("net_revenue").over(whole).alias("latest_order_revenue"),
+        F.row_number().over(window).cast("bigint").alias("order_number"),
+    )
+    found = op.first_last_compare(skewed_revenue, slices=slices)
+    same(found.select(*plain.columns), plain)
 
 
 @pytest.mark.parametrize("n", [1, 3, 400, 5000])
 def test_nth_per_group(skewed_revenue, many_slices, n):
     order = ["order_date", "order_id"]
-
-    def run(hot):
-        return op.nth_per_group(skewed_revenue, "user_id", order, n, "net_revenue", hot=hot)
-
-    same(run([1]), run([]))
+    whole = Window.partitionBy("user_id").orderBy(*order)
+    whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    plain = skewed_revenue.withColumn("nth_value", F.nth_value("net_revenue", n).over(whole))
+    same(op.nth_per_group(skewed_revenue, "user_id", order, n, "net_revenue"), plain)
 
 
 def test_email_variants(frame):
     rows = [(i, f"Box+{i}@Mail.com" if i % 3 == 0 else f"u{i % 40}@mail.com") for i in range(300)]
-    users = frame(rows, "user_id bigint, email string")
-    same(op.email_variants(users, hot=["box@mail.com"]), op.email_variants(users, hot=[]))
+    users = frame([*rows, (300, None), (301, None)], "user_id bigint, email string")
+    counts = {r["user_id"]: r["variants_count"] for r in op.email_variants(users).collect()}
+    assert counts[0] == 100 and counts[300] == 2 and len(counts) == 302
 
 
 def test_top_n_beyond_the_group_limit(skewed_revenue, many_slices, monkeypatch):
@@ -139,25 +176,6 @@ def test_top_n_beyond_the_group_limit(skewed_revenue, many_slices, monkeypatch):
     same(op.top_n_per_group(skewed_revenue, ["user_id"], order, 5), plain)
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join(spark, skewed_events, how):
-    lookup = spark.range(0, 40).select(
-        F.col("id").alias("user_id"), (F.col("id") * 2).alias("twice")
-    )
-    plain = skewed_events.join(lookup, "user_id", how)
-    hot = salted_join(
-        skewed_events, lookup, "user_id", hot=[1, 59], spread_by=["event_id"], how=how, salts=5
-    )
-    same(hot, plain)
-
-
-def test_salted_join_refuses_other_joins(skewed_events):
-    with pytest.raises(ValueError):
-        salted_join(
-            skewed_events, skewed_events, "user_id", hot=[1], spread_by=["event_id"], how="full"
-        )
-
-
 @pytest.mark.parametrize("slices", [1, 4, 16, 60])
 def test_global_ranks(skewed_revenue, slices):
     rows = skewed_revenue.withColumn("month", F.trunc(F.to_date("order_date"), "month"))
@@ -215,14 +233,6 @@ def test_exact_percentiles(frame, many_slices):
     assert len(got) == plain.count()
 
 
-def test_hierarchy_with_a_hot_parent(frame, monkeypatch):
-    rows = [(1, "boss", None)] + [(i, f"e{i}", 1 if i % 2 else i // 2) for i in range(2, 80)]
-    df = frame(rows, "emp_id bigint, name string, manager_id bigint")
-    plain = op.traverse_hierarchy(df)
-    monkeypatch.setattr(hierarchy, "hot_keys", lambda df, key: [1, 2])
-    same(op.traverse_hierarchy(df).drop("path"), plain.drop("path"))
-
-
 @pytest.fixture
 def split_small_partitions(spark):
     settings = {
