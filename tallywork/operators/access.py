@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import PAGE_SIZE, RECENT_DAYS
-from tallywork.functions import day_of
+from tallywork.functions import any_names, day_of
 from tallywork.operators.windows import top_n_per_group
 from tallywork.plans import row_numbers
 
 
+@any_names
 def lateral_top_n(users: DataFrame, revenue: DataFrame, *, n: int = 2) -> DataFrame:
     """The ``n`` orders with the most revenue of each user; users without orders drop out.
 
@@ -30,6 +31,7 @@ def lateral_top_n(users: DataFrame, revenue: DataFrame, *, n: int = 2) -> DataFr
     )
 
 
+@any_names
 def country_revenue(
     users: DataFrame, revenue: DataFrame, *, as_of: Column, days: int = RECENT_DAYS
 ) -> DataFrame:
@@ -47,6 +49,7 @@ def country_revenue(
     )
 
 
+@any_names
 def orders_per_user(users: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders per user, 0 included. Orders are counted before the join."""
     counts = orders.groupBy("user_id").agg(F.count("order_id").alias("order_count"))
@@ -55,6 +58,7 @@ def orders_per_user(users: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+@any_names
 def orders_per_user_correlated(users: DataFrame, orders: DataFrame) -> DataFrame:
     """The same as a scalar subquery per user, which Spark rewrites to an outer join."""
     u, o = users.alias("u"), orders.alias("o")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import RETENTION_PERIODS
-from tallywork.functions import average, moment, month_of, months_apart, percent
+from tallywork.functions import any_names, average, moment, month_of, months_apart, percent
 
 
 def _first_per_user(column: str) -> Column:
@@ -45,11 +45,13 @@ def _retention(tagged: DataFrame) -> DataFrame:
     )
 
 
+@any_names
 def cohort_retention(revenue: DataFrame) -> DataFrame:
     """Active users per first-order month and months since, with the share that came back."""
     return _retention(_with_period(_user_months(revenue)))
 
 
+@any_names
 def cohort_retention_wide(
     revenue: DataFrame, *, periods: Sequence[int] = RETENTION_PERIODS
 ) -> DataFrame:
@@ -62,6 +64,7 @@ def cohort_retention_wide(
     return long.groupBy("cohort_month", "cohort_size").agg(*columns)
 
 
+@any_names
 def cohort_revenue(revenue: DataFrame) -> DataFrame:
     """Revenue per cohort and period, per member and against the first month."""
     user_months = _user_months(
@@ -97,6 +100,7 @@ def cohort_revenue(revenue: DataFrame) -> DataFrame:
     )
 
 
+@any_names
 def cohort_retention_range(
     revenue: DataFrame,
     start,

@@ -14,7 +14,7 @@ from tallywork.fixed_values import (
     FUNNEL_SHORT_NAMES,
     FUNNEL_STEPS,
 )
-from tallywork.functions import half_up, minutes, moment, percent, ratio
+from tallywork.functions import any_names, half_up, minutes, moment, percent, ratio
 from tallywork.plans import cut_by_value, exact_percentiles
 
 
@@ -48,6 +48,7 @@ def _rates(steps: Sequence[str]) -> list[Column]:
     ]
 
 
+@any_names
 def funnel(events: DataFrame, *, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
     """One row: sessions that reached each step, and the conversion from step to step.
 
@@ -61,6 +62,7 @@ def funnel(events: DataFrame, *, steps: Sequence[str] = FUNNEL_STEPS) -> DataFra
     )
 
 
+@any_names
 def funnel_by_segment(
     events: DataFrame, *, segment: str = "device_type", steps: Sequence[str] = FUNNEL_STEPS
 ) -> DataFrame:
@@ -87,6 +89,7 @@ def funnel_by_segment(
     )
 
 
+@any_names
 def time_to_convert(
     events: DataFrame, *, start: str = FUNNEL_STEPS[0], end: str = FUNNEL_STEPS[-1]
 ) -> DataFrame:
@@ -112,6 +115,7 @@ def time_to_convert(
     )
 
 
+@any_names
 def funnel_dropoff(
     events: DataFrame,
     *,
@@ -142,6 +146,7 @@ def funnel_dropoff(
     return totals.select(F.inline(F.array(*rows)))
 
 
+@any_names
 def funnel_metrics(events: DataFrame, start, end, *, segment_by: str | None = None) -> DataFrame:
     """Sessions per step between two moments (both included), optionally per device or referrer.
 

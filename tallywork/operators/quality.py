@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.functions import normalise_email
+from tallywork.functions import any_names, normalise_email
 from tallywork.operators.windows import top_n_per_group
 from tallywork.plans import durable, join_null_safe
 from tallywork.sources.tables import Check, ForeignKey, Unique
@@ -40,6 +40,7 @@ def duplicate_audit(
     return groups.filter(F.col("duplicate_count") > 1)
 
 
+@any_names
 def email_variants(users: DataFrame) -> DataFrame:
     """Each user's normalised email and how many users share it.
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import CHURN, CONTRACTION, EXPANSION, NEW, REACTIVATION, UNCHANGED
-from tallywork.functions import half_up, month_of, percent, ratio
+from tallywork.functions import any_names, half_up, month_of, percent, ratio
 from tallywork.plans import order_rows
 
 
@@ -29,6 +29,7 @@ def _movement(literal: bool) -> Column:
     return kind.otherwise(UNCHANGED)
 
 
+@any_names
 def mrr_movements(
     subscriptions: DataFrame, *, literal: bool = False, slices: int | None = None
 ) -> DataFrame:
@@ -81,6 +82,7 @@ def mrr_movements(
     )
 
 
+@any_names
 def churn_nrr(subscriptions: DataFrame, *, slices: int | None = None) -> DataFrame:
     """Beginning, ending, churned and expansion revenue per month with churn and retention rates.
 

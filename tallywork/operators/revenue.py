@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import ACTIVE_DAYS, COMPLETED
-from tallywork.functions import average, half_up, month_of, percent, period_of, ratio
+from tallywork.functions import any_names, average, half_up, month_of, percent, period_of, ratio
 from tallywork.plans import cut_by_value, exact_percentiles, join_null_safe
 
 
@@ -15,6 +15,7 @@ def latest(df: DataFrame, time: str) -> Column:
     return df.agg(F.max(time)).scalar()
 
 
+@any_names
 def order_revenue(
     orders: DataFrame, items: DataFrame, products: DataFrame, *, status: str | None = COMPLETED
 ) -> DataFrame:
@@ -44,6 +45,7 @@ def order_revenue(
     )
 
 
+@any_names
 def revenue_summary(revenue: DataFrame, granularity: str = "month") -> DataFrame:
     """Customers, orders, revenue and margin per period, with growth on the previous row."""
     period = period_of(F.col("order_date"), granularity)
@@ -71,6 +73,7 @@ def revenue_summary(revenue: DataFrame, granularity: str = "month") -> DataFrame
     ).withColumn("revenue_mom_pct", (ratio(F.col("total_revenue"), previous) - 1) * 100)
 
 
+@any_names
 def ltv_by_segment(
     users: DataFrame, revenue: DataFrame, *, as_of: Column, active_days: int = ACTIVE_DAYS
 ) -> DataFrame:

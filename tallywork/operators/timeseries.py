@@ -6,7 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.fixed_values import SESSION_GAP_MINUTES
-from tallywork.functions import average, day_of, half_up, minutes, percent, period_of, ratio
+from tallywork.functions import (
+    any_names,
+    average,
+    day_of,
+    half_up,
+    minutes,
+    percent,
+    period_of,
+    ratio,
+)
 from tallywork.plans import order_rows
 
 _STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
@@ -22,6 +31,7 @@ def _daily(revenue: DataFrame) -> DataFrame:
     )
 
 
+@any_names
 def gap_fill(orders: DataFrame, revenue: DataFrame, *, literal: bool = False) -> DataFrame:
     """Revenue for every day from the first to the last order, with the last known value carried.
 
@@ -40,6 +50,7 @@ def gap_fill(orders: DataFrame, revenue: DataFrame, *, literal: bool = False) ->
     )
 
 
+@any_names
 def date_spine_fill(revenue: DataFrame, *, as_of: Column) -> DataFrame:
     """Revenue and orders for every day from the first revenue to ``as_of``; empty days flagged.
 
@@ -75,6 +86,7 @@ def _spread(
     )
 
 
+@any_names
 def period_over_period(
     revenue: DataFrame, *, granularity: str = "month", back: int = 12, dense: bool = False
 ) -> DataFrame:
@@ -106,6 +118,7 @@ def period_over_period(
     )
 
 
+@any_names
 def rolling_activity(revenue: DataFrame) -> DataFrame:
     """Daily active users, their sums over 7 and 30 rows and the ratio to the 30-row mean."""
     daily = revenue.groupBy(day_of(F.col("order_date")).alias("day")).agg(
@@ -124,6 +137,7 @@ def rolling_activity(revenue: DataFrame) -> DataFrame:
     )
 
 
+@any_names
 def sessionize(
     events: DataFrame,
     *,

@@ -13,13 +13,14 @@ from tallywork.fixed_values import (
     GROWTH_REST,
     RANK_BUCKETS,
 )
-from tallywork.functions import average, day_of, month_of, percent, period_of
+from tallywork.functions import any_names, average, day_of, month_of, percent, period_of
 from tallywork.plans import global_ranks, join_null_safe, order_rows, row_numbers
 
 # Spark limits each group before the shuffle for ranks up to this (its default threshold)
 GROUP_LIMIT = 1000
 
 
+@any_names
 def rank_orders(revenue: DataFrame, *, buckets: int = RANK_BUCKETS) -> DataFrame:
     """Rank every order by revenue, overall and in its month, and split them into buckets."""
     rows = revenue.select(
@@ -68,6 +69,7 @@ def top_n_per_group(
     return first.withColumn(rank, F.col(rank).cast("bigint"))
 
 
+@any_names
 def period_growth(
     revenue: DataFrame,
     *,
@@ -101,6 +103,7 @@ def period_growth(
     )
 
 
+@any_names
 def running_metrics(revenue: DataFrame) -> DataFrame:
     """Daily revenue with running total, moving mean and maximum, and share of the whole.
 
@@ -130,6 +133,7 @@ def running_metrics(revenue: DataFrame) -> DataFrame:
     )
 
 
+@any_names
 def first_last_compare(revenue: DataFrame, *, slices: int | None = None) -> DataFrame:
     """Every order next to the first and the latest order of its user.
 

@@ -502,6 +502,19 @@ def test_funnels_of_any_length(frame, n):
     assert (split["device"], split["sessions"], split["a"], split[steps[-1]]) == ("x", n, n, 1)
 
 
+def test_columns_with_other_names(frame):
+    rows = [(1, 1, at("2024-01-05"), d(10)), (2, 1, at("2024-02-05"), d(20)), (3, 2, at("2024-02-06"), d(5))]
+    revenue = frame(rows, REVENUE)
+    names = {"user_id": "customer", "order_date": "placed", "net_revenue": "amount"}
+    own = revenue.withColumnsRenamed({a: b for a, b in names.items()})
+    own = own.withColumn("user_id", F.lit("not meant"))
+    for operator in (op.cohort_retention, op.running_metrics, op.period_growth, op.first_last_compare):
+        expected = operator(revenue)
+        found = operator(own, columns=names)
+        assert found.columns == expected.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_rank_has_one_type(frame):
     rows = frame([(i % 2, i) for i in range(20)], "k int, v int")
     few, many = (
