@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.plans import durable
+from tallywork.plans import remove, stored
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -31,12 +31,12 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected ``links`` (a, b); root: its component's smallest.
 
     Alternates large-star and small-star steps. Each step leaves one link per node at most in the
-    end, and a step's result is written to the shared folder, so lost executors cost one step. Only
-    a count and a checksum reach the driver. Nodes are bigints; links with a NULL end and links of a
+    end, and a step's result is written to the shared folder, so lost executors cost one step; the
+    result of the step before is deleted. Only a count and a checksum reach the driver. Nodes are bigints; links with a NULL end and links of a
     node to itself are ignored, repeated links count once; no links give no rows.
     """
     ends = links.filter(F.col("a") != F.col("b"))
-    now = durable(
+    now, folder = stored(
         ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
     before = None
@@ -49,4 +49,6 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
         before = state
-        now = durable(_star(_star(now, large=True), large=False), "links")
+        done = folder
+        now, folder = stored(_star(_star(now, large=True), large=False), "links")
+        remove(links.sparkSession, done)

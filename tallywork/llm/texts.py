@@ -2,11 +2,28 @@
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
+_MOST_BYTES = 32_000_000
+
+
+def _pieces(texts: pa.Array, largest: int) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of texts that are few and short enough together."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start, before = 0, 0
+    while start < len(texts):
+        fitting = int(np.searchsorted(ends, before + _MOST_BYTES, side="right"))
+        n = max(1, min(largest, fitting - start))
+        yield start, n
+        start += n
+        before = int(ends[start - 1])
+
+
 def arrow_rows(
     df: DataFrame,
     keep: list[str],
@@ -19,7 +36,8 @@ def arrow_rows(
 
     Keeps the columns ``keep`` of ``df`` and adds those that the DDL string ``added`` names. ``make``
     gets the UTF-8 bytes of some texts (NULL as an empty text) and returns one array per added
-    column. It is called with at most ``largest`` texts, which bounds the memory of a worker.
+    column. It is called with at most ``largest`` texts, and 32 MB of text or one longer text, which
+    bounds the memory of a worker.
     """
     schema = StructType([df.schema[name] for name in keep])
     for field in StructType.fromDDL(added).fields:
@@ -28,8 +46,8 @@ def arrow_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, largest):
-                part = batch.slice(start, largest)
+            for start, n in _pieces(batch.column(len(keep)), largest):
+                part = batch.slice(start, n)
                 texts = part.column(len(keep)).cast(pa.binary()).to_pylist()
                 columns = make([t or b"" for t in texts])
                 kept = [part.column(i) for i in range(len(keep))]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 BINS = 512
 BLOCK = 8192
 _EXACT = float(1 << 53)
+_WIDEST = float(1 << 61)
 
 
 def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
@@ -51,9 +52,9 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Integer inner products, one line per query; in float64 where that is exact."""
     if not queries.size or not rows.size:
         return np.zeros((len(queries), len(rows)), dtype=np.int64)
-    most = float(np.abs(queries).max()) * float(np.abs(rows).max()) * queries.shape[1]
-    if most < _EXACT:
-        return (queries.astype(np.float64) @ rows.T.astype(np.float64)).astype(np.int64)
+    q, r = queries.astype(np.float64), rows.T.astype(np.float64)
+    if np.abs(q).max() * np.abs(r).max() * queries.shape[1] < _EXACT:
+        return (q @ r).astype(np.int64)
     return queries @ rows.T
 
 
@@ -108,11 +109,13 @@ def _borders(rows: DataFrame, block: _Block, k: int, reach: np.ndarray, listed:
     """For each query a score at or below its k-th highest one, found by ever finer histograms.
 
     ``reach`` bounds the absolute scores. Ends for a query when its bin is one score wide, or when at
-    most ``listed`` scores are at or above its bin's lower edge.
+    most ``listed`` scores are at or above its bin's lower edge. Scores that may wrap are not narrowed
+    down: their tasks send their own k best.
     """
-    low = -reach
-    width = (2 * reach) // BINS + 1
-    open_ = np.ones(len(low), dtype=bool)
+    open_ = reach < _WIDEST
+    safe = np.where(open_, reach, 0).astype(np.int64)
+    low = np.where(open_, -safe, np.iinfo(np.int64).min)
+    width = (2 * safe) // BINS + 1
     while open_.any():
         found, n = _histograms(rows, block, low, width, k)
         low = np.where(open_, low + found * width, low)
@@ -148,7 +151,8 @@ def top_k(
     queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     queries = queries.withColumn("d", F.size("v"))
     results = []
-    largest = rows.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x))))).first()[0] or 0
+    sizes = F.transform("v", lambda x: F.abs(x.cast("double")))
+    largest = rows.agg(F.max(F.array_max(sizes))).first()[0] or 0.0
     after = None
     while True:  # blocks of queries in the order of length and id
         next_ = queries
@@ -163,8 +167,7 @@ def top_k(
             mine = [r for r in got if r["d"] == d]
             vectors = np.array([r["v"] for r in mine], dtype=np.int64).reshape(len(mine), d)
             part = _Block(np.array([r["vec_id"] for r in mine], dtype=np.int64), vectors)
-            reach = np.abs(vectors.astype(np.float64)).sum(axis=1) * float(largest)
-            reach = np.minimum(reach, 2.0**61).astype(np.int64) + 1
+            reach = np.abs(vectors.astype(np.float64)).sum(axis=1) * largest + 1
             sent = spark.sparkContext.broadcast((part, _borders(rows, part, k, reach, listed)))
             results.append(_listed(rows, sent, k))
     if not results:

@@ -17,6 +17,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -365,6 +367,37 @@ def _records_of(data: bytes) -> Iterator[bytes]:
             return
 
 
+def write_warc(records: DataFrame, folder: str, *, record: str = "record") -> int:
+    """Write a column of WARC records as gzip files, one per task; returns the number of records.
+
+    ``folder`` is an address that all executors reach (file, hdfs, s3, gs; see pyarrow's file systems).
+    A task writes under a name of its own attempt and renames the file when it is complete, so a task
+    that runs again replaces its file. NULL records are left out; tasks without records write nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        files, base = FileSystem.from_uri(folder)
+        name = f"part-{task.partitionId():06d}.warc.gz"
+        waiting = f"{base}/.{name}.{task.taskAttemptId()}"
+        files.create_dir(base, recursive=True)
+        n = 0
+        with files.open_output_stream(waiting, compression=None) as out:
+            for batch in batches:
+                for data in batch.column(0).to_pylist():
+                    if data is not None:
+                        out.write(gzip.compress(data, mtime=0))
+                        n += 1
+        if n:
+            files.move(waiting, f"{base}/{name}")
+        else:
+            files.delete_file(waiting)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    written = records.select(record).mapInArrow(run, "n bigint")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def to_bytes(derived: dict) -> bytes:
     """The WARC record of one row of ``derive_records``."""
     named = ("record_id", "date", "target_uri", "refers_to")

@@ -65,3 +65,10 @@ def test_empty_and_no_candidates(spark):
     assert _found(spark, [], k=5, every=100) == []
     assert _found(spark, [(0, [1.0])], k=5, every=100) == []
     assert _found(spark, [(1, [1.0])], k=5, every=100) == []
+
+
+def test_scores_beyond_the_exact_range(spark):
+    big = float(2**40)
+    rows = [(i, [big * (1 + i % 3), 1.0]) for i in range(40)] + [(41, [2.0**58, 0.5])]
+    found = _found(spark, rows, k=3, every=20)
+    assert len(found) == 6 and {q for q, *_ in found} == {0, 20}

@@ -102,3 +102,17 @@ def test_files(spark, tmp_path):
     assert [bytes(r) for r in by_file["a.warc"]] == records
     assert [bytes(r) for r in by_file["b.warc.gz"]] == records
     assert [bytes(r) for r in by_file["c.warc"]] == [*records[:2], b""]
+
+
+def test_written_files_come_back(spark, tmp_path):
+    records = [_response("HTTP/1.1 200 OK", b"<p>%d</p>" % i).to_bytes() for i in range(40)]
+    df = spark.createDataFrame([(r,) for r in [*records, None]], "record binary").repartition(3)
+    place = f"file://{tmp_path}/out"
+    assert warc.write_warc(df, place) == 40
+    assert warc.write_warc(df, place) == 40  # again: the same files
+    found = warc.read_warc(spark, place)
+    assert sorted(bytes(r.record) for r in found.collect()) == sorted(records)
+    assert all(r.path.endswith(".warc.gz") for r in found.collect())
+    texts = warc.derive_records(found, keep=["path"]).filter("record_type = 'conversion'")
+    assert sorted(r.block for r in texts.collect()) == sorted(str(i) for i in range(40))
+    assert warc.write_warc(df.filter("false"), f"file://{tmp_path}/none") == 0
