@@ -30,8 +30,8 @@ from tallywork.llm.texts import arrow_rows
 
 _END = "\x00"  # stands for the end-of-word mark; byte-level text never holds it
 _LONGEST_CACHED = 48
-_CACHED_WORDS = 600_000
-_CACHED_PAIRS = 1_000_000
+_CACHED_WORDS = 400_000
+_CACHED_PAIRS = 250_000
 
 
 def _byte_alphabet() -> list[str]:
