@@ -137,14 +137,25 @@ def global_ranks(
     """
     cut = cut_by_order(df, [F.col(value).desc(), F.col(unique).asc()], slices=slices)
 
-    # equal values next to each other in a slice form a run
-    runs = cut.groupBy(SLICE, value).agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"))
-    per_slice = runs.groupBy(SLICE).agg(
-        F.sum("_n").alias("_n"),
-        F.count(F.lit(1)).alias("_values"),
-        F.max(value).alias("_top"),
-        F.min(value).alias("_bottom"),
-        F.max("_first").alias("_last_run"),
+    tasks = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_value = Window.partitionBy(SLICE).orderBy(F.col(value).desc_nulls_last())
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        """Ranks inside each slice, one slice a task."""
+        local = rows.repartitionById(tasks, F.col(SLICE)).withColumn("_rank", F.rank().over(by_value))
+        return local.withColumn("_dense", F.dense_rank().over(by_value))
+
+    # equal values next to each other in a slice form a run; only the value travels here
+    per_slice = (
+        ranked(cut.select(SLICE, value))
+        .groupBy(SLICE)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max("_dense").alias("_values"),
+            F.max(value).alias("_top"),
+            F.min(value).alias("_bottom"),
+            (F.max("_rank") - 1).alias("_last_run"),
+        )
     )
     in_order = Window.orderBy(SLICE)  # one row per slice
     earlier = in_order.rowsBetween(*_BEFORE)
@@ -173,13 +184,9 @@ def global_ranks(
     )
     rows = cut.unionByName(heads, allowMissingColumns=True)
 
-    tasks = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_value = Window.partitionBy(SLICE).orderBy(F.col(value).desc_nulls_last())
     in_group = Window.partitionBy(SLICE, within).orderBy(POS)
     local = (
-        rows.repartitionById(tasks, F.col(SLICE))  # one slice a task; serves both windows
-        .withColumn("_rank", F.rank().over(by_value))
-        .withColumn("_dense", F.dense_rank().over(by_value))
+        ranked(rows)  # the same task serves the windows of the group
         .withColumn("_in_group", F.row_number().over(in_group) - 1)
         .withColumn("_group_offset", F.first("_group_offset").over(in_group))
         .filter(F.col(POS) >= 0)

@@ -127,5 +127,5 @@ def test_order_join_follows_the_partial_sums(spark, tables):
 
 def test_ranks_shuffle_the_rows_once_more_than_the_sort(revenue):
     plan = plan_of(op.rank_orders(revenue))
-    assert plan.count("shufflepartitionidpassthrough") == 1
+    assert plan.count("shufflepartitionidpassthrough") == 2  # the rows, and their values for the borders
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
