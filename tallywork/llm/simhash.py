@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tallywork.llm.components import smallest_reachable
-from tallywork.llm.texts import arrow_rows
+from tallywork.llm.texts import arrow_rows, map_in_arrow
 from tallywork.plans import durable
 
 SEED = 42
@@ -215,7 +215,7 @@ def links(points: DataFrame, *, shard_size: int = SHARD_SIZE) -> DataFrame:
     """
     shards = _shards(points, shard_size)
     dealt = shards.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
-    return dealt.mapInArrow(_link_shards, "a bigint, b bigint")
+    return map_in_arrow(dealt, _link_shards, "a bigint, b bigint")
 
 
 def near_duplicates(

@@ -1,6 +1,8 @@
 """Helpers that several operators of this subpackage share."""
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,20 @@ from pyspark.sql.types import StructType
 
 
 _MOST_BYTES = 32_000_000
+_HOME = Path(__file__).resolve().parents[2]
+
+
+def map_in_arrow(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with a function that uses this library.
+
+    Workers on machines that share the driver's folders find the library where the driver has it, in
+    whatever folder the application was started; other clusters get it with ``--py-files``.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _HOME.is_dir() and str(_HOME) not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([str(_HOME), *known])
+    return df.mapInArrow(function, schema)
 
 
 def _pieces(texts: pa.Array, largest: int) -> Iterator[tuple[int, int]]:
@@ -54,4 +70,4 @@ def arrow_rows(
                 yield pa.RecordBatch.from_arrays([*kept, *columns], names=names)
 
     rows = df.select(*(df[name] for name in keep), df[text].alias("_text"))
-    return rows.mapInArrow(run, schema)
+    return map_in_arrow(rows, run, schema)

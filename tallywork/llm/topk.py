@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywork.llm.texts import map_in_arrow
+
 BINS = 512
 BLOCK = 8192
 _EXACT = float(1 << 53)
@@ -94,7 +96,7 @@ def _histograms(
         columns = [pa.array(q), pa.array(bin_), pa.array(total[q, bin_])]
         yield pa.RecordBatch.from_arrays(columns, names=["q", "bin", "n"])
 
-    parts = rows.mapInArrow(count, "q bigint, bin bigint, n bigint")
+    parts = map_in_arrow(rows, count, "q bigint, bin bigint, n bigint")
     sums = parts.groupBy("q", "bin").agg(F.sum("n").alias("n"))
     above = F.sum("n").over(Window.partitionBy("q").orderBy(F.col("bin").desc()))
     holds = sums.withColumn("above", above).filter(F.col("above") >= k)
@@ -195,4 +197,4 @@ def _listed(rows: DataFrame, sent, k: int) -> DataFrame:
         columns = [pa.array(block.ids[kept[:, 0]]), pa.array(kept[:, 2]), pa.array(-kept[:, 1])]
         yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
-    return rows.mapInArrow(best, "query_id bigint, vec_id bigint, score bigint")
+    return map_in_arrow(rows, best, "query_id bigint, vec_id bigint, score bigint")

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.llm.html_text import blocks_of
+from tallywork.llm.texts import map_in_arrow
 
 VERSION = "WARC/1.1"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of addresses
@@ -249,7 +250,7 @@ def page_responses(
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "record"])
 
     schema = rows.select("_key").schema.add("record", "binary")
-    return rows.mapInArrow(run, schema).select(F.col("_key").alias(key), "record")
+    return map_in_arrow(rows, run, schema).select(F.col("_key").alias(key), "record")
 
 
 _DERIVED = (
@@ -290,7 +291,7 @@ def derive_records(records: DataFrame, *, keep: list[str], record: str = "record
                 kept = batch.column(0).take(pa.array(at, pa.int64()))
                 yield pa.RecordBatch.from_arrays([kept, pa.array(out, kind)], names=["_kept", "d"])
 
-    return rows.mapInArrow(run, schema).select("_kept.*", "d.*")
+    return map_in_arrow(rows, run, schema).select("_kept.*", "d.*")
 
 
 def _as_struct(ddl: str) -> str:
@@ -352,7 +353,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, names=["path", "record"])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, record binary")
+    return map_in_arrow(files, run, "path string, record binary")
 
 
 def _records_of(data: bytes) -> Iterator[bytes]:
@@ -394,7 +395,7 @@ def write_warc(records: DataFrame, folder: str, *, record: str = "record") -> in
             files.delete_file(waiting)
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    written = records.select(record).mapInArrow(run, "n bigint")
+    written = map_in_arrow(records.select(record), run, "n bigint")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
