@@ -177,7 +177,7 @@ def _upserted(t: Tables, *second_columns: str) -> DataFrame:
 
     period = F.col("period")
     table = Snapshots(
-        spark, new_folder(spark, "daily-summary"), part=lambda day: F.date_format(day, "yyyy-MM")
+        spark, new_folder(spark, "daily-summary"), part=lambda day: F.date_format(day, "yyyy")
     )
     table.upsert(load("").filter(period <= _day("first_load_to")))
     second = load("done_").filter(period >= _day("second_load_from"))

@@ -109,19 +109,25 @@ def _findings(
         + [(r.parent, r.key) for r in rules if isinstance(r, ForeignKey)]
     )
     for table, df in tables.items():
-        found = [
-            # a condition that is NULL holds, as in a SQL CHECK
-            F.when(~F.expr(r.condition), _finding("check", r.name, F.lit(None)))
-            for r in rules
-            if isinstance(r, Check) and r.table == table
+        checks = [r for r in rules if isinstance(r, Check) and r.table == table]
+        # a condition that is NULL holds, as in a SQL CHECK
+        broken = [F.coalesce(~F.expr(r.condition), F.lit(False)) for r in checks]
+        marks = [
+            F.when(is_broken, _finding("check", r.name, F.lit(None)))
+            for is_broken, r in zip(broken, checks, strict=True)
         ]
-        found += [
+        held = [
             F.when(F.col(column).isNotNull(), _finding("key", column, F.col(column)))
             for owner, column in needed
             if owner == table
         ]
-        if found:
-            rows = df.select(F.explode(F.array_compact(F.array(*found))).alias("found"))
+        if checks or held:
+            # most rows break nothing: only the others list their checks
+            found = F.array(*held, *([F.lit(None)] if not held else []))
+            if checks:
+                any_broken = reduce(Column.__or__, broken)
+                found = F.when(any_broken, F.array(*held, *marks)).otherwise(found)
+            rows = df.select(F.explode(found).alias("found")).filter(F.col("found").isNotNull())
             rows = rows.select(F.lit(table).alias("table_name"), "found.*")
             keys = ("kind", "table_name", "name", "value")
             yield rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

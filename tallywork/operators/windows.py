@@ -14,7 +14,7 @@ from tallywork.fixed_values import (
     RANK_BUCKETS,
 )
 from tallywork.functions import any_names, average, day_of, month_of, percent, period_of
-from tallywork.plans import global_ranks, join_null_safe, order_rows, row_numbers
+from tallywork.plans import durable, global_ranks, join_null_safe, order_rows, row_numbers
 
 # Spark limits each group before the shuffle for ranks up to this (its default threshold)
 GROUP_LIMIT = 1000
@@ -138,9 +138,9 @@ def first_last_compare(revenue: DataFrame, *, slices: int | None = None) -> Data
     """Every order next to the first and the latest order of its user.
 
     Both ends of a user come from partial aggregates and are joined back; ``slices``: see
-    ``order_rows``.
+    ``order_rows``. The rows are read several times, so they are stored first.
     """
-    rows = revenue.select("user_id", "order_id", "order_date", "net_revenue")
+    rows = durable(revenue.select("user_id", "order_id", "order_date", "net_revenue"), "orders")
     order = ("order_date", "order_id")
     numbered = order_rows(rows, "user_id", order, slices=slices).with_row_number("order_number")
     ends = rows.groupBy("user_id").agg(
