@@ -41,16 +41,20 @@ _BITS_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _BYTE_PLACES = (np.arange(8) * 256).astype(np.int64)
 
 
-def fingerprint(text: bytes) -> int:
-    """The 64-bit fingerprint of a whole text in UTF-8; 0 for a text without words."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of the word shingles of a whole text in UTF-8, in order; none without words."""
     words = text.lower().split()  # for bytes: A-Z only, and ASCII white space only
     if not words:
-        return 0
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)), strict=False))
-    if len(words) < SHINGLE:
+        return np.empty(0, dtype="<u8")
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    if len(words) < shingle:
         shingles = [b" ".join(words)]
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8")
-    return majority(hashes)
+    return np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8")
+
+
+def fingerprint(text: bytes) -> int:
+    """The 64-bit fingerprint of a whole text in UTF-8; 0 for a text without words."""
+    return majority(shingle_hashes(text, SHINGLE))
 
 
 def majority(hashes: np.ndarray) -> int:
