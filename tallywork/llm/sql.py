@@ -106,3 +106,52 @@ SELECT conv_id, count(*) AS n_turns,
 FROM moves
 GROUP BY conv_id
 """
+
+
+def _round(n: int) -> str:
+    """Nearest centroids of round ``n``, and the centroids after it."""
+    return f"""
+near{n} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v,
+           arg_min(c, struct_pack(gap, c)) AS c, min(gap) AS gap
+    FROM (
+        SELECT r, vec_id, p.v, c,
+               (list_inner_product(p.v, p.v) + list_inner_product(q.v, q.v)
+                - 2 * list_inner_product(p.v, q.v))::BIGINT AS gap
+        FROM points p CROSS JOIN centroids{n} q
+    )
+    GROUP BY r
+),
+centroids{n + 1} AS MATERIALIZED (
+    SELECT c, coalesce(m.v, q.v) AS v
+    FROM centroids{n} q LEFT JOIN (
+        SELECT c, list(mean ORDER BY i) AS v
+        FROM (
+            SELECT c, i, floor(sum(v[i]) / count(*)) AS mean
+            FROM near{n}, (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i
+        )
+        GROUP BY c
+    ) m USING (c)
+)"""
+
+
+CENTROIDS = f"""
+WITH parts AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+),
+points AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(e, lambda x: floor(64 * x)) AS v
+    FROM parts
+    WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+centroids0 AS MATERIALIZED (
+    SELECT (row_number() OVER seeds - 1)::INTEGER AS c, v FROM points
+    WINDOW seeds AS (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) QUALIFY c < 16
+),
+{",".join(map(_round, range(4)))}
+SELECT vec_id, c AS cluster, gap AS distance,
+       sum(gap) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(gap) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(q.v, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM near3 JOIN centroids3 q USING (c)
+"""

@@ -13,6 +13,7 @@ import pytest
 from conftest import SF_DIR
 from llm.test_licences import _brute as brute_licences
 from llm.test_mixing import _targets
+from llm.test_periodic_runs import brute_collapse, brute_runs
 from llm.test_quality import _brute_counts
 from llm.test_simhash import _brute_components, _brute_fingerprint
 
@@ -33,7 +34,7 @@ def docs(spark):
 
 
 def test_all_are_registered():
-    assert {re.match(r"op(\d+)_", n)[1] for n in entries.queries()} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in entries.queries()} == {str(n) for n in range(1, 14)}
     assert "pipeline" in QUERIES and set(entries.oracle_sql()) <= set(QUERIES)
 
 
@@ -118,6 +119,52 @@ def test_rules_keep_clean_documents(spark, docs):
     assert sum(a == b for a, b in rest) / len(rest) > 0.98
 
 
+def _sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_periodic_runs(spark):
+    found = {r.doc_id: r for r in QUERIES["op11_periodic_runs"](spark, SMALL).collect()}
+    texts = _small(spark)
+    assert set(found) == set(texts)
+    for key, text in texts.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        h = zlib.crc32(str(key).encode())
+        n, g = len(words), h // 10
+        if n > 3000:
+            continue
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        runs = brute_runs(words)
+        best = max(runs, key=lambda r: (r.length / r.period, -r.start, -r.period), default=None)
+        r = found[key]
+        assert r.n_runs == len(runs)
+        assert r.runs_sha256 == _sha("".join(f"{x.start},{x.length},{x.period}\n" for x in runs))
+        assert r.collapsed_sha256 == _sha(" ".join(brute_collapse(words, runs)))
+        assert (r.start, r.length, r.period) == (
+            (best.start, best.length, best.period) if best else (None, None, None)
+        )
+        assert r.exponent_milli == (1000 * best.length // best.period if best else None)
+    assert any(r.n_runs for r in found.values())
+
+
+def test_token_counts(spark, docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = QUERIES["op12_token_counts"](spark, SF_DIR).collect()
+    assert {r.doc_id for r in found} == set(docs) and len(found) == len(docs)
+    for r in found:
+        text = docs[r.doc_id]
+        n = len(library.encode(text, add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), n, n > 512)
+        fitting = library.encode(text[: r.fitting_chars], add_special_tokens=False).ids
+        assert len(fitting) <= 512 and (n > 512 or r.fitting_chars == len(text))
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before = {r.doc_id: r for r in docs.collect()}
