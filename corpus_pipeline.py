@@ -6,11 +6,10 @@ Parquet, and what is read back is the next stage's ``docs``. All but the last re
 """
 
 import public_tokenizers
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import bpe, mixing, near_copies, quality, rules
+from tallywork.llm import bpe, mixing, quality, rules, simhash
 from tallywork.plans import adapt_to_skew, durable
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,7 +24,11 @@ def _originals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier rejects."""
+    """Drops the documents that the quality classifier rejects.
+
+    NULL and empty texts are scored like any other; repeated rows and rows without an id are judged
+    one by one. An empty table gives an empty result.
+    """
     model = quality.fit_quality(docs, _labels(spark, sf_dir))
     scored = quality.score_quality(docs, model, keep=COLUMNS)
     return scored.filter(F.col("score") >= quality.THRESHOLD).select(*COLUMNS)
@@ -35,44 +38,59 @@ def filter_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Drops the documents that the base rules or the trees reject.
 
     The trees learn from the original documents, as the stage before leaves hardly any of label 0.
-    Only a call for a folder without ``documents``, which ``run`` can't make, learns from ``docs``.
     """
-    try:
-        originals = _originals(spark, sf_dir)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        originals = docs
-    model = rules.fit_rules(originals, _labels(spark, sf_dir))
+    model = rules.fit_rules(_originals(spark, sf_dir), _labels(spark, sf_dir))
     return rules.apply_rules(docs, model, keep=COLUMNS).filter("kept").select(*COLUMNS)
 
 
+def _identity() -> Column:
+    """Tells rows apart that differ in any column; those without an id come last."""
+    others = F.xxhash64(*(c for c in COLUMNS if c not in ("doc_id", "text")))
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    return F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"),
+        F.col("text").isNull().alias("no_text"),
+        digest.alias("digest"),
+        others.alias("others"),
+    )
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the one with the smallest id, and of its repeated rows one.
+    """Keeps one document of each group of SimHash near-duplicates.
 
-    Groups are made by links of a Jaccard similarity of 0.8 or more over shingles of five words.
-    Rows with a NULL id can't be told apart by id; they stay.
+    The one with the smallest id, then text digest; rows without an id come last in their group, and
+    rows of one id with other texts are told apart. Of repeated rows one stays. NULL, empty and blank
+    texts form one group. An empty table gives an empty result.
     """
     adapt_to_skew(spark)
-    found = near_copies.near_copies(docs)
-    first = found.filter(F.col("doc_id") == F.col("component_id"))
-    rows = durable(first.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "kept")
-    # the kept ids grow with the corpus: never a broadcast, the same join at every size
-    kept = docs.select(*COLUMNS).join(rows.hint("merge"), "doc_id")
+    rows = docs.select(*COLUMNS).withColumn("_row", _identity())
+    found = simhash.near_duplicates(rows, key="_row")
+    first = found.filter(F.col("_row") == F.col("component_id"))
+    counts = durable(first.groupBy("_row").agg(F.count(F.lit(1)).alias("_rows")), "kept")
+    # the kept rows grow with the corpus: never a broadcast, the same join at every size
+    kept = rows.join(counts.hint("merge"), "_row")
     result = kept.filter("_rows = 1").select(*COLUMNS)
-    if not rows.filter("_rows > 1").isEmpty():
-        repeated = kept.filter("_rows > 1").select(*COLUMNS)
-        result = result.union(repeated.dropDuplicates(["doc_id"]))
-    return result.union(docs.filter(F.col("doc_id").isNull()).select(*COLUMNS))
+    if not counts.filter("_rows > 1").isEmpty():
+        repeated = kept.filter("_rows > 1").dropDuplicates(["_row"])
+        result = result.union(repeated.select(*COLUMNS))
+    return result
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops documents so that every source comes to its target."""
+    """Repeats or drops documents so that every source comes to its target.
+
+    Rows without a source are a source of their own; repeated rows are taken one by one. An empty table
+    gives an empty result.
+    """
     return mixing.repeat_rows(docs.select(*COLUMNS), mixing.plan_mix(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of the token ids and of the decoded text of every row."""
+    """Digests of the token ids and of the decoded text of every row.
+
+    NULL and empty texts have no ids; an empty table gives an empty result.
+    """
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
@@ -93,5 +111,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# the classifier, the trees and the near copies are beyond SQL; the tests hold it against brute force
+# the classifier, the trees and the fingerprints are beyond SQL; the tests hold it against brute force
 ORACLE_SQL = None
