@@ -12,6 +12,7 @@ def folder(spark, tmp_path_factory):
     place = str(tmp_path_factory.mktemp("tables"))
     rows = [(i, i % 2, 0) for i in range(10, 200)] + [(None, 1, 0), (1, None, None), (2, 1, 0), (2, 0, 0)]
     spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
+    _documents(spark).write.parquet(f"{place}/documents.parquet")
     return place
 
 
@@ -58,6 +59,19 @@ def test_near_duplicates_keep_one_of_repeated_rows(spark, folder):
     assert {2, 3, 4} & set(ids) == {2}  # texts without words are one group
 
 
+def test_near_duplicates_without_ids_and_under_one_id(spark, folder):
+    docs = _documents(spark).select(*corpus_pipeline.COLUMNS)
+    more = [(6, "other words under an id that is taken already", "en", "a", 1)]
+    more += [(None, "No id here, but words all the same and more of them.", "en", "b", 3)] * 2
+    more += [(None, more[0][1], "en", "a", 1), (None, None, None, None, None)]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect()
+    found = [(r.doc_id, r.text) for r in kept]
+    assert sorted(t for k, t in found if k == 6) == sorted([edge.ROWS[6][1], more[0][1]])
+    assert [t for k, t in found if k is None] == [more[1][1]]
+    assert len([k for k, t in found if not (t or "").strip()]) == 1
+
+
 def test_filters_drop_the_bad_and_keep_the_good(spark, folder):
     docs = _documents(spark).filter("doc_id >= 10")
     for stage in (corpus_pipeline.filter_quality, corpus_pipeline.filter_rules):
