@@ -35,6 +35,8 @@ GRANULARITIES = ("day", "week", "month", "quarter", "year")
 RETENTION_PERIODS = (0, 1, 2, 3, 6, 12)
 SESSION_GAP_MINUTES = 30
 RANK_BUCKETS = 100
+USER_BUCKETS = 4
+USER_FRAMES = (7, 30)
 ACTIVE_DAYS = 90
 RECENT_DAYS = 90
 MAX_DEPTH = 10

@@ -28,3 +28,13 @@ def percent(top: Column, bottom: Column, digits: int = 1) -> Column:
 def average(total: Column, count: Column, digits: int) -> Column:
     """Mean from an exact sum and a count."""
     return half_up(ratio(total, count), digits)
+
+
+def ntile_of(number: Column, total: Column, buckets: int) -> Column:
+    """The ntile of a row number: the first ``total % buckets`` buckets hold one row more."""
+    small = F.floor(total / F.lit(buckets))
+    larger = total % buckets
+    in_larger = larger * (small + 1)
+    first = F.floor((number - 1) / (small + 1)) + 1
+    rest = larger + F.floor((number - in_larger - 1) / F.nullif(small, F.lit(0))) + 1
+    return F.when(number <= in_larger, first).otherwise(rest).cast("bigint")

@@ -27,6 +27,7 @@ from tallywork.operators.funnels import (
     time_to_convert,
 )
 from tallywork.operators.hierarchy import traverse_hierarchy
+from tallywork.operators.histories import ranks_per_user, user_event_fill, user_moving_metrics
 from tallywork.operators.quality import (
     check_constraints,
     dedup_latest,
@@ -86,6 +87,7 @@ __all__ = [
     "period_over_period",
     "process_in_chunks",
     "rank_orders",
+    "ranks_per_user",
     "revenue_summary",
     "rolling_activity",
     "rows_on_day",
@@ -96,4 +98,6 @@ __all__ = [
     "top_n_per_group",
     "traverse_hierarchy",
     "union_or",
+    "user_event_fill",
+    "user_moving_metrics",
 ]

@@ -13,7 +13,7 @@ from tallywork.fixed_values import (
     GROWTH_REST,
     RANK_BUCKETS,
 )
-from tallywork.functions import any_names, average, day_of, month_of, percent, period_of
+from tallywork.functions import any_names, average, day_of, month_of, ntile_of, percent, period_of
 from tallywork.plans import durable, global_ranks, join_null_safe, order_rows, row_numbers
 
 # Spark limits each group before the shuffle for ranks up to this (its default threshold)
@@ -40,20 +40,10 @@ def rank_orders(revenue: DataFrame, *, buckets: int = RANK_BUCKETS) -> DataFrame
         F.col("rank").alias("rank_overall"),
         F.col("dense_rank").alias("dense_rank_overall"),
         F.col("row_number_within").alias("rn_within_month"),
-        _bucket(F.col("row_number"), F.col("total"), buckets).alias("percentile_bucket"),
+        ntile_of(F.col("row_number"), F.col("total"), buckets).alias("percentile_bucket"),
     )
 
 
-def _bucket(number: Column, total: Column, buckets: int) -> Column:
-    """The ntile of a row number: the first ``total % buckets`` buckets hold one row more."""
-    small = F.floor(total / F.lit(buckets))
-    larger = total % buckets
-    in_larger = larger * (small + 1)
-    first = F.floor((number - 1) / (small + 1)) + 1
-    rest = larger + F.floor((number - in_larger - 1) / F.nullif(small, F.lit(0))) + 1
-    return F.when(number <= in_larger, first).otherwise(rest).cast("bigint")
-
-
 def top_n_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, *, rank: str = "rank"
 ) -> DataFrame:

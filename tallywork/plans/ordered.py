@@ -5,12 +5,12 @@ into slices that are consecutive in the wanted order: work inside a slice is loc
 of one row per slice (and key) carries the running state from slice to slice.
 """
 
-from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 from pyspark.sql.types import ArrayType, StructType
 
 from tallywork.plans.storage import durable
@@ -22,6 +22,7 @@ _SAMPLED = 20  # rows of the sample per slice
 _BLOCK = 64  # borders are searched in two steps
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
+_WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _range_partitioned(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataFrame:
@@ -207,6 +208,106 @@ def global_ranks(
     )
 
 
+@dataclass(frozen=True)
+class Carried:
+    """A column from a window over a key in order, put together from the key's slices.
+
+    ``local`` is the value inside a slice, over the window of (key, slice). ``summary`` aggregates a
+    slice; ``carry`` takes the summaries (``F.col`` of its argument) of the key's other slices, over a
+    window in the order of slices. ``combine`` makes the value from both; what is carried is NULL where
+    there are no other slices.
+    """
+
+    out: str
+    local: Callable[[WindowSpec], Column]
+    summary: Column
+    carry: Callable[[str, WindowSpec], Column]
+    combine: Callable[[Column, Column], Column]
+
+
+def _boxed(value: str) -> Column:
+    """Tells a NULL value from no row."""
+    return F.struct(F.col(value).alias("v"))
+
+
+def previous(value: str, out: str, order: Sequence[str]) -> Carried:
+    """``lag(value)``."""
+    return Carried(
+        out,
+        lambda w: F.lag(_boxed(value)).over(w),
+        F.max_by(_boxed(value), F.struct(*order)),
+        lambda name, w: F.lag(name).over(w),
+        lambda here, other: F.coalesce(here, other)["v"],
+    )
+
+
+def following(value: str, out: str, order: Sequence[str]) -> Carried:
+    """``lead(value)``; the state is carried backwards."""
+    return Carried(
+        out,
+        lambda w: F.lead(_boxed(value)).over(w),
+        F.min_by(_boxed(value), F.struct(*order)),
+        lambda name, w: F.lead(name).over(w),
+        lambda here, other: F.coalesce(here, other)["v"],
+    )
+
+
+def last_known(value: str, out: str, order: Sequence[str]) -> Carried:
+    """The last value that is not NULL, up to and including the row."""
+    known = F.when(F.col(value).isNotNull(), F.struct(*order))
+    return Carried(
+        out,
+        lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(*_UP_TO_HERE)),
+        F.max_by(value, known),
+        lambda name, w: F.last(name, ignorenulls=True).over(w.rowsBetween(*_BEFORE)),
+        F.coalesce,
+    )
+
+
+def first_of_key(value: str, out: str, order: Sequence[str]) -> Carried:
+    """``first_value`` over the whole key."""
+    return Carried(
+        out,
+        lambda w: F.first(_boxed(value)).over(w.rowsBetween(*_WHOLE)),
+        F.min_by(_boxed(value), F.struct(*order)),
+        lambda name, w: F.first(name).over(w.rowsBetween(*_WHOLE)),
+        lambda here, other: F.coalesce(other, here)["v"],
+    )
+
+
+def last_of_key(value: str, out: str, order: Sequence[str]) -> Carried:
+    """``last_value`` over the whole key, both ends unbounded."""
+    return Carried(
+        out,
+        lambda w: F.last(_boxed(value)).over(w.rowsBetween(*_WHOLE)),
+        F.max_by(_boxed(value), F.struct(*order)),
+        lambda name, w: F.last(name).over(w.rowsBetween(*_WHOLE)),
+        lambda here, other: F.coalesce(other, here)["v"],
+    )
+
+
+def running_sum(value: str, out: str) -> Carried:
+    """Running total of ``value`` up to and including the row; NULLs add nothing."""
+    return Carried(
+        out,
+        lambda w: F.sum(value).over(w.rowsBetween(*_UP_TO_HERE)),
+        F.sum(value),
+        lambda name, w: F.sum(name).over(w.rowsBetween(*_BEFORE)),
+        lambda here, other: F.when(here.isNull(), other).otherwise(here + F.coalesce(other, F.lit(0))),
+    )
+
+
+def numbering(out: str) -> Carried:
+    """1, 2, 3, ... in the key's order."""
+    return Carried(
+        out,
+        lambda w: F.row_number().over(w).cast("bigint"),
+        F.count(F.lit(1)),
+        lambda name, w: F.sum(name).over(w.rowsBetween(*_BEFORE)),
+        lambda here, other: here + F.coalesce(other, F.lit(0)),
+    )
+
+
 @dataclass(frozen=True)
 class OrderedRows:
     """Rows grouped by ``key`` in ``order``, cut into slices of bounded size.
@@ -220,48 +321,47 @@ class OrderedRows:
     order: tuple[str, ...]
     spans: bool
 
-    def _window(self):
+    def window(self) -> WindowSpec:
         return Window.partitionBy(self.key, SLICE).orderBy(*self.order)
 
-    def _with_carried(self, rows: DataFrame, summary: Column, carried) -> DataFrame:
-        """Add ``_carried``: the state before the row's slice; NULL in the first one."""
-        if not self.spans:
-            return rows.withColumn("_carried", F.lit(None))
-        per_slice = (
-            self.df.filter(_SPANS).groupBy(self.key, SLICE).agg(summary.alias("_summary"))
-        )
-        by_slice = Window.partitionBy(self.key).orderBy(SLICE)
-        carry = per_slice.select(self.key, SLICE, carried(by_slice).alias("_carried"))
-        # a row per slice of the keys that span slices
-        return join_null_safe(rows, F.broadcast(carry), [self.key, SLICE], how="left")
+    def spanning(self) -> DataFrame:
+        """The rows of the keys that span slices."""
+        return self.df.filter(_SPANS)
+
+    def with_columns(self, *columns: Carried) -> "OrderedRows":
+        """Add some columns; all their states come from one pass and travel together."""
+        here = self.window()
+        rows = self.df.withColumns({f"_local_{c.out}": c.local(here) for c in columns})
+        if self.spans:
+            slices = self.spanning().groupBy(self.key, SLICE)
+            states = slices.agg(*(c.summary.alias(f"_state_{c.out}") for c in columns))
+            in_order = Window.partitionBy(self.key).orderBy(SLICE)
+            carried = [c.carry(f"_state_{c.out}", in_order).alias(f"_carried_{c.out}") for c in columns]
+            states = states.select(self.key, SLICE, *carried)
+            # a row per slice of the keys that span slices
+            rows = join_null_safe(rows, F.broadcast(states), [self.key, SLICE], how="left")
+        else:
+            rows = rows.withColumns(
+                {f"_carried_{c.out}": F.lit(None).cast(rows.schema[f"_local_{c.out}"].dataType) for c in columns}
+            )
+        made = {c.out: c.combine(F.col(f"_local_{c.out}"), F.col(f"_carried_{c.out}")) for c in columns}
+        helpers = [f"_{kind}_{c.out}" for kind in ("local", "carried") for c in columns]
+        return replace(self, df=rows.withColumns(made).drop(*helpers))
 
     def with_column(self, name: str, value: Column) -> "OrderedRows":
         return replace(self, df=self.df.withColumn(name, value))
 
     def with_previous(self, value: str, out: str) -> "OrderedRows":
         """``lag(value)`` in the key's order."""
-        boxed = F.struct(F.col(value).alias("v"))  # tells a NULL value from no earlier row
-        rows = self.df.withColumn("_previous", F.lag(boxed).over(self._window()))
-        rows = self._with_carried(
-            rows, F.max_by(boxed, F.struct(*self.order)), lambda w: F.lag("_summary").over(w)
-        )
-        rows = rows.withColumn(out, F.coalesce("_previous", "_carried")["v"])
-        return replace(self, df=rows.drop("_previous", "_carried"))
+        return self.with_columns(previous(value, out, self.order))
 
     def with_running_sum(self, value: str, out: str) -> "OrderedRows":
         """Running total of ``value`` up to and including the row."""
-        running = F.sum(value).over(self._window().rowsBetween(*_UP_TO_HERE))
-        rows = self.df.withColumn("_running", running)
-        rows = self._with_carried(
-            rows, F.sum(value), lambda w: F.sum("_summary").over(w.rowsBetween(*_BEFORE))
-        )
-        rows = rows.withColumn(out, F.col("_running") + F.coalesce("_carried", F.lit(0)))
-        return replace(self, df=rows.drop("_running", "_carried"))
+        return self.with_columns(running_sum(value, out))
 
     def with_row_number(self, out: str) -> "OrderedRows":
         """1, 2, 3, ... in the key's order."""
-        counted = self.with_column("_one", F.lit(1)).with_running_sum("_one", out)
-        return replace(counted, df=counted.df.drop("_one"))
+        return self.with_columns(numbering(out))
 
     def rows(self) -> DataFrame:
         return self.df.drop(SLICE, _SPANS)
@@ -299,21 +399,19 @@ def order_rows(
 def _borders(df: DataFrame, key: str, order: Sequence[str], slices: int) -> list[tuple]:
     """Where slices begin inside the keys that span them: (key, borders in blocks).
 
-    From a sample of some rows per slice, which is all that reaches the driver. The sample only
-    steers the layout; results do not depend on it.
+    From a sample of some rows per slice. It is cut inside Spark, key by key; only the borders reach
+    the driver, at most one per slice. The sample only steers the layout; results do not depend on it.
     """
     rows = df.select(key, *order)
     n = rows.count()
     share = min(1.0, _SAMPLED * slices / max(n, 1))
     step = max(1, round(n * share / slices))
-    by_key: dict[object, list[tuple]] = defaultdict(list)
-    for value, *place in (rows.sample(share, seed=1) if share < 1 else rows).collect():
-        by_key[value].append(tuple(place))
+    sampled = rows.sample(share, seed=1) if share < 1 else rows
+    places = F.array_sort(F.collect_list(F.struct(*order))).alias("places")
+    starts = F.filter("places", lambda _, i: (i > 0) & (i % step == 0))
+    cut = sampled.groupBy(key).agg(places).filter(F.size("places") > step).select(key, starts.alias("starts"))
     found = []
-    for value, places in by_key.items():
-        places.sort(key=lambda p: [(x is not None, x) for x in p])
-        starts = places[step::step]
-        if starts:
-            blocks = [starts[i : i + _BLOCK] for i in range(0, len(starts), _BLOCK)]
-            found.append((value, blocks))
+    for value, borders in cut.collect():
+        places = [tuple(place) for place in borders]
+        found.append((value, [places[i : i + _BLOCK] for i in range(0, len(places), _BLOCK)]))
     return found
