@@ -183,14 +183,15 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
     docs = _read(spark, folder, "documents").select("doc_id", size, "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
-    counted = token_counts.prefix_counts(docs, path, keep=["doc_id", "n_bytes"])
+    fitting = {"fitting_chars": TOKEN_LIMIT}
+    counted = token_counts.prefix_counts(docs, path, keep=["doc_id", "n_bytes"], budgets=fitting)
     n = token_counts.whole_count().cast("bigint")
     return counted.select(
         "doc_id",
         "n_bytes",
         n.alias("n_tokens"),
         (n > TOKEN_LIMIT).alias("over_limit"),
-        token_counts.longest_prefix(TOKEN_LIMIT).alias("fitting_chars"),
+        "fitting_chars",
     )
 
 

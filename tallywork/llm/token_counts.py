@@ -16,8 +16,8 @@ the file must be at the same path on all executors.
 
 import json
 import re
-from array import array
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import ahocorasick
 import numpy as np
@@ -30,8 +30,8 @@ from tokenizers import pre_tokenizers
 from tallywork.llm.bpe import _byte_alphabet
 from tallywork.llm.texts import arrow_rows
 
-_LONGEST_CACHED = 48
-_CACHED_WORDS = 300_000
+_SHORT_WORD = 48  # characters; at most 192 bytes and as many tokens, so a count is one byte
+_CACHED_WORDS = 200_000  # in each of two generations
 _CACHED_PAIRS = 250_000
 _AT_ONCE = 1_000_000  # characters of a long text that are split into words at a time
 
@@ -60,7 +60,7 @@ class PrefixCounter:
             pair, made = (vocab[left], vocab[right]), vocab[left + right]
             self.merged[pair] = rank
             self.born[made], self.parts[made] = rank, pair
-        self.compatible = lru_cache(_CACHED_PAIRS)(self._stay_apart)
+        self.compatible: dict[tuple[int, int], bool] = {}
 
         self.automaton = ahocorasick.Automaton()
         usable = set()  # tokens that merging in rank order can reach
@@ -82,6 +82,7 @@ class PrefixCounter:
         self.stand_ins: dict[int, str] = {}
         self.checked: set[str] = set(map(chr, range(128)))
         self.cache: dict[str, bytes] = {}
+        self.cached_before: dict[str, bytes] = {}
 
     def _stay_apart(self, left: int, right: int, end: float = float("inf")) -> bool:
         """Whether two tokens come to stand side by side before the moment ``end``.
@@ -102,37 +103,57 @@ class PrefixCounter:
             else:
                 return True
 
-    def _byte_prefixes(self, symbols: str) -> array:
+    def _byte_prefixes(self, symbols: str) -> list[int]:
         """Number of tokens of each prefix of a word, given in byte-level characters."""
-        compatible = self.compatible
-        counts, last = array("i", bytes(4 * len(symbols) + 4)), [0] * (len(symbols) + 1)
+        known = self.compatible
+        if len(known) > _CACHED_PAIRS:
+            known.clear()
+        counts, last = [0] * (len(symbols) + 1), [0] * (len(symbols) + 1)
         for at, (length, token) in self.automaton.iter(symbols):
             end = at + 1
+            if counts[end]:
+                continue
             start = end - length
-            if not counts[end] and (not start or compatible(last[start], token)):
-                counts[end] = counts[start] + 1
-                last[end] = token
+            if start:
+                pair = last[start], token
+                fits = known.get(pair)
+                if fits is None:
+                    fits = known[pair] = self._stay_apart(*pair)
+                if not fits:
+                    continue
+            counts[end] = counts[start] + 1
+            last[end] = token
         return counts
 
-    def _new_word(self, word: str) -> bytes:
+    def _count_word(self, word: str) -> list[int]:
+        """Number of tokens of each prefix of a word."""
         raw = word.encode()
         counts = self._byte_prefixes("".join([self.alphabet[b] for b in raw]))
         if len(raw) == len(word):
-            counts = counts[1:]
+            del counts[0]
         else:
-            ends = np.cumsum([len(c.encode()) for c in word])
-            counts = array("i", [counts[end] for end in ends])
+            ends = accumulate(len(c.encode()) for c in word)
+            counts = [counts[end] for end in ends]
         if word in _LONG_CONTRACTIONS:  # cut short, it is a mark and a letter
             counts[1] = counts[0] + 1
-        packed = counts.tobytes()
-        if len(word) <= _LONGEST_CACHED:
-            if len(self.cache) >= _CACHED_WORDS:
-                self.cache.clear()
-            self.cache[word] = packed
+        return counts
+
+    def _new_word(self, word: str) -> bytes:
+        """The counts of a short word that is not in the cache's younger generation."""
+        packed = self.cached_before.get(word) or bytes(self._count_word(word))
+        if len(self.cache) >= _CACHED_WORDS:  # words in use move on from the older generation
+            self.cached_before, self.cache = self.cache, {}
+        self.cache[word] = packed
         return packed
 
-    def _word(self, word: str) -> bytes:
-        return self.cache.get(word) or self._new_word(word)
+    def _count_words(self, words: list[str]) -> np.ndarray:
+        """The counts of some words one after the other, each from its own start."""
+        get, new = self.cache.get, self._new_word
+        if max(map(len, words)) <= _SHORT_WORD:
+            packed = b"".join([get(w) or new(w) for w in words])
+            return np.frombuffer(packed, np.uint8).astype(np.int32)
+        lists = ((get(w) or new(w)) if len(w) <= _SHORT_WORD else self._count_word(w) for w in words)
+        return np.fromiter(chain.from_iterable(lists), np.int32)
 
     def _splittable(self, text: str) -> str:
         """The text with stand-ins for characters that ``regex`` takes for another kind than the library.
@@ -163,8 +184,7 @@ class PrefixCounter:
             ends = np.cumsum(lengths)
             if plain != part:
                 words = [part[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-            get, new = self.cache.get, self._new_word
-            inner = np.frombuffer(b"".join([get(w) or new(w) for w in words]), np.int32)
+            inner = self._count_words(words)
             sums = inner[ends - 1]
             before = (total + np.cumsum(sums) - sums).astype(np.int32)
             counts = inner + np.repeat(before, lengths)
@@ -172,7 +192,7 @@ class PrefixCounter:
             for run in self.blanks.finditer(plain):  # as the end of a text, white space is one word
                 at, stop = run.span()
                 left = counts[at - 1] if at else total
-                counts[stop - 1] = left + int.from_bytes(self._word(part[at:stop])[-4:], "little")
+                counts[stop - 1] = left + self._count_words([part[at:stop]])[-1]
             found.append(counts)
             total, start = int(after), end
         return np.concatenate(found)
@@ -197,26 +217,44 @@ def load(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def prefix_counts(df: DataFrame, path: str, *, keep: list[str], text: str = "text") -> DataFrame:
+def prefix_counts(
+    df: DataFrame,
+    path: str,
+    *,
+    keep: list[str],
+    text: str = "text",
+    budgets: dict[str, int] | None = None,
+) -> DataFrame:
     """Columns ``keep`` and ``counts``: entry i is the exact token count of the first i characters.
 
     The table starts with the empty prefix and ends with the whole text, so it has an entry more than
     the text has characters; a NULL or empty text has the one entry 0. Strings of special tokens count
-    as those tokens. One row per row of ``df``, repeated rows included, in one pass without a shuffle;
-    an empty table gives an empty result. Other columns are not read. ``keep`` must not hold a column
-    named counts.
+    as those tokens. ``budgets`` names bigint columns to add: the characters of the longest prefix with at
+    most so many tokens, as ``longest_prefix`` finds them in a stored table.
+
+    One row per row of ``df``, repeated rows included, in one pass without a shuffle; an empty table
+    gives an empty result. Other columns are not read. ``keep`` must not hold the name of an added
+    column.
     """
-    if "counts" in keep:
-        raise ValueError("keep holds the name of the added column counts")
+    limits = budgets or {}
+    clashing = {"counts", *limits} & set(keep)
+    if clashing:
+        raise ValueError(f"keep holds names of added columns: {sorted(clashing)}")
 
     def make(texts: list[bytes]) -> list[pa.Array]:
         counter = load(path)
         tables = [counter.counts(raw.decode("utf-8", "replace")) for raw in texts]
         ends = np.cumsum([0, *map(len, tables)])
         values = np.concatenate(tables) if tables else np.empty(0, np.int32)
-        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))]
-
-    return arrow_rows(df, keep, text, make, "counts array<int>", largest=128)
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+        fitting = [
+            pa.array([int(np.flatnonzero(t <= budget)[-1]) for t in tables], pa.int64())
+            for budget in limits.values()
+        ]
+        return [listed, *fitting]
+
+    added = ", ".join(["counts array<int>", *(f"`{name}` bigint" for name in limits)])
+    return arrow_rows(df, keep, text, make, added, largest=64)
 
 
 def whole_count(counts: str = "counts") -> Column:

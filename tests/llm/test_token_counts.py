@@ -69,11 +69,19 @@ def test_long_texts_are_cut_between_words(monkeypatch):
     assert token_counts.load(PATH).counts(text).tolist() == whole == _brute(text)
 
 
+def test_words_move_between_the_generations_of_the_cache(monkeypatch):
+    monkeypatch.setattr(token_counts, "_CACHED_WORDS", 3)
+    counter = token_counts.PrefixCounter(PATH)
+    for text in ("a b c d e f a b", "f g a a h é a", "a b"):
+        assert counter.counts(text).tolist() == _brute(text)
+
+
 def test_tables_and_questions(spark):
-    df = token_counts.prefix_counts(edge.documents(spark), PATH, keep=["doc_id", "text"])
+    df = token_counts.prefix_counts(edge.documents(spark), PATH, keep=["doc_id", "text"], budgets={"fits": 3})
     rows = df.select(
         "text",
         "counts",
+        "fits",
         token_counts.whole_count().alias("n"),
         token_counts.count_of_prefix(5).alias("five"),
         token_counts.longest_prefix(3).alias("three"),
@@ -85,7 +93,7 @@ def test_tables_and_questions(spark):
         assert r.counts[: len(short)] == short and len(r.counts) == len(text) + 1
         assert r.n == _library(text)
         assert r.five == _library(text[:5])
-        assert r.three == max(i for i, n in enumerate(r.counts) if n <= 3)
+        assert r.three == r.fits == max(i for i, n in enumerate(r.counts) if n <= 3)
     assert token_counts.prefix_counts(edge.empty(spark), PATH, keep=["doc_id"]).collect() == []
 
 
