@@ -29,9 +29,8 @@ from tallywork.sources import (  # noqa: E402
 try:
     import corpus_pipeline
     from tallywork.llm import entries as llm_entries
-except ModuleNotFoundError as missing:  # the library also works without that subpackage
-    if missing.name not in ("corpus_pipeline", "tallywork.llm"):
-        raise
+except ImportError as missing:  # the library also works without that subpackage or what it needs
+    print(f"queries on training data are left out: {missing}", file=sys.stderr)
     corpus_pipeline = llm_entries = None
 
 Tables = Mapping[str, DataFrame]
@@ -218,6 +217,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "running_totals": lambda t: op.running_metrics(_revenue(t)),
     "first_last_value": lambda t: op.first_last_compare(_revenue(t)),
     "nth_value": _nth_value,
+    "user_moving_metrics": lambda t: op.user_moving_metrics(_revenue(t)),
+    "user_event_fill": lambda t: op.user_event_fill(t["events"]),
+    "ranks_per_user": lambda t: op.ranks_per_user(_revenue(t)),
     "cohort_retention": lambda t: op.cohort_retention(_revenue(t)),
     "cohort_pivot": lambda t: op.cohort_retention_wide(_revenue(t)),
     "cohort_revenue": lambda t: op.cohort_revenue(_revenue(t)),

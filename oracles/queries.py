@@ -100,6 +100,57 @@ def _windows() -> dict[str, str]:
     }
 
 
+def _histories() -> dict[str, str]:
+    """Rows per user with what is before, around and after them."""
+    so_far = "ROWS UNBOUNDED PRECEDING"
+    frames = {n: f"ROWS {n - 1} PRECEDING" for n in (7, 30)}
+
+    def mean(frame: str) -> str:
+        over = f"OVER (PARTITION BY user_id ORDER BY order_date, order_id {frame})"
+        return avg(f"SUM(net_revenue) {over}", f"COUNT(*) {over}", 2)
+
+    over = "OVER (PARTITION BY user_id ORDER BY order_date, order_id"
+    moving = f"""
+        SELECT user_id, order_id, order_date, {dbl('net_revenue')},
+               CAST(SUM(net_revenue) {over} {so_far}) AS DOUBLE) AS cumulative_revenue,
+               {mean(so_far)} AS expanding_avg,
+               {", ".join(f"{mean(frame)} AS ma_{n}" for n, frame in frames.items())},
+               {", ".join(
+                   f"CAST(MAX(net_revenue) {over} {frame}) AS DOUBLE) AS max_{n}"
+                   for n, frame in frames.items()
+               )},
+               {pct('net_revenue', 'SUM(net_revenue) OVER (PARTITION BY user_id)', 2)}
+                 AS pct_of_user_revenue
+        FROM l_rev"""
+    wait = "CAST(epoch_us(lead(event_at) OVER w) - epoch_us(event_at) AS DOUBLE) / 6e7"
+    fill = f"""
+        SELECT user_id, event_id, event_at, event_type,
+               lead(event_type) OVER w AS next_event_type,
+               {half_up(wait, 1)} AS minutes_to_next,
+               last_value(CASE WHEN event_type = 'purchase' THEN event_at END IGNORE NULLS)
+                 OVER (PARTITION BY user_id ORDER BY event_at, event_id {so_far}) AS last_goal_at,
+               first_value(event_type) OVER whole AS first_event_type,
+               last_value(event_type) OVER whole AS last_event_type
+        FROM l_events WHERE user_id IS NOT NULL
+        WINDOW w AS (PARTITION BY user_id ORDER BY event_at, event_id),
+               whole AS (PARTITION BY user_id ORDER BY event_at, event_id
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+    ranks = f"""
+        SELECT user_id, order_id, {dbl('net_revenue')}, row_number() OVER u AS rn_in_user,
+               rank() OVER w AS rank_in_user, dense_rank() OVER w AS dense_rank_in_user,
+               ntile(4) OVER u AS bucket,
+               CAST(SUM(net_revenue) OVER w AS DOUBLE) AS revenue_with_peers,
+               COUNT(*) OVER w AS orders_with_peers
+        FROM l_rev
+        WINDOW w AS (PARTITION BY user_id ORDER BY net_revenue DESC),
+               u AS (PARTITION BY user_id ORDER BY net_revenue DESC, order_id)"""
+    return {
+        "user_moving_metrics": with_tables(moving, "l_rev"),
+        "user_event_fill": with_tables(fill, "l_events"),
+        "ranks_per_user": with_tables(ranks, "l_rev"),
+    }
+
+
 def _cohorts() -> dict[str, str]:
     period = "datediff('month', cohort_month, month)"
     long = f"""
@@ -648,6 +699,7 @@ def _constraints() -> str:
 def sql() -> dict[str, str]:
     return {
         **_windows(),
+        **_histories(),
         **_cohorts(),
         **_funnels(),
         **_recurring(),

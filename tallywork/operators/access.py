@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallywork.fixed_values import PAGE_SIZE, RECENT_DAYS
 from tallywork.functions import any_names, day_of
 from tallywork.operators.windows import top_n_per_group
-from tallywork.plans import row_numbers
+from tallywork.plans import rows_by_rank
 
 
 @any_names
@@ -94,10 +94,7 @@ def keyset_page(df: DataFrame, key: str, after, *, size: int = PAGE_SIZE) -> Dat
 def offset_page(df: DataFrame, key: str, offset: int, *, size: int = PAGE_SIZE) -> DataFrame:
     """Rows ``offset + 1`` to ``offset + size`` by ``key``, NULLs first.
 
-    Rows with equal keys go by the other columns. The rows are numbered across the cluster, so that
-    no task holds the rows before a far page; the page is cut from the numbered rows.
+    Rows with equal keys go by the other columns. The page is found by counting: no task holds the rows
+    before a far page, nothing is stored, and only the part of the table with the page is sorted.
     """
-    order = [key, *(c for c in df.columns if c != key)]
-    numbered = row_numbers(df, [], [F.col(c).asc_nulls_first() for c in order], "_number")
-    page = numbered.filter(F.col("_number").between(offset + 1, offset + size))
-    return page.orderBy("_number").drop("_number")
+    return rows_by_rank(df, [key, *(c for c in df.columns if c != key)], offset, size)

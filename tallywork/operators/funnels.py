@@ -15,7 +15,7 @@ from tallywork.fixed_values import (
     FUNNEL_STEPS,
 )
 from tallywork.functions import any_names, half_up, minutes, moment, percent, ratio
-from tallywork.plans import cut_by_value, exact_percentiles
+from tallywork.plans import exact_percentiles, held
 
 
 def _reached(steps: Sequence[str]) -> list[Column]:
@@ -100,13 +100,15 @@ def time_to_convert(
         .groupBy("session_id")
         .agg(F.min(F.when(kind == start, at)).alias("a"), F.min(F.when(kind == end, at)).alias("b"))
         .filter(F.col("b") >= F.col("a"))
-        .select("session_id", F.timestamp_diff("MICROSECOND", "a", "b").alias("micros"))
+        .select(F.timestamp_diff("MICROSECOND", "a", "b").alias("micros"))
+    )
+    both = exact_percentiles(
+        held(sessions),
+        [],
+        "micros",
+        {"p50": 0.5, "p90": 0.9},
+        also={"n": F.count(F.lit(1)), "micros": F.sum("micros")},
     )
-    cut = cut_by_value(sessions, [], "micros", "session_id")
-    totals = cut.agg(F.count(F.lit(1)).alias("n"), F.sum("micros").alias("micros"))
-    found = exact_percentiles(cut, [], "micros", {"p50": 0.5, "p90": 0.9})
-    both = totals.unionByName(found, allowMissingColumns=True)  # two rows made one
-    both = both.agg(*(F.max(c).alias(c) for c in both.columns))
     return both.select(
         F.col("n").alias("converting_sessions"),
         half_up(ratio(minutes(F.col("micros")), F.col("n")), 1).alias("avg_minutes_to_convert"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.fixed_values import ACTIVE_DAYS, COMPLETED
 from tallywork.functions import any_names, average, half_up, month_of, percent, period_of, ratio
-from tallywork.plans import cut_by_value, exact_percentiles, join_null_safe
+from tallywork.plans import exact_percentiles, held
 
 
 def latest(df: DataFrame, time: str) -> Column:
@@ -95,7 +95,6 @@ def ltv_by_segment(
     active = F.col("last_order") > as_of - F.make_dt_interval(F.lit(active_days))
     customers = users.select("user_id", "plan", "acquired_channel").join(per_user, "user_id")
     customers = customers.select(
-        "user_id",
         "plan",
         "acquired_channel",
         "total_revenue",
@@ -105,21 +104,24 @@ def ltv_by_segment(
         (~active).cast("int").alias("inactive"),
     )
     segment = ["plan", "acquired_channel"]
-    customers = cut_by_value(customers, segment, "total_revenue", "user_id")
-    totals = customers.groupBy(*segment).agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        F.sum("total_revenue").alias("revenue"),
-        F.sum("order_value").alias("order_values"),
-        F.sum("active_months").alias("months"),
-        F.sum("monthly").alias("monthly"),
-        F.sum("inactive").alias("inactive"),
+    totals = exact_percentiles(
+        held(customers),
+        segment,
+        "total_revenue",
+        {"p90": 0.9},
+        also={
+            "customer_count": F.count(F.lit(1)),
+            "revenue": F.sum("total_revenue"),
+            "order_values": F.sum("order_value"),
+            "months": F.sum("active_months"),
+            "monthly": F.sum("monthly"),
+            "inactive": F.sum("inactive"),
+        },
     )
-    tops = exact_percentiles(customers, segment, "total_revenue", {"p90": 0.9})
     n = F.col("customer_count")
     monthly_mean = ratio(F.col("monthly"), n)
     top_share = F.lit(100.0) * ratio(F.col("p90"), F.col("revenue")) * n.cast("double") * 0.1
-    # a segment without a single total has no percentile
-    return join_null_safe(totals, tops, segment, how="left").select(
+    return totals.select(
         *segment,
         n,
         average(F.col("revenue"), n, 2).alias("avg_total_revenue"),

@@ -4,8 +4,6 @@ from tallywork.plans.frames import ALL, Frame, keyed_frames
 from tallywork.plans.ordered import (
     OrderedRows,
     cut_by_order,
-    cut_by_value,
-    exact_percentiles,
     first_of_key,
     following,
     global_ranks,
@@ -18,8 +16,9 @@ from tallywork.plans.ordered import (
     row_numbers,
 )
 from tallywork.plans.ranks import keyed_ranks
+from tallywork.plans.selection import exact_percentiles, rows_by_rank
 from tallywork.plans.skew import adapt_to_skew
-from tallywork.plans.storage import durable, remove, scratch, shared_folder, stored
+from tallywork.plans.storage import durable, held, remove, scratch, shared_folder, stored
 
 __all__ = [
     "ALL",
@@ -27,12 +26,12 @@ __all__ = [
     "OrderedRows",
     "adapt_to_skew",
     "cut_by_order",
-    "cut_by_value",
     "durable",
     "exact_percentiles",
     "first_of_key",
     "following",
     "global_ranks",
+    "held",
     "join_null_safe",
     "keyed_frames",
     "keyed_ranks",
@@ -43,6 +42,7 @@ __all__ = [
     "previous",
     "remove",
     "row_numbers",
+    "rows_by_rank",
     "scratch",
     "shared_folder",
     "stored",

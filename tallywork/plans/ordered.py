@@ -74,59 +74,6 @@ def row_numbers(
     return join_null_safe(cut, offsets, [SLICE, *keys]).select(*df.columns, number.alias(out))
 
 
-def cut_by_value(df: DataFrame, keys: Sequence[str], value: str, unique: str) -> DataFrame:
-    """Cut all rows by key and value, those without a value last, ready for ``exact_percentiles``."""
-    order = [*(F.col(k).asc_nulls_last() for k in keys), F.col(value).asc_nulls_last(), F.col(unique)]
-    return cut_by_order(df, order)
-
-
-def exact_percentiles(
-    cut: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]
-) -> DataFrame:
-    """Interpolated percentiles per key for groups of any size; one column per entry of ``shares``.
-
-    Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here the
-    values are sorted across the cluster and only the two neighbours of each rank are read. Rows
-    without a value do not count; a key that has no others is left out.
-    """
-    cut = cut.filter(F.col(value).isNotNull())
-    offsets = _slice_offsets(cut, keys)
-    total = F.sum("_n").over(Window.partitionBy(*keys))
-    wanted = F.explode(
-        F.array(*(F.struct(F.lit(n).alias("_name"), F.lit(p).alias("_p")) for n, p in shares.items()))
-    )
-    rank = F.col("_want._p") * (F.col("_total") - 1)
-    targets = (
-        offsets.withColumn("_total", total)
-        .withColumn("_want", wanted)
-        .withColumn("_low", F.floor(rank))
-        .withColumn("_part", rank - F.floor(rank))
-        .withColumn("_rank", F.explode(F.array(F.col("_low"), F.col("_low") + 1)))
-        .filter(
-            (F.col("_rank") >= F.col("_offset")) & (F.col("_rank") < F.col("_offset") + F.col("_n"))
-        )
-        .select(
-            *keys,
-            F.col(SLICE).alias("_at_slice"),
-            (F.col("_rank") - F.col("_offset") + F.col("_first")).alias("_at_pos"),
-            F.col("_want._name").alias("_name"),
-            (F.col("_rank") == F.col("_low")).alias("_is_low"),
-            "_part",
-        )
-    )
-    at = (F.col(SLICE) == F.col("_at_slice")) & (F.col(POS) == F.col("_at_pos"))
-    found = cut.select(SLICE, POS, F.col(value).cast("double").alias("_value")).join(targets, at)
-
-    def one(name: str) -> Column:
-        mine = F.col("_name") == name
-        low = F.max(F.when(mine & F.col("_is_low"), F.col("_value")))
-        high = F.max(F.when(mine & ~F.col("_is_low"), F.col("_value")))
-        part = F.max(F.when(mine, F.col("_part")))
-        return (low + (F.coalesce(high, low) - low) * part).alias(name)
-
-    return found.groupBy(*keys).agg(*(one(name) for name in shares))
-
-
 def global_ranks(
     df: DataFrame, value: str, unique: str, *, within: str, slices: int | None = None
 ) -> DataFrame:
@@ -383,21 +330,30 @@ def order_rows(
         return OrderedRows(cut, key, tuple(order), spans=False)
     place = StructType([df.schema[c] for c in order])
     schema = StructType([df.schema[key]]).add("_borders", ArrayType(ArrayType(place)))
-    listed = df.sparkSession.createDataFrame(borders, schema)
+    listed = df.sparkSession.createDataFrame(
+        [(value, in_blocks(places)) for value, places in borders], schema
+    )
     # at most one border per slice
     rows = join_null_safe(df, F.broadcast(listed), [key], how="left")
-    here = F.struct(*order)
-    block = F.size(F.filter("_borders", lambda b: b[0] <= here))
-    inside = F.size(F.filter(F.get("_borders", block - 1), lambda b: b <= here))
-    number = F.when(block > 0, (block - 1) * _BLOCK + inside).otherwise(0)
     cut = rows.withColumn(_SPANS, F.col("_borders").isNotNull()).withColumn(
-        SLICE, F.coalesce(number, F.lit(0))
+        SLICE, borders_passed(F.col("_borders"), F.struct(*order))
     )
     return OrderedRows(cut.drop("_borders"), key, tuple(order), spans=True)
 
 
+def in_blocks(places: list[tuple]) -> list[list[tuple]]:
+    return [places[i : i + _BLOCK] for i in range(0, len(places), _BLOCK)]
+
+
+def borders_passed(borders: Column, here: Column) -> Column:
+    """How many of the sorted borders, in blocks, are at or before a place; 0 without borders."""
+    block = F.size(F.filter(borders, lambda b: b[0] <= here))
+    inside = F.size(F.filter(F.get(borders, block - 1), lambda b: b <= here))
+    return F.coalesce(F.when(block > 0, (block - 1) * _BLOCK + inside).otherwise(0), F.lit(0))
+
+
 def _borders(df: DataFrame, key: str, order: Sequence[str], slices: int) -> list[tuple]:
-    """Where slices begin inside the keys that span them: (key, borders in blocks).
+    """Where slices begin inside the keys that span them: (key, sorted borders).
 
     From a sample of some rows per slice. It is cut inside Spark, key by key; only the borders reach
     the driver, at most one per slice. The sample only steers the layout; results do not depend on it.
@@ -410,8 +366,4 @@ def _borders(df: DataFrame, key: str, order: Sequence[str], slices: int) -> list
     places = F.array_sort(F.collect_list(F.struct(*order))).alias("places")
     starts = F.filter("places", lambda _, i: (i > 0) & (i % step == 0))
     cut = sampled.groupBy(key).agg(places).filter(F.size("places") > step).select(key, starts.alias("starts"))
-    found = []
-    for value, borders in cut.collect():
-        places = [tuple(place) for place in borders]
-        found.append((value, [places[i : i + _BLOCK] for i in range(0, len(places), _BLOCK)]))
-    return found
+    return [(value, [tuple(place) for place in borders]) for value, borders in cut.collect()]

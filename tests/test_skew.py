@@ -1,5 +1,6 @@
 """The paths for hot keys and large groups give the rows of the plain ones."""
 
+import os
 import random
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -12,13 +13,14 @@ import compare
 from tallywork import operators as op
 from tallywork.plans import (
     adapt_to_skew,
-    cut_by_value,
     exact_percentiles,
     global_ranks,
     order_rows,
     row_numbers,
+    rows_by_rank,
 )
 from tallywork.plans.ordered import SLICE
+from tallywork.plans.storage import application_folder
 
 START = datetime(2024, 1, 1)
 
@@ -209,28 +211,56 @@ def test_row_numbers(frame, many_slices):
     same(row_numbers(df, ["k"], [F.col("v").asc(), F.col("id").asc()], "n"), plain)
 
 
-def test_exact_percentiles(frame, many_slices):
+@pytest.mark.parametrize(("bins", "listed"), [(1024, 10_000), (4, 3), (2, 1), (7, 60)])
+@pytest.mark.parametrize("kind", ["int", "decimal(34,6)"])
+def test_exact_percentiles(frame, many_slices, bins, listed, kind):
     pick = random.Random(4)
-    rows = [(pick.choice([None, "a", "b"]), pick.randrange(50), i) for i in range(401)]
-    rows += [("single", 3, 1000), ("none", None, 1001)]
-    df = frame(rows, "k string, v int, id int")
-    cut = cut_by_value(df, ["k"], "v", "id")
-    found = exact_percentiles(cut, ["k"], "v", {"p0": 0.0, "p37": 0.37, "p50": 0.5, "p100": 1.0})
-    plain = (
-        df.filter("v IS NOT NULL")
-        .groupBy("k")
-        .agg(
-            *(
-                F.percentile("v", p / 100).alias(f"p{p}")
-                for p in (0, 37, 50, 100)
-            )
-        )
+    rows = [("a" if i % 3 else pick.choice([None, "b"]), pick.choice([7, pick.randrange(500)])) for i in range(601)]
+    rows += [("single", 3), ("none", None), ("same", 5), ("same", 5), ("wide", 1), ("wide", 10**9), ("wide", 10**9 + 1)]
+    df = frame(rows, "k string, v int").withColumn("v", F.col("v").cast(kind))
+    shares = {"p0": 0.0, "p37": 0.37, "p50": 0.5, "p100": 1.0}
+    found = exact_percentiles(df, ["k"], "v", shares, also={"n": F.count(F.lit(1))}, bins=bins, listed=listed)
+    plain = df.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), *(F.percentile("v", p).alias(name) for name, p in shares.items())
     )
     got = {r["k"]: r for r in found.collect()}
     for row in plain.collect():
-        for name in ("p0", "p37", "p50", "p100"):
-            assert got[row["k"]][name] == pytest.approx(row[name])
+        assert got[row["k"]]["n"] == row["n"]
+        for name in shares:
+            if row[name] is None:
+                assert got[row["k"]][name] is None
+            else:
+                assert got[row["k"]][name] == pytest.approx(row[name])
     assert len(got) == plain.count()
+    whole = exact_percentiles(df, [], "v", {"p50": 0.5}, bins=bins, listed=listed).first()
+    assert whole.p50 == pytest.approx(df.agg(F.percentile("v", 0.5)).first()[0])
+    assert exact_percentiles(df.filter("false"), ["k"], "v", shares).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, 40, 1_000_000])
+def test_pages_by_rank(frame, many_slices, most):
+    pick = random.Random(6)
+    rows = [(None if i % 50 == 0 else pick.randrange(200), pick.choice(["x", None, "y"])) for i in range(700)]
+    rows += [(77, "same")] * 90
+    df = frame(rows, "k int, t string")
+    plain = [tuple(r) for r in df.orderBy(F.col("k").asc_nulls_first(), F.col("t").asc_nulls_first()).collect()]
+    for offset, size in ((0, 5), (3, 20), (300, 20), (330, 100), (785, 20), (790, 5), (5000, 3), (0, 2000)):
+        page = rows_by_rank(df, ["k", "t"], offset, size, slices=9, most=most)
+        assert [tuple(r) for r in page.collect()] == plain[offset : offset + size]
+
+
+def test_pages_and_percentiles_write_no_file(spark, tables):
+    def written():
+        place = application_folder(spark).replace("file:", "")
+        return {f for _, _, files in os.walk(place) for f in files}
+
+    before = written()
+    page = op.offset_page(tables["placed_orders"], "order_id", 10_000)
+    assert page.count() == 20
+    assert "PushedFilters: [" in (plan := page._jdf.queryExecution().executedPlan().toString())
+    assert "GreaterThanOrEqual(o_orderkey" in plan and "LessThanOrEqual(o_orderkey" in plan
+    assert op.time_to_convert(tables["events"]).count() == 1
+    assert written() == before
 
 
 @pytest.fixture
