@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywork import operators
 from tallywork.fixed_values import CHUNK_SIZE
 from tallywork.plans import durable
-from tallywork.sources import Snapshots
+from tallywork.sources import Snapshots, by_month
 
 
 class Analytics:
@@ -44,8 +44,11 @@ class Analytics:
         return operators.funnel_metrics(self.tables["events"], start_date, end_date, segment_by=segment_by)
 
     def upsert_daily_summary(self, rows: DataFrame, path: str) -> int:
-        """Merge daily summary rows into the table at ``path``; returns the rows that came in."""
-        return Snapshots(self.spark, path, "period").upsert(rows)
+        """Merge daily summary rows into the table at ``path``; returns the rows that came in.
+
+        The table has a part per month, so a load of recent days rewrites few of them.
+        """
+        return Snapshots(self.spark, path, "period", part=by_month).upsert(rows)
 
     def process_in_chunks(
         self,

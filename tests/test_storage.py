@@ -1,6 +1,7 @@
 """Snapshots, month folders, chunks and the shared folder."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pandas as pd
@@ -55,6 +56,76 @@ def test_upsert_of_some_columns(frame, table):
             table.upsert(frame([(day(2), 9.0)], wrong))
 
 
+def test_declared_columns(spark, frame):
+    table = Snapshots(spark, new_folder(spark, "summary"), schema=SUMMARY)
+    assert table.read().collect() == [] and table.read().columns == ["period", "total_revenue", "total_orders"]
+    assert table.upsert(frame([(day(1), 5)], "period date, total_orders int")) == 1
+    assert table.upsert(frame([(day(1), 1.0, 1), (day(2), 2.0, 2)], SUMMARY)) == 2
+    assert rows_of(table) == {1: (1.0, 1), 2: (2.0, 2)}
+    with pytest.raises(LookupError):
+        Snapshots(spark, new_folder(spark, "summary")).read()
+
+
+def _between_merge_and_commit(table, action):
+    """Another writer commits after this one has merged its rows, once."""
+    create, left = table._records.create, [action]
+
+    def late(number, record):
+        if left:
+            left.pop()()
+        return create(number, record)
+
+    table._records.create = late
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_two_writers(spark, frame, same):
+    path = new_folder(spark, "summary")
+    mine, other = (Snapshots(spark, path, part=lambda d: F.date_format(d, "yyyy-MM")) for _ in range(2))
+    mine.upsert(frame([(day(1), 1.0, 1)], SUMMARY))
+    their_day = day(2) if same else date(2024, 2, 2)
+    merges = []
+    merged = mine._merged
+    mine._merged = lambda *a: (merges.append(1), merged(*a))[1]
+    _between_merge_and_commit(mine, lambda: other.upsert(frame([(their_day, 7.0, 7)], SUMMARY)))
+    assert mine.upsert(frame([(day(1), None, 9), (day(3), 3.0, 3)], SUMMARY)) == 2
+    found = {r["period"]: (r["total_revenue"], r["total_orders"]) for r in mine.read().collect()}
+    assert found == {day(1): (None, 9), their_day: (7.0, 7), day(3): (3.0, 3)}
+    assert len(merges) == (2 if same else 1)  # merged again only where both touched a part
+    assert mine.version() == 3
+
+
+def test_many_writers_at_once(spark, frame):
+    path = new_folder(spark, "summary")
+    inputs = [frame([(day(n), float(n), n), (day(20 + n % 2), float(n), n)], SUMMARY) for n in range(1, 7)]
+    with ThreadPoolExecutor(6) as pool:
+        done = list(pool.map(lambda rows: Snapshots(spark, path, part=lambda d: F.lit("one")).upsert(rows), inputs))
+    table = Snapshots(spark, path)
+    assert done == [2] * 6 and table.version() == 6
+    assert set(rows_of(table)) == {*range(1, 7), 20, 21}
+    assert len(table._records.numbers()) == 3
+
+
+def test_a_batch_counts_once(frame, table):
+    first, second = (frame([(day(n), float(n), n)], SUMMARY) for n in (1, 2))
+    assert table.upsert(first, batch=("sales", 0)) == 1
+    assert table.upsert(second, batch=("sales", 0)) == 0 and table.upsert(first, batch=("other", 0)) == 1
+    assert table.upsert(second, batch=("sales", 1)) == 1 and table.upsert(first, batch=("sales", 0)) == 0
+    assert table.upsert(frame([], SUMMARY), batch=("sales", 2)) == 0 and table.version() == 4
+    assert rows_of(table) == {1: (1.0, 1), 2: (2.0, 2)}
+
+
+def test_unfinished_record(frame, table, monkeypatch):
+    table.upsert(frame([(day(1), 1.0, 1)], SUMMARY))
+    place = f"{table._records._local}/{2:020d}.json"
+    open(place, "w").close()
+    monkeypatch.setattr("tallywork.sources.snapshots._PATIENCE", 0.1)
+    with pytest.raises(RuntimeError, match="unfinished"):
+        table.read()
+    os.remove(place)
+    assert rows_of(table) == {1: (1.0, 1)}
+
+
 def test_upsert_rewrites_touched_parts_only(spark, frame):
     months = Snapshots(
         spark, new_folder(spark, "summary"), part=lambda d: F.date_format(d, "yyyy-MM"), keep=2
@@ -69,9 +140,11 @@ def test_upsert_rewrites_touched_parts_only(spark, frame):
     assert months.read(version=1).count() == 6 and months.read().count() == 7
     months.upsert(frame([(date(2024, 6, 3), 0.0, 0)], SUMMARY))
     assert months.read(version=2).count() == 7
-    assert not any("version=1/_part=2024-06" in f for f in _files(spark, months._data))
+    june = {f for f in _files(spark, months._data) if "_part=2024-06" in f}
+    assert june == {f for v in (2, 3) for f in months.read(version=v).inputFiles() if "_part=2024-06" in f}
     with pytest.raises(KeyError):
         months.read(version=1)
+    assert months._records.numbers() == [2, 3]  # the log stays as long as the table is kept
 
 
 def _files(spark, folder):
@@ -122,7 +195,7 @@ def _read_files(df):
 def test_uncommitted_version_is_invisible(frame, table):
     table.upsert(frame([(day(1), 1.0, 1)], SUMMARY))
     # what a writer leaves behind that died before its commit
-    frame([(day(9), 9.0, 9)], SUMMARY).write.parquet(f"{table._data}/version=2")
+    frame([(day(9), 9.0, 9)], SUMMARY).write.parquet(f"{table._data}/aa/_part=1")
     assert rows_of(table) == {1: (1.0, 1)}
     table.upsert(frame([(day(2), 2.0, 2)], SUMMARY))
     assert rows_of(table) == {1: (1.0, 1), 2: (2.0, 2)}
