@@ -20,6 +20,8 @@ from tallywork.plans import adapt_to_skew, durable  # noqa: E402
 from tallywork.plans.storage import new_folder  # noqa: E402
 from tallywork.sources import (  # noqa: E402
     RULES,
+    SCHEMAS,
+    CheckedTable,
     Snapshots,
     TradeTables,
     read_months,
@@ -184,6 +186,27 @@ def _upserted(t: Tables, *second_columns: str) -> DataFrame:
     return table.read()
 
 
+def _append_checked(t: Tables) -> DataFrame:
+    """Two loads of orders; the second brings known, repeated and broken rows. Rows by what they break."""
+    orders, key = t["orders"], F.col("order_id")
+    spark = orders.sparkSession
+    table = CheckedTable(spark, new_folder(spark, "orders"), "orders", RULES, schema=SCHEMAS["orders"])
+    table.append(orders.filter(key % 3 != 0), t)
+    second = orders.filter((key % 3 == 0) | (key % 10 == 0)).withColumns(
+        {
+            "status": F.when(key % 7 == 0, "lost").otherwise(F.col("status")),
+            "user_id": F.when(key % 13 == 0, F.col("user_id") + 10_000_000).otherwise(
+                F.when(key % 11 != 0, F.col("user_id"))
+            ),
+        }
+    )
+    table.append(second.union(second.filter(key % 9 == 0)), t)
+    ids = (F.count(F.lit(1)).alias("n"), F.sum("order_id").alias("order_ids"))
+    broken = table.quarantine().select(F.array_join(F.array_sort("broken"), ", ").alias("broken"), "order_id")
+    taken = table.read().select(F.lit("").alias("broken"), "order_id")
+    return taken.union(broken).groupBy("broken").agg(*ids)
+
+
 def _chunk_event_counts(t: Tables) -> DataFrame:
     def count_types(chunk):  # nested, so that workers get it by value
         counts = chunk.groupby("event_type").size()
@@ -274,6 +297,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "funnel_metrics_referrer": lambda t: _funnel_metrics(t, "referrer"),
     "daily_summary_upsert": _daily_summary_upsert,
     "daily_summary_columns": _daily_summary_columns,
+    "append_checked": _append_checked,
     "chunk_event_counts": _chunk_event_counts,
     "table_counts": _table_counts,
     "constraint_report": _constraint_report,

@@ -2,7 +2,13 @@
 
 from oracles.tables import PARAMETERS as P
 from oracles.tables import avg, dbl, half_up, pct, ratio, with_tables
-from tallywork.fixed_values import GROWTH_ABOVE, GROWTH_AT_LEAST, GROWTH_FIRST, GROWTH_REST
+from tallywork.fixed_values import (
+    GROWTH_ABOVE,
+    GROWTH_AT_LEAST,
+    GROWTH_FIRST,
+    GROWTH_REST,
+    ORDER_STATUSES,
+)
 
 
 def _windows() -> dict[str, str]:
@@ -696,6 +702,37 @@ def _constraints() -> str:
     )
 
 
+def _appended() -> str:
+    allowed = ", ".join(f"'{s}'" for s in ORDER_STATUSES)
+    return with_tables(
+        f"""
+        WITH first AS (SELECT * FROM l_orders WHERE order_id % 3 <> 0),
+        sent AS (
+          SELECT order_id, order_date, shipping_country,
+                 CASE WHEN order_id % 7 = 0 THEN 'lost' ELSE status END AS status,
+                 CASE WHEN order_id % 13 = 0 THEN user_id + 10000000
+                      WHEN order_id % 11 <> 0 THEN user_id END AS user_id
+          FROM l_orders WHERE order_id % 3 = 0 OR order_id % 10 = 0),
+        twice AS (SELECT *, 1 AS nth FROM sent UNION ALL SELECT *, 2 FROM sent WHERE order_id % 9 = 0),
+        judged AS (
+          SELECT order_id, nth, list_filter([
+                   CASE WHEN user_id IS NULL THEN 'user_id not null' END,
+                   CASE WHEN status NOT IN ({allowed}) THEN 'status allowed' END,
+                   CASE WHEN user_id NOT IN (SELECT user_id FROM l_users) THEN 'user_id in users' END,
+                   CASE WHEN order_id IN (SELECT order_id FROM first) THEN 'order_id unique' END
+                 ], lambda x: x IS NOT NULL) AS broken
+          FROM twice),
+        all_rows AS (
+          SELECT order_id, CASE WHEN len(broken) = 0 AND nth = 2 THEN ['order_id unique'] ELSE broken END AS broken
+          FROM judged
+          UNION ALL SELECT order_id, [] FROM first)
+        SELECT array_to_string(list_sort(broken), ', ') AS broken, COUNT(*) AS n,
+               CAST(SUM(order_id) AS BIGINT) AS order_ids
+        FROM all_rows GROUP BY ALL""",
+        "l_orders", "l_users",
+    )
+
+
 def sql() -> dict[str, str]:
     return {
         **_windows(),
@@ -714,6 +751,7 @@ def sql() -> dict[str, str]:
                       a.gross_profit
                FROM a FULL JOIN b ON a.period = b.period"""
         ),
+        "append_checked": _appended(),
         "table_counts": _counts(),
         "constraint_report": _constraints(),
     }
