@@ -292,6 +292,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "revenue_summary_month": lambda t: op.revenue_summary(_revenue(t), "month"),
     "revenue_summary_quarter": lambda t: op.revenue_summary(_revenue(t), "quarter"),
     "revenue_summary_year": lambda t: op.revenue_summary(_revenue(t), "year"),
+    "revenue_rollups": lambda t: op.summaries_of_cells(durable(op.daily_cells(_revenue(t)), "cells")),
     "funnel_metrics": lambda t: _funnel_metrics(t, None),
     "funnel_metrics_device": lambda t: _funnel_metrics(t, "device_type"),
     "funnel_metrics_referrer": lambda t: _funnel_metrics(t, "referrer"),

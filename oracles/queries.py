@@ -3,6 +3,7 @@
 from oracles.tables import PARAMETERS as P
 from oracles.tables import avg, dbl, half_up, pct, ratio, with_tables
 from tallywork.fixed_values import (
+    GRANULARITIES,
     GROWTH_ABOVE,
     GROWTH_AT_LEAST,
     GROWTH_FIRST,
@@ -393,7 +394,24 @@ def _recurring() -> dict[str, str]:
             "l_rev",
         )
 
+    shown = "CAST(round(rev, 2) AS DOUBLE)"
+    levels = " UNION ALL ".join(
+        f"""SELECT '{g}' AS granularity, CAST(date_trunc('{g}', order_date) AS DATE) AS period,
+                   COUNT(DISTINCT user_id) AS users, COUNT(*) AS n, SUM(net_revenue) AS rev,
+                   SUM(gross_profit) AS profit
+            FROM l_rev GROUP BY ALL"""
+        for g in GRANULARITIES
+    )
+    rollups = f"""
+        WITH g AS ({levels})
+        SELECT granularity, period, users AS unique_customers, n AS total_orders,
+               {dbl(shown, 'total_revenue')}, {avg('rev', 'n', 2)} AS avg_order_value,
+               {dbl('round(profit, 2)', 'gross_profit')}, {pct('profit', 'rev')} AS gross_margin_pct,
+               ({shown} / nullif(lag({shown}) OVER (PARTITION BY granularity ORDER BY period), 0) - 1)
+                 * 100 AS revenue_mom_pct
+        FROM g"""
     return {
+        "revenue_rollups": with_tables(rollups, "l_rev"),
         "mrr_movements": movements(True),
         "mrr_movements_literal": movements(False),
         "churn_nrr": with_tables(churn, "l_subs"),

@@ -37,6 +37,7 @@ from tallywork.operators.quality import (
 )
 from tallywork.operators.recurring import churn_nrr, mrr_movements
 from tallywork.operators.revenue import latest, ltv_by_segment, order_revenue, revenue_summary
+from tallywork.operators.rollups import daily_cells, summaries_of_cells, summary_of_cells
 from tallywork.operators.timeseries import (
     date_spine_fill,
     gap_fill,
@@ -61,6 +62,7 @@ __all__ = [
     "cohort_retention_wide",
     "cohort_revenue",
     "country_revenue",
+    "daily_cells",
     "date_spine_fill",
     "dedup_latest",
     "duplicate_audit",
@@ -93,6 +95,8 @@ __all__ = [
     "rows_on_day",
     "running_metrics",
     "sessionize",
+    "summaries_of_cells",
+    "summary_of_cells",
     "table_counts",
     "time_to_convert",
     "top_n_per_group",

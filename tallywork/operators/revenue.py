@@ -60,6 +60,11 @@ def revenue_summary(revenue: DataFrame, granularity: str = "month") -> DataFrame
         F.sum("revenue").alias("revenue"),
         F.sum("profit").alias("profit"),
     )
+    return summarised(per_period)
+
+
+def summarised(per_period: DataFrame) -> DataFrame:
+    """The columns of a revenue summary from the totals of each period."""
     rounded = F.round("revenue", 2)
     previous = F.lag("total_revenue").over(Window.orderBy("period"))  # one row per period
     return per_period.select(

@@ -104,7 +104,13 @@ class Snapshots:
         reader = self.spark.read.schema(self._schema) if self._schema else self.spark.read
         return reader.parquet(*folders)
 
-    def upsert(self, rows: DataFrame, *, batch: tuple[str, int] | None = None) -> int:
+    def upsert(
+        self,
+        rows: DataFrame,
+        *,
+        batch: tuple[str, int] | None = None,
+        merge: Callable[[DataFrame, DataFrame, str], DataFrame] | None = None,
+    ) -> int:
         """Insert ``rows``, replacing every row with the same key, and return how many came in.
 
         ``rows`` may bring some of the columns only: the others stay as they are in known rows and are
@@ -114,7 +120,11 @@ class Snapshots:
 
         ``batch`` is the name of a stream and the number of its batch; a batch that the table holds
         already, or that comes before one that it holds, changes nothing and returns 0.
+
+        ``merge`` makes the new rows of the touched parts from the old rows, the incoming rows and the
+        name of the key, in place of the replacement; for a table with a declared schema.
         """
+        merge = merge or replaced
         part = F.coalesce(self._part(F.col(self.key)).cast("string"), F.lit("none"))
         # computed once, read for the check and for every attempt to merge
         rows, incoming = stored(rows.withColumn(PART, part), "incoming")
@@ -124,18 +134,18 @@ class Snapshots:
             if any(r["most"] > 1 for r in seen):
                 raise ValueError(f"{self.key} is not unique in the input")
             affected, touched = sum(r["rows"] for r in seen), {r[PART] for r in seen}
-            return self._commit(rows, part, affected, touched, batch) if affected or batch else 0
+            return self._commit(rows, part, affected, touched, batch, merge) if affected or batch else 0
         finally:
             remove(self.spark, incoming)
 
-    def _commit(self, rows, part: Column, affected: int, touched: set[str], batch) -> int:
+    def _commit(self, rows, part: Column, affected: int, touched: set[str], batch, merge) -> int:
         """Merge and commit; what others commit meanwhile is kept."""
         base, written = self._newest(), None
         for _ in range(ATTEMPTS):
             if batch and base.batches.get(batch[0], -1) >= batch[1]:
                 return 0
             if written is None and affected:
-                written = self._merged(base, rows, part, touched)
+                written = self._merged(base, rows, part, touched, merge)
             new = dict.fromkeys(touched, written) if affected else {}
             commit = Commit(
                 base.version + 1,
@@ -153,7 +163,7 @@ class Snapshots:
             base = other
         raise Conflict(f"no commit after {ATTEMPTS} attempts")
 
-    def _merged(self, base: Commit, rows: DataFrame, part: Column, touched: set[str]) -> str:
+    def _merged(self, base: Commit, rows: DataFrame, part: Column, touched: set[str], merge) -> str:
         """Write the touched parts, merged with the rows of ``base``, to a new folder."""
         folder = uuid.uuid4().hex
         known = [f for p, f in base.parts.items() if p in touched]
@@ -250,7 +260,7 @@ class Records:
         self._files.delete(self._place(number), False)
 
 
-def merge(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def replaced(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Rows of ``target`` with the columns of ``rows`` put in by key, and the new rows added."""
     extra = set(rows.columns) - set(target.columns)
     if extra or key not in rows.columns:
