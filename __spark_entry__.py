@@ -22,6 +22,7 @@ from tallywork.sources import (  # noqa: E402
     RULES,
     SCHEMAS,
     CheckedTable,
+    KeyedTable,
     Snapshots,
     TradeTables,
     read_months,
@@ -186,6 +187,20 @@ def _upserted(t: Tables, *second_columns: str) -> DataFrame:
     return table.read()
 
 
+def _user_totals_by_bucket(t: Tables) -> DataFrame:
+    """Orders and plan of every user who placed some, from copies laid out by user."""
+    spark = t["users"].sparkSession
+    orders = KeyedTable(spark, new_folder(spark, "orders-by-user"), "user_id", buckets=8)
+    users = KeyedTable(spark, new_folder(spark, "users-by-user"), "user_id", buckets=8)
+    placed = t["placed_orders"]
+    orders.write(placed.filter(F.col("order_id") % 4 != 0))
+    orders.append(placed.filter(F.col("order_id") % 4 == 0))
+    users.write(t["users"].select("user_id", "plan"))
+    return orders.joined(users).groupBy("user_id", "plan").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("order_date").alias("last_order")
+    )
+
+
 def _append_checked(t: Tables) -> DataFrame:
     """Two loads of orders; the second brings known, repeated and broken rows. Rows by what they break."""
     orders, key = t["orders"], F.col("order_id")
@@ -299,6 +314,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "daily_summary_upsert": _daily_summary_upsert,
     "daily_summary_columns": _daily_summary_columns,
     "append_checked": _append_checked,
+    "user_totals_by_bucket": _user_totals_by_bucket,
     "chunk_event_counts": _chunk_event_counts,
     "table_counts": _table_counts,
     "constraint_report": _constraint_report,

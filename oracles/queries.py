@@ -770,6 +770,11 @@ def sql() -> dict[str, str]:
                FROM a FULL JOIN b ON a.period = b.period"""
         ),
         "append_checked": _appended(),
+        "user_totals_by_bucket": with_tables(
+            """SELECT user_id, plan, COUNT(*) AS orders, MAX(order_date) AS last_order
+               FROM l_orders JOIN l_users USING (user_id) GROUP BY ALL""",
+            "l_orders", "l_users",
+        ),
         "table_counts": _counts(),
         "constraint_report": _constraints(),
     }

@@ -15,7 +15,7 @@ from tallywork.fixed_values import (
     FUNNEL_STEPS,
 )
 from tallywork.functions import any_names, half_up, minutes, moment, percent, ratio
-from tallywork.plans import exact_percentiles, held
+from tallywork.plans import exact_percentiles
 
 
 def _reached(steps: Sequence[str]) -> list[Column]:
@@ -103,7 +103,7 @@ def time_to_convert(
         .select(F.timestamp_diff("MICROSECOND", "a", "b").alias("micros"))
     )
     both = exact_percentiles(
-        held(sessions),
+        sessions,
         [],
         "micros",
         {"p50": 0.5, "p90": 0.9},

@@ -1,14 +1,14 @@
 """Duplicates, constraint checks and table counts."""
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions import any_names, normalise_email
 from tallywork.operators.windows import top_n_per_group
-from tallywork.plans import durable, join_null_safe
+from tallywork.plans import join_null_safe
 from tallywork.sources.tables import Check, ForeignKey, Unique
 
 EVENT_KEY = ("user_id", "session_id", "event_type")
@@ -69,86 +69,51 @@ def check_constraints(
 ) -> DataFrame:
     """Rows that break each rule: (table_name, rule, violations).
 
-    Every table is read once: each row yields the names of the checks that it breaks and the values
-    of its keys, counted per value before and after one shuffle. These counts are stored; unique and
-    foreign keys are judged from them. A key held n times counts n - 1 violations.
+    The checks of a table are counted in one pass without a shuffle. Unique columns, and both sides of a
+    foreign key, are grouped by value, so that repeated values are counted before the shuffle and values
+    meet once; a column that several rules name is grouped once. Nothing is stored. A key held n times
+    counts n - 1 violations; NULLs break no unique or foreign key.
     """
-    found = durable(reduce(DataFrame.unionByName, _findings(tables, rules)), "findings")
-    checks = found.filter("kind = 'check'").select(
-        "table_name", F.col("name").alias("rule"), "n"
-    )
-    keys = found.filter("kind = 'key'")
-    wanted = [r for r in rules if isinstance(r, Unique)]
-    unique = _listed(keys, wanted, lambda r: (r.table, r.column)).select(
-        "table_name", "rule", (F.col("n") - 1).alias("n")
-    )
-    wanted = [r for r in rules if isinstance(r, ForeignKey)]
-    held = _listed(keys, wanted, lambda r: (r.table, r.column, r.parent, r.key))
-    parents = keys.select(
-        F.col("table_name").alias("parent"), F.col("name").alias("key"), "value"
-    )
-    orphans = held.join(parents, ["parent", "key", "value"], "left_anti")
-    counted = (
-        checks.unionByName(unique)
-        .unionByName(orphans.select("table_name", "rule", "n"))
-        .groupBy("table_name", "rule")
-        .agg(F.sum("n").alias("violations"))
-    )
-    all_rules = _rows_of(found.sparkSession, [(r.table, r.name) for r in rules], "table_name", "rule")
-    return all_rules.join(counted, ["table_name", "rule"], "left").select(
-        "table_name", "rule", F.coalesce("violations", F.lit(0)).alias("violations")
-    )
+    held: dict[tuple[str, str], DataFrame] = {}
 
+    def values(table: str, column: str) -> DataFrame:
+        if (table, column) not in held:
+            known = tables[table].select(F.col(column).alias("_value")).filter("_value IS NOT NULL")
+            held[table, column] = known.groupBy("_value").agg(F.count(F.lit(1)).alias("_n"))
+        return held[table, column]
 
-def _findings(
-    tables: Mapping[str, DataFrame], rules: Sequence[Check | Unique | ForeignKey]
-) -> Iterator[DataFrame]:
-    """Per table: broken checks and held key values, (kind, table_name, name, value, n)."""
-    needed = dict.fromkeys(
-        [(r.table, r.column) for r in rules if isinstance(r, Unique | ForeignKey)]
-        + [(r.parent, r.key) for r in rules if isinstance(r, ForeignKey)]
-    )
+    found = []
     for table, df in tables.items():
         checks = [r for r in rules if isinstance(r, Check) and r.table == table]
-        # a condition that is NULL holds, as in a SQL CHECK
-        broken = [F.coalesce(~F.expr(r.condition), F.lit(False)) for r in checks]
-        marks = [
-            F.when(is_broken, _finding("check", r.name, F.lit(None)))
-            for is_broken, r in zip(broken, checks, strict=True)
-        ]
-        held = [
-            F.when(F.col(column).isNotNull(), _finding("key", column, F.col(column)))
-            for owner, column in needed
-            if owner == table
-        ]
-        if checks or held:
-            # most rows break nothing: only the others list their checks
-            found = F.array(*held, *([F.lit(None)] if not held else []))
-            if checks:
-                any_broken = reduce(Column.__or__, broken)
-                found = F.when(any_broken, F.array(*held, *marks)).otherwise(found)
-            rows = df.select(F.explode(found).alias("found")).filter(F.col("found").isNotNull())
-            rows = rows.select(F.lit(table).alias("table_name"), "found.*")
-            keys = ("kind", "table_name", "name", "value")
-            yield rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _finding(kind: str, name: str, value: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"), F.lit(name).alias("name"), value.cast("string").alias("value")
+        if checks:
+            found.append(_broken_checks(df, checks))
+    for rule in rules:
+        if isinstance(rule, Unique):
+            repeats = values(rule.table, rule.column).agg(F.sum(F.col("_n") - 1).alias("n"))
+            found.append(_violations(rule, repeats))
+        elif isinstance(rule, ForeignKey):
+            orphans = values(rule.table, rule.column).join(
+                values(rule.parent, rule.key).select("_value"), "_value", "left_anti"
+            )
+            found.append(_violations(rule, orphans.agg(F.sum("_n").alias("n"))))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _violations(rule: Unique | ForeignKey, counted: DataFrame) -> DataFrame:
+    return counted.select(
+        F.lit(rule.table).alias("table_name"),
+        F.lit(rule.name).alias("rule"),
+        F.coalesce("n", F.lit(0).cast("bigint")).alias("violations"),
     )
 
 
-def _rows_of(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFrame:
-    listed = [F.struct(*(F.lit(x).alias(n) for n, x in zip(names, r, strict=True))) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*listed)))
-
-
-def _listed(keys: DataFrame, rules: Sequence[Unique | ForeignKey], named: Callable) -> DataFrame:
-    """The held values that some rules are about, with the rule's name; as many rows as rules."""
-    if not rules:
-        rules = [ForeignKey("", "", "", "")]  # matches nothing
-        named = lambda r: (r.table, r.column, r.parent, r.key)
-    names = ("table_name", "name", "parent", "key")[: len(named(rules[0]))]
-    listed = _rows_of(keys.sparkSession, [(*named(r), r.name) for r in rules], *names, "rule")
-    return keys.join(F.broadcast(listed), ["table_name", "name"])
+def _broken_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """A row per check of a table; a condition that is NULL holds, as in a SQL CHECK."""
+    broken = [F.count(F.when(~F.expr(r.condition), F.lit(1))).alias(f"n{i}") for i, r in enumerate(checks)]
+    listed = [
+        F.struct(
+            F.lit(r.table).alias("table_name"), F.lit(r.name).alias("rule"), F.col(f"n{i}").alias("violations")
+        )
+        for i, r in enumerate(checks)
+    ]
+    return df.agg(*broken).select(F.inline(F.array(*listed)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywork.fixed_values import ACTIVE_DAYS, COMPLETED
 from tallywork.functions import any_names, average, half_up, month_of, percent, period_of, ratio
-from tallywork.plans import exact_percentiles, held
+from tallywork.plans import durable, exact_percentiles
 
 
 def latest(df: DataFrame, time: str) -> Column:
@@ -109,8 +109,9 @@ def ltv_by_segment(
         (~active).cast("int").alias("inactive"),
     )
     segment = ["plan", "acquired_channel"]
+    # one narrow row per customer, so that orders and items are joined once
     totals = exact_percentiles(
-        held(customers),
+        durable(customers, "customers"),
         segment,
         "total_revenue",
         {"p90": 0.9},

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallywork.plans.ordered import SLICE, _borders, borders_passed, in_blocks, join_null_safe
-from tallywork.plans.storage import durable, held
+from tallywork.plans.storage import durable
 
 _ONE = "_one"
 SORTED_ROWS = 1_000_000  # rows of a page's part that are sorted
@@ -108,18 +108,21 @@ def exact_percentiles(
     that holds the rank, until a bin is one value or has at most ``listed`` rows to list. Rows
     without a value do not count; a key that has no others gets NULLs. Equal values are never gathered.
 
-    ``also`` are further aggregates of the groups, taken in the first pass. Nothing of the rows is stored; the
-    states of a round, a few rows per group, are.
+    ``also`` are further aggregates of the groups, taken in the first pass. The rows are not stored, only
+    states of a few rows per group: ``df`` is computed for the first pass, for every round of finer bins, which
+    groups of up to ``listed`` values do without, and for the list.
     """
     known = F.col(value).isNotNull()
-    groups = held(
-        df.groupBy(*keys).agg(
-            F.count(value).alias("_n"),
-            F.min(value).alias("_lo"),
-            F.max(value).alias("_hi"),
-            *(column.alias(name) for name, column in (also or {}).items()),
-        )
+    groups = df.groupBy(*keys).agg(
+        F.count(value).alias("_n"),
+        F.min(value).alias("_lo"),
+        F.max(value).alias("_hi"),
+        *(column.alias(name) for name, column in (also or {}).items()),
     )
+    if keys:
+        groups = durable(groups, "groups")
+    else:  # one row
+        groups = df.sparkSession.createDataFrame(groups.collect(), groups.schema)
     wanted = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in shares.items()))
     exact = F.col("_want.p") * (F.col("_n") - 1)
     asked = groups.filter("_n > 0").select(*keys, "_n", "_lo", "_hi", F.explode(wanted).alias("_want"))

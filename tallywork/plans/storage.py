@@ -6,10 +6,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_scope: ContextVar[list | None] = ContextVar("scope", default=None)
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,23 +69,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         paths = _scope.get()
         _scope.reset(mark)
-        for kept in paths:
-            if isinstance(kept, DataFrame):
-                kept.unpersist()
-            else:
-                remove(spark, kept)
-
-
-def held(df: DataFrame) -> DataFrame:
-    """Keep ``df`` in the executors, on disk where memory ends; what is lost is computed again.
-
-    For what is read several times and is the same whenever it is computed. A ``scratch`` block lets go of it.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    scope = _scope.get()
-    if scope is not None:
-        scope.append(df)
-    return df
+        for path in paths:
+            remove(spark, path)
 
 
 def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:

@@ -74,13 +74,13 @@ def test_month_folders_are_pruned(spark):
     assert {r[0].split("event_month=")[1][:7] for r in read} == {"1997-02", "1997-03", "1997-04"}
 
 
-def test_constraint_report_reads_each_table_once(spark, tables):
-    from tallywork.operators import quality
-    from tallywork.sources import RULES
-
-    plans = [plan_of(df) for df in quality._findings(tables, RULES)]
-    assert sum(p.count("FileScan parquet") for p in plans) <= 12
-    assert all(p.count("Exchange hashpartitioning(kind") == 1 for p in plans)
+def test_constraint_report_groups_keys_by_their_own_type(spark):
+    report = entry_module.queries()["constraint_report"](spark, SF_DIR)
+    report.collect()
+    plan = plan_of(report).split("Initial Plan")[0]
+    assert "ReusedExchange" in plan  # orders.order_id is unique and a parent's key
+    assert not re.search(r"as string\) AS _value", plan)
+    assert "Exchange hashpartitioning(_value" in plan and plan.count("partial_count") > 10
 
 
 def test_either_is_one_scan(tables):
