@@ -28,7 +28,7 @@ def map_in_arrow(df: DataFrame, function: Callable, schema: StructType | str) ->
     return df.mapInArrow(function, schema)
 
 
-def _pieces(texts: pa.Array, largest: int) -> Iterator[tuple[int, int]]:
+def pieces(texts: pa.Array, largest: int) -> Iterator[tuple[int, int]]:
     """Start and length of runs of texts that are few and short enough together."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     start, before = 0, 0
@@ -62,7 +62,7 @@ def arrow_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, n in _pieces(batch.column(len(keep)), largest):
+            for start, n in pieces(batch.column(len(keep)), largest):
                 part = batch.slice(start, n)
                 texts = part.column(len(keep)).cast(pa.binary()).to_pylist()
                 columns = make([t or b"" for t in texts])

@@ -6,7 +6,7 @@ from tallywork.llm import texts
 def test_pieces_are_few_and_short(monkeypatch):
     monkeypatch.setattr(texts, "_MOST_BYTES", 10)
     values = pa.array(["aaaa", "bbbb", "cccc", None, "x" * 50, "", "yyyyyyyyyy", "z"])
-    assert list(texts._pieces(values, 100)) == [(0, 2), (2, 2), (4, 1), (5, 2), (7, 1)]
-    assert list(texts._pieces(values, 1)) == [(i, 1) for i in range(8)]
-    assert list(texts._pieces(values.slice(4, 3), 100)) == [(0, 1), (1, 2)]
-    assert list(texts._pieces(values.slice(0, 0), 100)) == []
+    assert list(texts.pieces(values, 100)) == [(0, 2), (2, 2), (4, 1), (5, 2), (7, 1)]
+    assert list(texts.pieces(values, 1)) == [(i, 1) for i in range(8)]
+    assert list(texts.pieces(values.slice(4, 3), 100)) == [(0, 1), (1, 2)]
+    assert list(texts.pieces(values.slice(0, 0), 100)) == []

@@ -60,6 +60,8 @@ def test_derived_records_of_pages(spark):
     assert len({r.record_id for r in found}) == 4  # repeated rows give equal identifiers
     again = warc.parse_record(warc.to_bytes(text.asDict()))
     assert again.get("WARC-Refers-To") == source.get("WARC-Record-ID")
+    assert again.get("WARC-Refers-To-Target-URI") == "https://a.example/1"
+    assert again.get("WARC-Refers-To-Date") == DATE
     assert again.block.decode() == text.block
 
 
@@ -69,6 +71,8 @@ def test_bodies_and_digests():
     cases = {
         "Content-Type: text/html; charset=latin-1": page.encode("latin-1"),
         "Content-Type: text/html; charset=nonsense": page.encode(),
+        "Content-Type: text/html; charset=idna": page.encode(),
+        "Content-Type: text/html; charset=undefined": page.encode(),
         "Transfer-Encoding: chunked": chunked,
         "Content-Encoding: gzip": gzip.compress(page.encode()),
     }
@@ -90,6 +94,8 @@ def test_unreadable_records_are_reported(spark):
     found = warc.derive_records(df, keep=["k"]).collect()
     assert sorted(r.k for r in found) == [1, 2, 3] and all(r.error for r in found)
     assert warc.derive_records(df.filter("false"), keep=["k"]).collect() == []
+    with pytest.raises(ValueError, match="error"):
+        warc.derive_records(df.withColumnRenamed("k", "error"), keep=["error"])
 
 
 def test_files(spark, tmp_path):
@@ -104,12 +110,37 @@ def test_files(spark, tmp_path):
     assert [bytes(r) for r in by_file["c.warc"]] == [*records[:2], b""]
 
 
+def test_damaged_files_lose_only_what_is_damaged():
+    records = [_response("HTTP/1.1 200 OK", b"<p>%d</p>" % i).to_bytes() for i in range(4)]
+    whole = b"".join(records)
+    assert list(warc.split_records(whole)) == records
+    wrong = records[1].replace(b"Content-Length: ", b"Content-Length: 9")
+    short = records[1].replace(b"Content-Length: 2", b"Content-Length: 1")
+    for bad in (wrong, short, b"junk\r\n\r\n", records[1][: records[1].index(b"WARC-Date")]):
+        assert list(warc.split_records(records[0] + bad + records[2] + records[3])) == [
+            records[0], b"", records[2], records[3]
+        ], bad
+    members = [gzip.compress(r) for r in records]
+    assert list(warc.split_records(b"".join(members))) == records
+    cut = b"".join(members)[:-25]
+    assert list(warc.split_records(cut)) == [*records[:3], b""]
+    damaged = bytearray(members[1])
+    damaged[40:60] = bytes(20)
+    assert list(warc.split_records(members[0] + bytes(damaged) + members[2])) == [records[0], b"", records[2]]
+    assert list(warc.split_records(gzip.compress(whole))) == records  # one member for all
+    spread = gzip.compress(whole[:500]) + gzip.compress(whole[500:])
+    assert list(warc.split_records(spread)) == records
+    assert list(warc.split_records(members[0] + members[1][:30] + members[2])) == [records[0], b"", records[2]]
+    assert list(warc.split_records(b"")) == []
+
+
 def test_written_files_come_back(spark, tmp_path):
     records = [_response("HTTP/1.1 200 OK", b"<p>%d</p>" % i).to_bytes() for i in range(40)]
     df = spark.createDataFrame([(r,) for r in [*records, None]], "record binary").repartition(3)
     place = f"file://{tmp_path}/out"
     assert warc.write_warc(df, place) == 40
     assert warc.write_warc(df, place) == 40  # again: the same files
+    assert warc.write_warc(df.coalesce(1), place) == 40  # fewer files: none stays from before
     found = warc.read_warc(spark, place)
     assert sorted(bytes(r.record) for r in found.collect()) == sorted(records)
     assert all(r.path.endswith(".warc.gz") for r in found.collect())
