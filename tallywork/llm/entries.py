@@ -104,7 +104,7 @@ def op8_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = html_text.extract_text(_read(spark, folder, "pages"), keep=["page_id", "url"])
     n = F.char_length("text").cast("bigint")
-    return found.select("page_id", "url", "text", n.alias("n_chars"))
+    return found.select("page_id", "url", "text", n.alias("n_chars"), "covered")
 
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
