@@ -7,20 +7,24 @@ score becomes the range of the next, finer histogram, and so on until the k-th s
 or so few scores are at or above the bin that they can be listed. The last pass lists the scores from
 that border up, each task its own k best at most, and ranks them with ties to the smaller id.
 
-Histograms add up, so a task sends one short array per query whatever its number of rows.
+Histograms add up, so a task sends one short array per query whatever its number of rows. A block's result is
+stored and its broadcast freed before the next block, so the state beside the tables is that of one block.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.llm.texts import map_in_arrow
+from tallywork.plans.storage import new_folder
 
 BINS = 512
 BLOCK = 8192
+_STEP_BYTES = 32_000_000  # of the scores that a task holds at a time
 _EXACT = float(1 << 53)
 _WIDEST = float(1 << 61)
 
@@ -66,8 +70,9 @@ class _Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
 
-    def batches(self, batches: Iterator[pa.RecordBatch], step: int = 2048):
-        """(ids, scores, mask of the pairs that count) for pieces of the rows."""
+    def batches(self, batches: Iterator[pa.RecordBatch]):
+        """(ids, scores, mask of the pairs that count) for pieces of the rows, bounded by their scores' size."""
+        step = max(1, _STEP_BYTES // (8 * max(len(self.ids), 1)))
         for batch in batches:
             for ids, rows in _arrays(batch):
                 if rows.shape[1] != self.vectors.shape[1]:
@@ -79,7 +84,7 @@ class _Block:
 
 
 def _histograms(
-    rows: DataFrame, block: _Block, low: np.ndarray, width: np.ndarray, k: int
+    rows: DataFrame, sent: Broadcast[_Block], low: np.ndarray, width: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Per query the highest bin with k or more scores at or above its lower edge, and their number.
 
@@ -87,6 +92,7 @@ def _histograms(
     """
 
     def count(batches):
+        block = sent.value
         total = np.zeros((len(block.ids), BINS), dtype=np.int64)
         for _, found, counts in block.batches(batches):
             bins = np.minimum((found - low[:, None]) // width[:, None], BINS - 1)
@@ -107,7 +113,9 @@ def _histograms(
     return found, n
 
 
-def _borders(rows: DataFrame, block: _Block, k: int, reach: np.ndarray, listed: int) -> np.ndarray:
+def _borders(
+    rows: DataFrame, sent: Broadcast[_Block], k: int, reach: np.ndarray, listed: int
+) -> np.ndarray:
     """For each query a score at or below its k-th highest one, found by ever finer histograms.
 
     ``reach`` bounds the absolute scores. Ends for a query when its bin is one score wide, or when at
@@ -119,7 +127,7 @@ def _borders(rows: DataFrame, block: _Block, k: int, reach: np.ndarray, listed:
     low = np.where(open_, -safe, np.iinfo(np.int64).min)
     width = (2 * safe) // BINS + 1
     while open_.any():
-        found, n = _histograms(rows, block, low, width, k)
+        found, n = _histograms(rows, sent, low, width, k)
         low = np.where(open_, low + found * width, low)
         open_ &= (width > 1) & (n > max(listed, k))
         width = np.where(open_, width // BINS + 1, 1)
@@ -152,7 +160,8 @@ def top_k(
     rows = quantised(df, key, vector, scale)
     queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     queries = queries.withColumn("d", F.size("v"))
-    results = []
+    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
+    folder = None
     sizes = F.transform("v", lambda x: F.abs(x.cast("double")))
     largest = rows.agg(F.max(F.array_max(sizes))).first()[0] or 0.0
     after = None
@@ -170,23 +179,21 @@ def top_k(
             vectors = np.array([r["v"] for r in mine], dtype=np.int64).reshape(len(mine), d)
             part = _Block(np.array([r["vec_id"] for r in mine], dtype=np.int64), vectors)
             reach = np.abs(vectors.astype(np.float64)).sum(axis=1) * largest + 1
-            sent = spark.sparkContext.broadcast((part, _borders(rows, part, k, reach, listed)))
-            results.append(_listed(rows, sent, k))
-    if not results:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    found = results[0]
-    for more in results[1:]:
-        found = found.union(more)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+            sent = spark.sparkContext.broadcast(part)
+            low = _borders(rows, sent, k, reach, listed)
+            folder = folder or new_folder(spark, "top-k")
+            _listed(rows, sent, low, k).write.mode("append").parquet(folder)
+            sent.destroy()
+    if folder is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
 
 
-def _listed(rows: DataFrame, sent, k: int) -> DataFrame:
-    """Scores at or above the border of their query, from each task its k best per query."""
+def _listed(rows: DataFrame, sent: Broadcast[_Block], low: np.ndarray, k: int) -> DataFrame:
+    """The k best scores of each query: from each task its k best at or above the border, ranked."""
 
     def best(batches):
-        block, low = sent.value
+        block = sent.value
         kept = np.empty((0, 3), dtype=np.int64)  # place of the query, negative score, id
         for ids, found, counts in block.batches(batches):
             q, at = np.nonzero((found >= low[:, None]) & counts)
@@ -197,4 +204,7 @@ def _listed(rows: DataFrame, sent, k: int) -> DataFrame:
         columns = [pa.array(block.ids[kept[:, 0]]), pa.array(kept[:, 2]), pa.array(-kept[:, 1])]
         yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
 
-    return map_in_arrow(rows, best, "query_id bigint, vec_id bigint, score bigint")
+    found = map_in_arrow(rows, best, "query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallywork.llm import topk
@@ -56,6 +58,33 @@ def test_blocks_of_queries(spark):
     assert _found(spark, rows, k=3, every=9, block=4) == _brute(rows, 3, 9)
 
 
+def test_one_broadcast_at_a_time(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, _vector(rng, 4)) for i in range(60)] + [(i, _vector(rng, 6)) for i in range(60, 90)]
+    alive, most = set(), []
+    make = spark.sparkContext.broadcast
+
+    def watched(value):
+        sent = make(value)
+        alive.add(id(sent))
+        most.append(len(alive))
+        destroy = sent.destroy
+        sent.destroy = lambda *a: (alive.discard(id(sent)), destroy(*a))
+        return sent
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", watched)
+    assert _found(spark, rows, k=3, every=5, block=3) == _brute(rows, 3, 5)
+    assert len(most) >= 6 and max(most) == 1 and not alive
+
+
+def test_scores_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(topk, "_STEP_BYTES", 8 * 3 * 5)
+    block = topk._Block(np.arange(3), np.ones((3, 2), dtype=np.int64))
+    vectors = pa.array([[i, i] for i in range(17)], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(17)), vectors], names=["vec_id", "v"])
+    assert [found.shape for _, found, _ in block.batches([batch])] == [(3, 5)] * 3 + [(3, 2)]
+
+
 def test_one_vector_many_times(spark):
     rows = [(i, [0.5, 0.5]) for i in range(400)]
     assert _found(spark, rows, k=5, every=100) == _brute(rows, 5, 100)
