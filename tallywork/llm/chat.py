@@ -25,7 +25,8 @@ class ChatTemplate:
     ``opening`` + role + ``before_text`` + text + ``closing`` is one turn. ``starts`` maps the first
     character of control strings to what may follow it, as a regular expression; it covers the three
     marks of the template. ``order`` maps a state of the machine to the roles that may come next; a role
-    that comes is the next state, and ``start`` is the first one.
+    that comes is the next state, and ``start`` is the first one. A conversation is valid if it ends in one of
+    the states ``accepting``.
     """
 
     opening: str = "<|turn|>"
@@ -43,6 +44,7 @@ class ChatTemplate:
             "assistant": ("user",),
         }
     )
+    accepting: tuple[str, ...] = ("assistant",)
 
 
 def escape(text: Column, template: ChatTemplate) -> Column:
@@ -63,7 +65,7 @@ def _valid(turns: Column, template: ChatTemplate) -> Column:
     def move(state: Column, turn: Column) -> Column:
         return F.coalesce(F.try_element_at(table, F.concat_ws("\n", state, turn["role"])), F.lit(""))
 
-    return F.aggregate(turns, F.lit("start"), move) != ""
+    return F.aggregate(turns, F.lit("start"), move).isin(*template.accepting)
 
 
 def format_chats(

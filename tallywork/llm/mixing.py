@@ -129,8 +129,9 @@ def plan_mix(
         .agg(F.max("taken").alias("taken"))
         .select("no", F.coalesce("taken", start - 1).alias("last_place"))
     )
-    # without a cut there is nothing to take beyond the whole repetitions
-    found = sources.join(last, "no", "left").withColumn("last_place", F.coalesce("last_place", F.lit(-1)))
+    # without a cut, or with all of the target in whole repetitions, nothing more is taken
+    more = F.when(need > 0, F.coalesce("last_place", F.lit(-1))).otherwise(F.lit(-1))
+    found = sources.join(last, "no", "left").withColumn("last_place", more)
     return durable(found.select("source", "source_size", "target", "whole", "last_place"), "mix")
 
 

@@ -102,7 +102,8 @@ SELECT conv_id, count(*) AS n_turns,
            FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum({_MARKS} + {_escaped_length('role')} + {_escaped_length('text')})::BIGINT AS formatted_chars,
        bool_and((before, role) IN (('start', 'system'), ('start', 'user'), ('system', 'user'),
-                                   ('user', 'assistant'), ('assistant', 'user'))) AS valid
+                                   ('user', 'assistant'), ('assistant', 'user')))
+           AND last(role ORDER BY turn NULLS FIRST, role, text) = 'assistant' AS valid
 FROM moves
 GROUP BY conv_id
 """

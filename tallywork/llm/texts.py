@@ -53,10 +53,14 @@ def arrow_rows(
     Keeps the columns ``keep`` of ``df`` and adds those that the DDL string ``added`` names. ``make``
     gets the UTF-8 bytes of some texts (NULL as an empty text) and returns one array per added
     column. It is called with at most ``largest`` texts, and 32 MB of text or one longer text, which
-    bounds the memory of a worker.
+    bounds the memory of a worker. A name in ``keep`` that is also added is an error.
     """
+    new = StructType.fromDDL(added)
+    clashing = sorted(set(keep) & set(new.names))
+    if clashing:
+        raise ValueError(f"keep holds names of added columns: {clashing}")
     schema = StructType([df.schema[name] for name in keep])
-    for field in StructType.fromDDL(added).fields:
+    for field in new.fields:
         schema = schema.add(field)
     names = schema.names
 

@@ -86,10 +86,14 @@ def test_order_of_turns(spark):
         4: ["user", "user"],
         5: ["user", "system"],
         6: ["user", "tool"],
+        7: ["system", "user", "assistant"],
     }
     rows = [(k, i, r, "t") for k, roles in orders.items() for i, r in enumerate(roles)]
     found = _found(_turns(spark, rows))
-    assert {k for k, r in found.items() if r.valid} == {1, 2}
+    assert {k for k, r in found.items() if r.valid} == {1, 7}  # 2 ends before its answer
+    open_end = chat.ChatTemplate(accepting=("user", "assistant"))
+    rows = chat.format_chats(_turns(spark, rows), open_end).collect()
+    assert {r.conv_id for r in rows if r.valid} == {1, 2, 7}
 
 
 def test_segments_make_the_text_and_the_mask(spark):

@@ -88,3 +88,11 @@ def test_seeds_differ_and_no_fractions_when_all_is_capped(spark):
     assert one != two and sum(one.values()) == sum(two.values()) == 1500
     full = mixing.mix(df, mixing.plan_mix(df, share=9), keep=["doc_id"]).collect()
     assert {r.taken for r in full} == {20}
+
+
+def test_texts_without_words_are_taken_no_more_often_than_others(spark):
+    """A source at its cap takes all documents twice, those without words too."""
+    rows = [(i, "w " * (i % 3), "a" if i % 10 else "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix(df, mixing.plan_mix(df), keep=["doc_id"]).collect()
+    assert max(r.times for r in found) == mixing.EPOCHS

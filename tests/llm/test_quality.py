@@ -1,6 +1,11 @@
+import math
+import re
+import string
 import zlib
 
 import numpy as np
+import pytest
+from conftest import SF_DIR
 from llm import edge
 
 from tallywork.llm import quality, rules, stats
@@ -57,6 +62,96 @@ def test_score_is_the_difference_of_log_densities():
     np.testing.assert_allclose(model.score(x), 1 / (1 + np.exp(log[0] - log[1])), atol=1e-9)
 
 
+def _brute_statistics(text):
+    """The statistics of a text, counted character by character."""
+    text = text or ""
+    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", text) if w]
+    if not words:
+        return [0.0] * len(stats.STATISTICS)
+    size, n = len(text.encode()), len(words)
+    ascii_ = [c for c in text if ord(c) < 128]
+    kinds = {
+        "upper": string.ascii_uppercase,
+        "lower": string.ascii_lowercase,
+        "digits": string.digits,
+        "symbols": "#*$%&|<>",
+        "marks": "!?",
+        "stops": ".,;:",
+        "white": " \t\n\x0b\x0c\r",
+    }
+    part = {k: sum(c in chars for c in ascii_) / size for k, chars in kinds.items()}
+    # bytes that no kind counts, less the later bytes of characters twice
+    later = sum(len(c.encode()) - 1 for c in text) / size
+    lines = [x for x in text.split("\n") if any(c not in kinds["white"] for c in x)]
+    windows = [tuple(words[i : i + 5]) for i in range(n - 4)]
+    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}
+    n_lines = 1 + text.count("\n")
+    roots = {
+        "symbols": part["symbols"],
+        "marks": part["marks"],
+        "stops": part["stops"],
+        "upper": part["upper"] / (part["upper"] + part["lower"] + 1e-9),
+        "digits": part["digits"],
+        "other": max(0.0, 1 - sum(part.values()) - 2 * later),
+        "bars": text.count("|") / size,
+        "dup_lines": sum(x in lines[:i] for i, x in enumerate(lines)) / n_lines,
+        "repeat_words": len(repeated) / n,
+        "same_as_last": sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+        "new_words": len(set(words)) / n,
+        "short_words": sum(len(w.encode()) < 4 for w in words) / n,
+        "capital_words": sum(
+            any(c in kinds["upper"] for c in w) and not any(c in kinds["lower"] for c in w) for w in words
+        )
+        / n,
+    }
+    values = {k: math.sqrt(v) for k, v in roots.items()}
+    values |= {
+        "log_words": math.log(1 + n),
+        "word_length": math.log(1 + sum(map(len, words)) / n),
+        "line_words": math.log(1 + n / n_lines),
+    }
+    return [values[k] for k in stats.STATISTICS]
+
+
+def test_scores_of_the_table_against_brute_force(spark):
+    """Statistics, shrunk covariances and scores of whole documents, by plain formulas."""
+    folder = SF_DIR.replace("sf0.01", "sf0.001")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect() if len(r.text or "") < 20_000}
+    values = {key: _brute_statistics(text) for key, text in texts.items()}
+    got = dict(zip(texts, stats.matrix([t.encode() for t in texts.values()])[1], strict=True))
+    for key in texts:
+        np.testing.assert_allclose(got[key], values[key], atol=1e-7)  # roots of rounding errors
+
+    model = quality.fit_quality(docs, labels)
+    learnt = [r for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    every = {r.doc_id: r.text for r in docs.collect()}
+    x = np.array([values.get(r.doc_id) or _brute_statistics(every[r.doc_id]) for r in learnt])
+    y = np.array([r.quality for r in learnt])
+    centre, scale = x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1)
+    z = (x - centre) / scale
+    own = [np.cov(z[y == k].T) for k in (0, 1)]
+    pooled = np.mean(y == 0) * own[0] + np.mean(y == 1) * own[1]
+    log = []
+    tried = (np.array(list(values.values())) - centre) / scale
+    for k in (0, 1):
+        cov = 0.7 * own[k] + 0.3 * pooled
+        cov = 0.95 * cov + 0.05 * np.trace(cov) / len(cov) * np.eye(len(cov))
+        gap = tried - z[y == k].mean(axis=0)
+        inside = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap)
+        log.append(np.log(np.mean(y == k)) - 0.5 * (inside + np.linalg.slogdet(cov)[1]))
+    expected = 1 / (1 + np.exp(np.clip((log[0] - log[1]) / 4, -40, 40)))
+    found = {r.doc_id: r.score for r in quality.score_quality(docs, model, keep=["doc_id"]).collect()}
+    np.testing.assert_allclose([found[k] for k in values], expected, atol=1e-6)
+
+
+def test_names_that_clash(spark):
+    docs, labels = _tables(spark)
+    with pytest.raises(ValueError, match="score"):
+        quality.score_quality(docs, quality.fit_quality(docs, labels), keep=["doc_id", "score"])
+
+
 def test_edges(spark):
     _, labels = _tables(spark)
     docs = edge.documents(spark)
