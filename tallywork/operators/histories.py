@@ -10,6 +10,7 @@ from tallywork.functions import any_names, average, half_up, minutes, ntile_of,
 from tallywork.plans import (
     ALL,
     Frame,
+    durable,
     first_of_key,
     following,
     keyed_frames,
@@ -29,7 +30,8 @@ def user_moving_metrics(
     ``ma_n`` and ``max_n`` take the order and the ``n - 1`` before it, for every ``n`` of ``lengths``.
     ``slices``: see ``keyed_frames``.
     """
-    rows = revenue.select("user_id", "order_id", "order_date", "net_revenue")
+    # read several times: to find where users are cut, for their states and for the rows
+    rows = durable(revenue.select("user_id", "order_id", "order_date", "net_revenue"), "orders")
     wanted: list[tuple[str, int | str | None]] = [("so_far", None), ("whole", ALL)]
     wanted += [(str(n), n) for n in lengths]
     frames = [Frame(f"_sum_{name}", "sum", "net_revenue", n) for name, n in wanted]
@@ -101,6 +103,7 @@ def ranks_per_user(
     revenue. ``slices``: see ``order_rows``.
     """
     rows = revenue.select("user_id", "order_id", "net_revenue", (-F.col("net_revenue")).alias("_down"))
+    rows = durable(rows, "orders")  # read several times
     ranked = keyed_ranks(rows, "user_id", "_down", "order_id", measure="net_revenue", slices=slices)
     return ranked.select(
         "user_id",
