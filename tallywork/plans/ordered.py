@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 from pyspark.sql.types import ArrayType, StructType
 
-from tallywork.plans.storage import durable
+from tallywork.plans.storage import durable, remove, stored
 
 SLICE = "_slice"
 POS = "_pos"
 _SPANS = "_spans"
 _SAMPLED = 20  # rows of the sample per slice
 _BLOCK = 64  # borders are searched in two steps
+_WIDTHS = {"string": 20, "decimal": 16}  # bytes of a value in size estimates; others about 8
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 _WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -358,12 +359,38 @@ def _borders(df: DataFrame, key: str, order: Sequence[str], slices: int) -> list
     From a sample of some rows per slice. It is cut inside Spark, key by key; only the borders reach
     the driver, at most one per slice. The sample only steers the layout; results do not depend on it.
     """
-    rows = df.select(key, *order)
-    n = rows.count()
-    share = min(1.0, _SAMPLED * slices / max(n, 1))
-    step = max(1, round(n * share / slices))
-    sampled = rows.sample(share, seed=1) if share < 1 else rows
+    sample, m, folder = _sample(df.select(key, *order), _SAMPLED * slices)
+    step = max(1, round(m / slices))
     places = F.array_sort(F.collect_list(F.struct(*order))).alias("places")
     starts = F.filter("places", lambda _, i: (i > 0) & (i % step == 0))
-    cut = sampled.groupBy(key).agg(places).filter(F.size("places") > step).select(key, starts.alias("starts"))
-    return [(value, [tuple(place) for place in borders]) for value, borders in cut.collect()]
+    cut = sample.groupBy(key).agg(places).filter(F.size("places") > step).select(key, starts.alias("starts"))
+    found = [(value, [tuple(place) for place in borders]) for value, borders in cut.collect()]
+    remove(df.sparkSession, folder)
+    return found
+
+
+def _sample(rows: DataFrame, wanted: int) -> tuple[DataFrame, int, str]:
+    """About ``wanted`` rows, stored, their number, and their folder; as a rule in one pass over ``rows``.
+
+    The share comes from Spark's estimate of the size. Only where that was far too high are the rows counted and
+    sampled again.
+    """
+    share = min(1.0, wanted / max(_guessed_rows(rows), 1))
+    sample, folder = stored(rows.sample(share, seed=1) if share < 1 else rows, "sample")
+    m = sample.count()  # from the files' metadata
+    if share < 1 and m < wanted / 4:
+        remove(rows.sparkSession, folder)
+        share = min(1.0, wanted / max(rows.count(), 1))
+        sample, folder = stored(rows.sample(share, seed=1) if share < 1 else rows, "sample")
+        m = sample.count()
+    if m > 4 * wanted:
+        sample = sample.sample(wanted / m, seed=1)
+        m = wanted
+    return sample, m, folder
+
+
+def _guessed_rows(rows: DataFrame) -> int:
+    """How many rows the optimizer's size estimate stands for, if they were stored plainly."""
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    width = 8 + sum(_WIDTHS.get(f.dataType.typeName(), 8) for f in rows.schema)
+    return int(size) // width

@@ -83,6 +83,25 @@ def test_keys_are_cut_into_even_slices(skewed_events, slices):
     assert len(first) >= slices / 3 * 0.6
 
 
+@pytest.mark.parametrize(("guess", "passes"), [(1500, 1), (200, 1), (10**12, 3)])
+def test_one_pass_finds_the_borders(skewed_events, monkeypatch, guess, passes):
+    """Counts how often the input is computed, for a right, a low and a far too high guess of its size."""
+    from tallywork.plans import ordered
+
+    read = skewed_events.sparkSession.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = skewed_events.mapInArrow(counted, skewed_events.schema)
+    monkeypatch.setattr(ordered, "_guessed_rows", lambda rows: guess)
+    borders = dict(ordered._borders(source, "user_id", ("event_at", "event_id"), 30))
+    assert read.value == passes * 1500
+    assert len(borders[1]) >= 5
+
+
 def test_a_small_share_is_cut_at_a_small_slice_size(spark):
     """One key with 0.04 % of the rows and slices of half of that."""
     key = F.when(F.col("id") < 40, 0).otherwise(F.col("id"))
