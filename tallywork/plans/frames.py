@@ -166,8 +166,9 @@ def _blocks_between(n: int, size: int) -> int:
 def _before_blocks(narrow, key: str, frames: Sequence[Frame], names: dict, size: int) -> DataFrame:
     """Per block of the keys of several blocks: what the blocks before it hold, for some frames.
 
-    ``_all_`` holds all blocks before, or the whole key. A moving frame that ends in the block has one of two
-    numbers of whole blocks before it, ``_more_`` holds the larger number of them and ``_fewer_`` one block less.
+    ``_all_`` holds all blocks before, or the whole key. A moving frame that ends in the block has
+    one of two numbers of whole blocks before it, ``_more_`` holds the larger number of them and
+    ``_fewer_`` one block less.
     """
     blocks = narrow.groupBy(key, _BLOCK).agg(
         *(_KINDS[kind][0](value).alias(name) for (kind, value), name in names.items())

@@ -372,8 +372,8 @@ def _borders(df: DataFrame, key: str, order: Sequence[str], slices: int) -> list
 def _sample(rows: DataFrame, wanted: int) -> tuple[DataFrame, int, str]:
     """About ``wanted`` rows, stored, their number, and their folder; as a rule in one pass over ``rows``.
 
-    The share comes from Spark's estimate of the size. Only where that was far too high are the rows counted and
-    sampled again.
+    The share comes from Spark's estimate of the size. Only where that was far too high are the rows
+    counted and sampled again.
     """
     share = min(1.0, wanted / max(_guessed_rows(rows), 1))
     sample, folder = stored(rows.sample(share, seed=1) if share < 1 else rows, "sample")

@@ -27,8 +27,8 @@ def keyed_ranks(
     """Ranks of every row inside its key by ``value``, smallest first and NULLs before all.
 
     Adds ``row_number`` (ties by ``unique``), ``rank``, ``dense_rank``, ``total`` (rows of the key),
-    ``peers_sum`` and ``peers_rows``: ``measure`` summed, and rows counted, over the default frame, that is
-    all rows up to the last peer. ``slices``: see ``order_rows``. NULL keys are one key.
+    ``peers_sum`` and ``peers_rows``: ``measure`` summed, and rows counted, over the default frame,
+    that is all rows up to the last peer. ``slices``: see ``order_rows``. NULL keys are one key.
     """
     cut = order_rows(df, key, (value, unique), slices=slices)
     by_value = Window.partitionBy(key, SLICE).orderBy(value)

@@ -32,8 +32,8 @@ def rows_by_rank(
     """Rows ``offset + 1`` to ``offset + size`` of ``df`` in ``order``, NULLs first.
 
     Rows are counted between borders from a sample; then only the slices with the page are read, cut
-    again if they hold more than ``most`` rows beyond the page, and sorted. ``order`` covers all columns, so that rows
-    with equal places are equal. The counts of the slices reach the driver.
+    again if they hold more than ``most`` rows beyond the page, and sorted. ``order`` covers all
+    columns, so that rows with equal places are equal. The counts of the slices reach the driver.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = min(max(slices, 2), BORDERS)
@@ -103,14 +103,15 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles per key for groups of any size; one column per entry of ``shares``.
 
-    Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here each group's
-    values, whole numbers or decimals, are counted in a histogram per wanted rank, whose range is then the bin
-    that holds the rank, until a bin is one value or has at most ``listed`` rows to list. Rows
-    without a value do not count; a key that has no others gets NULLs. Equal values are never gathered.
+    Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here each
+    group's values, whole numbers or decimals, are counted in a histogram per wanted rank, whose
+    range is then the bin that holds the rank, until a bin is one value or has at most ``listed``
+    rows to list. Rows without a value do not count; a key that has no others gets NULLs. Equal
+    values are never gathered.
 
-    ``also`` are further aggregates of the groups, taken in the first pass. The rows are not stored, only
-    states of a few rows per group: ``df`` is computed for the first pass, for every round of finer bins, which
-    groups of up to ``listed`` values do without, and for the list.
+    ``also`` are further aggregates of the groups, taken in the first pass. The rows are not stored,
+    only states of a few rows per group: ``df`` is computed for the first pass, for every round of
+    finer bins, which groups of up to ``listed`` values do without, and for the list.
     """
     known = F.col(value).isNotNull()
     groups = df.groupBy(*keys).agg(

@@ -32,10 +32,11 @@ class Load:
 class CheckedTable:
     """The table ``name`` under ``path``, with those of ``rules`` that are about it.
 
-    Rows lie in buckets by a hash of the first unique column, so that incoming keys are probed in the
-    buckets that they fall into. ``append`` judges every row, parts good from broken ones in one write and
-    then adds a record that names the new folder, as ``Snapshots`` does; a load whose record another
-    writer was faster with is judged again, since that writer may have brought the same keys.
+    Rows lie in buckets by a hash of the first unique column, so that incoming keys are probed in
+    the buckets that they fall into. ``append`` judges every row, parts good from broken ones in one
+    write and then adds a record that names the new folder, as ``Snapshots`` does; a load whose
+    record another writer was faster with is judged again, since that writer may have brought the
+    same keys.
     """
 
     def __init__(
@@ -94,11 +95,11 @@ class CheckedTable:
     def append(self, rows: DataFrame, parents: Mapping[str, DataFrame]) -> tuple[int, int]:
         """Take in the good ones of ``rows``; returns the numbers of good and of broken rows.
 
-        A check that is NULL holds, as in SQL; NULLs break no unique or foreign key. A foreign key looks
-        its values up in ``parents``; one into the table itself finds the keys of the table and of the load. Of rows with
-        the same unique value, the first one that breaks nothing else goes in, and only if the
-        table does not hold the value; which of equally good rows is first is fixed when the load
-        begins. Columns that the load lacks are NULL.
+        A check that is NULL holds, as in SQL; NULLs break no unique or foreign key. A foreign key
+        looks its values up in ``parents``; one into the table itself finds the keys of the table
+        and of the load. Of rows with the same unique value, the first one that breaks nothing else
+        goes in, and only if the table does not hold the value; which of equally good rows is first
+        is fixed when the load begins. Columns that the load lacks are NULL.
         """
         columns = [
             (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -13,10 +13,11 @@ _HOT = "_hot"
 class KeyedTable:
     """A copy of a table under ``path``, laid out by ``key``.
 
-    Rows lie in ``buckets`` files by a hash of the key and sorted by it: a task reads a bucket, and joins and
-    aggregates by key start from there. A key with more rows than a bucket has on average would make
-    one task long; such keys, at most as many as buckets, lie in files of their own that are spread over
-    all tasks, and their rows are summed before a small shuffle. Both parts together are the table.
+    Rows lie in ``buckets`` files by a hash of the key and sorted by it: a task reads a bucket, and
+    joins and aggregates by key start from there. A key with more rows than a bucket has on average
+    would make one task long; such keys, at most as many as buckets, lie in files of their own that
+    are spread over all tasks, and their rows are summed before a small shuffle. Both parts together
+    are the table.
 
     Appends add files; ``compact`` writes one file per bucket again and looks anew for large keys.
     The bucketed part is a table of the session's catalogue with a name of its own.
@@ -79,7 +80,8 @@ class KeyedTable:
     def joined(self, other: "KeyedTable") -> DataFrame:
         """Inner join by key with a table that has a row per key and the same buckets.
 
-        The buckets meet without a shuffle. Rows of large keys meet the few rows of ``other`` with these keys.
+        The buckets meet without a shuffle. Rows of large keys meet the few rows of ``other`` with
+        these keys.
         """
         if other.buckets != self.buckets or other.key != self.key:
             raise ValueError("both tables need the same key and number of buckets")

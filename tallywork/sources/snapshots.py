@@ -54,9 +54,10 @@ class Snapshots:
     file system that creates a file only if it is new (HDFS and local or mounted disks do; an object
     store must offer conditional writes).
 
-    The last ``keep`` versions can be read; older records, and what only they need, are deleted. What a
-    writer left behind that died before its commit is not looked for. ``schema`` declares the table's columns:
-    then it can be read before the first upsert, and the first one may bring some columns only.
+    The last ``keep`` versions can be read; older records, and what only they need, are deleted.
+    What a writer left behind that died before its commit is not looked for. ``schema`` declares the
+    table's columns: then it can be read before the first upsert, and the first one may bring some
+    columns only.
     """
 
     def __init__(

@@ -18,9 +18,9 @@ def stream_sessions(
     """The sessions of every known user in a stream, each as soon as it can't grow any more.
 
     Those of ``sessionize`` but for their number, which would need all sessions before. A session is
-    kept as state until the watermark, the newest event time less ``late_minutes``, is past its end and
-    the gap; then it is sent once and forgotten. A row that comes later than that is left out. Rows in time
-    can join two sessions. Use the append mode. A batch frame gives all its sessions.
+    kept as state until the watermark, the newest event time less ``late_minutes``, is past its end
+    and the gap; then it is sent once and forgotten. A row that comes later than that is left out.
+    Rows in time can join two sessions. Use the append mode. A batch frame gives all its sessions.
     """
     at = F.col("event_at").cast("timestamp")
     rows = events.filter(F.col("user_id").isNotNull()).select("user_id", at.alias("event_at"), "event_type")
