@@ -249,12 +249,13 @@ def cluster(
     of "seed:id". In each round every centroid that has vectors moves to the floor of their mean.
     Nearest is by squared Euclidean distance, ties go to the smaller number.
 
-    NULL vectors, other lengths than ``dims`` and NULL or non-finite components take no part; neither
-    does a table without any other rows, which gives an empty result. With fewer than ``k`` vectors
-    each is a centroid. Repeated rows count one by one and can both be first centroids. Rows with a NULL id take
-    part, as first centroids only after all others. Components beyond ``largest_component(dims)`` are
-    cut to it. Other columns are not read, whatever their names. ``k * dims`` numbers are on the driver
-    and in each broadcast; the table is read ``rounds`` + 2 times.
+    NULL vectors, other lengths than ``dims`` and NULL or non-finite components take no part;
+    neither does a table without any other rows, which gives an empty result. With fewer than ``k``
+    vectors each is a centroid. Repeated rows count one by one and can both be first centroids. Rows
+    with a NULL id take part, as first centroids only after all others. Components beyond
+    ``largest_component(dims)`` are cut to it. Other columns are not read, whatever their names. ``k
+    * dims`` numbers are on the driver and in each broadcast; the table is read ``rounds`` + 2
+    times.
     """
     rows = whole_vectors(df, key, vector, dims=dims, scale=scale)
     centroids = _first_rows(rows, k, seed)

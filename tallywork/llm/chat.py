@@ -24,9 +24,9 @@ class ChatTemplate:
 
     ``opening`` + role + ``before_text`` + text + ``closing`` is one turn. ``starts`` maps the first
     character of control strings to what may follow it, as a regular expression; it covers the three
-    marks of the template. ``order`` maps a state of the machine to the roles that may come next; a role
-    that comes is the next state, and ``start`` is the first one. A conversation is valid if it ends in one of
-    the states ``accepting``.
+    marks of the template. ``order`` maps a state of the machine to the roles that may come next; a
+    role that comes is the next state, and ``start`` is the first one. A conversation is valid if it
+    ends in one of the states ``accepting``.
     """
 
     opening: str = "<|turn|>"

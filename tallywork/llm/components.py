@@ -32,8 +32,9 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps. Each step leaves one link per node at most in the
     end, and a step's result is written to the shared folder, so lost executors cost one step; the
-    result of the step before is deleted. Only a count and a checksum reach the driver. Nodes are bigints; links with a NULL end and links of a
-    node to itself are ignored, repeated links count once; no links give no rows.
+    result of the step before is deleted. Only a count and a checksum reach the driver. Nodes are
+    bigints; links with a NULL end and links of a node to itself are ignored, repeated links count
+    once; no links give no rows.
     """
     ends = links.filter(F.col("a") != F.col("b"))
     now, folder = stored(

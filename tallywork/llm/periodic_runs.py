@@ -1,12 +1,13 @@
 """Runs of whole texts: stretches of words that repeat with a period, as far as they go.
 
-Under an order of the words or under the opposite one, the longest Lyndon word at some place of a run
-is as long as the run's period. So the runs are found from two Lyndon arrays. The first phase of Baier's suffix sorter yields each of them directly: suffixes
-start in groups by their first word; groups are taken from the highest one down, and each member
-hands the group's context on to the suffix before it that lies in a lower group. When a group's turn
-comes its context is the longest Lyndon word at each member. A Lyndon word at a place is one period of
-a candidate; how far the period holds to both sides comes from longest common extensions, looked up
-in tables of equal blocks of 1, 2, 4, ... words.
+Under an order of the words or under the opposite one, the longest Lyndon word at some place of a
+run is as long as the run's period. So the runs are found from two Lyndon arrays. The first phase of
+Baier's suffix sorter yields each of them directly: suffixes start in groups by their first word;
+groups are taken from the highest one down, and each member hands the group's context on to the
+suffix before it that lies in a lower group. When a group's turn comes its context is the longest
+Lyndon word at each member. A Lyndon word at a place is one period of a candidate; how far the
+period holds to both sides comes from longest common extensions, looked up in tables of equal blocks
+of 1, 2, 4, ... words.
 
 A run of at least 24 words and three periods holds its words equal to those one period on for 16 places
 or more, so it lies where windows of 16 words occur twice. The arrays are built for these
@@ -219,11 +220,12 @@ def detect_runs(
 ) -> DataFrame:
     """Columns ``keep``, ``n_words``, ``runs`` by start and period, and ``collapsed``.
 
-    Words are stretches without ASCII white space, numbered from 0; ``collapsed`` holds those outside
-    of repeats, joined by one space: a run keeps its first period, unless another run drops it. A NULL, empty or blank text has no
-    words, no runs and an empty ``collapsed``. One row per row of ``df``, repeated rows included, in one
-    pass without a shuffle; an empty table gives an empty result. Other columns are not read; ``keep``
-    must not hold the name of an added column. A text is worked on in one task.
+    Words are stretches without ASCII white space, numbered from 0; ``collapsed`` holds those
+    outside of repeats, joined by one space: a run keeps its first period, unless another run drops
+    it. A NULL, empty or blank text has no words, no runs and an empty ``collapsed``. One row per
+    row of ``df``, repeated rows included, in one pass without a shuffle; an empty table gives an
+    empty result. Other columns are not read; ``keep`` must not hold the name of an added column. A
+    text is worked on in one task.
     """
     clashing = {"n_words", "runs", "collapsed"} & set(keep)
     if clashing:

@@ -227,10 +227,10 @@ def prefix_counts(
 ) -> DataFrame:
     """Columns ``keep`` and ``counts``: entry i is the exact token count of the first i characters.
 
-    The table starts with the empty prefix and ends with the whole text, so it has an entry more than
-    the text has characters; a NULL or empty text has the one entry 0. Strings of special tokens count
-    as those tokens. ``budgets`` names bigint columns to add: the characters of the longest prefix with at
-    most so many tokens, as ``longest_prefix`` finds them in a stored table.
+    The table starts with the empty prefix and ends with the whole text, so it has an entry more
+    than the text has characters; a NULL or empty text has the one entry 0. Strings of special
+    tokens count as those tokens. ``budgets`` names bigint columns to add: the characters of the
+    longest prefix with at most so many tokens, as ``longest_prefix`` finds them in a stored table.
 
     One row per row of ``df``, repeated rows included, in one pass without a shuffle; an empty table
     gives an empty result. Other columns are not read. ``keep`` must not hold the name of an added

@@ -7,8 +7,9 @@ score becomes the range of the next, finer histogram, and so on until the k-th s
 or so few scores are at or above the bin that they can be listed. The last pass lists the scores from
 that border up, each task its own k best at most, and ranks them with ties to the smaller id.
 
-Histograms add up, so a task sends one short array per query whatever its number of rows. A block's result is
-stored and its broadcast freed before the next block, so the state beside the tables is that of one block.
+Histograms add up, so a task sends one short array per query whatever its number of rows. A block's
+result is stored and its broadcast freed before the next block, so the state beside the tables is
+that of one block.
 """
 
 from collections.abc import Iterator
@@ -149,10 +150,11 @@ def top_k(
 
     Queries are the rows whose key is divisible by ``every``, candidates all rows but those with the
     query's own id; a candidate of another length than the query is no candidate. A query with fewer
-    than ``k`` candidates gets them all. Rows with equal scores rank by id; repeated rows rank one by
-    one as candidates, and repeated rows of a query are one query (the smallest vector). Vectors that are NULL or hold NULL or non-finite components take no part, nor do rows with a
-    NULL id. An empty table gives an empty result; other columns are not read. Components beyond the
-    range of a bigint are cut to it, and products wrap like bigints.
+    than ``k`` candidates gets them all. Rows with equal scores rank by id; repeated rows rank one
+    by one as candidates, and repeated rows of a query are one query (the smallest vector). Vectors
+    that are NULL or hold NULL or non-finite components take no part, nor do rows with a NULL id. An
+    empty table gives an empty result; other columns are not read. Components beyond the range of a
+    bigint are cut to it, and products wrap like bigints.
 
     ``block`` bounds the queries that are on the driver and in a broadcast at a time.
     """

@@ -64,8 +64,8 @@ class Record:
 def make_record(kind: str, block: bytes, content_type: str, **named: str | None) -> Record:
     """A record with its length and block digest; ``named`` are further fields, None left out.
 
-    Underscores in a name stand for hyphens after ``WARC-``: ``refers_to`` is WARC-Refers-To. Line breaks
-    in a value become spaces.
+    Underscores in a name stand for hyphens after ``WARC-``: ``refers_to`` is WARC-Refers-To. Line
+    breaks in a value become spaces.
     """
     special = {
         "target_uri": "WARC-Target-URI",
@@ -278,11 +278,12 @@ _DERIVED = (
 def derive_records(records: DataFrame, *, keep: list[str], record: str = "record") -> DataFrame:
     """Derived records of every response in a column of WARC records, with the columns ``keep``.
 
-    One row per derived record: its fields, its text ``block`` and the response's payload digest and HTTP
-    headers (names in lower case; repeated headers joined by a comma and a space). A record that is
-    NULL or can't be read gives one row with the reason in ``error`` and nothing else; records of other
-    types give no rows. Repeated records are derived each time, with the same identifiers. An empty table
-    gives an empty result. ``keep`` must not hold the name of an added column.
+    One row per derived record: its fields, its text ``block`` and the response's payload digest and
+    HTTP headers (names in lower case; repeated headers joined by a comma and a space). A record
+    that is NULL or can't be read gives one row with the reason in ``error`` and nothing else;
+    records of other types give no rows. Repeated records are derived each time, with the same
+    identifiers. An empty table gives an empty result. ``keep`` must not hold the name of an added
+    column.
     """
     clashing = {field.split(" ", 1)[0] for field in _DERIVED.split(", ")} & set(keep)
     if clashing:
@@ -350,8 +351,8 @@ def _rows(data: bytes | None) -> Iterator[dict]:
 def _record_end(data: bytes, start: int) -> int | None:
     """Where the record at ``start`` ends, with the two breaks after it.
 
-    None if the data end before the record does; ValueError if it is no record, or if what comes after its
-    length can't be the end of one.
+    None if the data end before the record does; ValueError if it is no record, or if what comes
+    after its length can't be the end of one.
     """
     gap = data.find(_BREAK * 2, start)
     if not data.startswith((b"WARC/", b"WARC/"[: len(data) - start]), start):
@@ -488,10 +489,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def write_warc(records: DataFrame, folder: str, *, record: str = "record") -> int:
     """Write a column of WARC records as gzip files, one per task; returns the number of records.
 
-    ``folder`` is an address that all executors reach (file, hdfs, s3, gs; see pyarrow's file systems).
-    A task writes under a name of its own attempt and renames the file when it is complete, so a task
-    that runs again replaces its file. The files become visible when all tasks are done, in place of the parts that
-    earlier runs have written there. NULL records are left out; tasks without records write nothing.
+    ``folder`` is an address that all executors reach (file, hdfs, s3, gs; see pyarrow's file
+    systems). A task writes under a name of its own attempt and renames the file when it is
+    complete, so a task that runs again replaces its file. The files become visible when all tasks
+    are done, in place of the parts that earlier runs have written there. NULL records are left out;
+    tasks without records write nothing.
     """
     run_folder = f"_{uuid.uuid4().hex}"  # readers skip names that begin so
 
