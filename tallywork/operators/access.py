@@ -95,6 +95,7 @@ def offset_page(df: DataFrame, key: str, offset: int, *, size: int = PAGE_SIZE)
     """Rows ``offset + 1`` to ``offset + size`` by ``key``, NULLs first.
 
     Rows with equal keys go by the other columns. The page is found by counting: no task holds the rows
-    before a far page, nothing is stored, and only the part of the table with the page is sorted.
+    before a far page, nothing but a small sample is stored for a moment, and only the part of the
+    table with the page is sorted.
     """
     return rows_by_rank(df, [key, *(c for c in df.columns if c != key)], offset, size)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tallywork import Analytics
 from tallywork.operators import process_in_chunks
 from tallywork.plans import durable, scratch, shared_folder
 from tallywork.plans.storage import application_folder, new_folder
@@ -66,6 +67,17 @@ def test_declared_columns(spark, frame):
         Snapshots(spark, new_folder(spark, "summary")).read()
 
 
+def test_the_reports_upsert_rewrites_the_months_it_touches(spark, frame):
+    path = new_folder(spark, "summary")
+    reports = Analytics(spark, {})
+    rows = [(date(2024, m, 1), float(m), m) for m in range(1, 7)]
+    assert reports.upsert_daily_summary(frame(rows, SUMMARY), path) == 6
+    before = set(Snapshots(spark, path).read().inputFiles())
+    assert reports.upsert_daily_summary(frame([(date(2024, 6, 2), 0.0, 0)], SUMMARY), path) == 1
+    after = set(Snapshots(spark, path).read().inputFiles())
+    assert {f.split("_part=")[1].split("/")[0] for f in before ^ after} == {"2024-06"}
+
+
 def _between_merge_and_commit(table, action):
     """Another writer commits after this one has merged its rows, once."""
     create, left = table._records.create, [action]
